@@ -37,18 +37,23 @@ def utrim(col) -> Column:
 
 
 def collapse_ws(col) -> Column:
-    """' '.join(s.split())"""
-    return F.array_join(F.regexp_extract_all(_c(col), F.lit(NON_WS_RUN), 0), " ")
+    """' '.join(s.split()): every whitespace run becomes one space, then the (now plain
+    space) ends are cut.  One regex pass, no token array."""
+    return F.trim(F.regexp_replace(_c(col), f"{WS}+", " "))
 
 
 def word_count(col) -> Column:
-    """len(s.split()); 0 for empty or null-free blank text."""
-    return F.size(F.regexp_extract_all(F.coalesce(_c(col), F.lit("")), F.lit(NON_WS_RUN), 0))
+    """len(s.split()); 0 for empty text.  Collapse the whitespace runs to single spaces,
+    then count the spaces (a plain replace, no token array, no second regex)."""
+    c = collapse_ws(F.coalesce(_c(col), F.lit("")))
+    return F.when(c == "", F.lit(0)).otherwise(F.length(c) - F.length(F.replace(c, F.lit(" "), F.lit(""))) + 1) \
+        .cast("int")
 
 
 def is_blank(col) -> Column:
+    """Null, empty or whitespace only (stops at the first non-space character)."""
     c = _c(col)
-    return c.isNull() | (utrim(c) == "")
+    return c.isNull() | ~c.rlike(f"[^{WS_CHARS}]")
 
 
 def normalize_date(col) -> Column:
@@ -67,10 +72,15 @@ def _nfkc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKC")
 
 
+# ASCII and the Latin-1 letters (U+00C0-U+00FF) are all unchanged by NFKC; only rows with
+# some other character go to the Python worker.
+NFKC_STABLE = "\\x00-\\x7f\\xc0-\\xff"
+
+
 def nfkc(col) -> Column:
-    """NFKC normalisation; the Python worker only sees rows with a non-ASCII char."""
+    """NFKC normalisation; the Python worker only sees rows that could change."""
     c = _c(col)
-    return F.when(c.rlike("[^\\x00-\\x7f]"), _nfkc(c)).otherwise(c)
+    return F.when(c.rlike(f"[^{NFKC_STABLE}]"), _nfkc(c)).otherwise(c)
 
 
 def norm_comment(col, unicode_normalize: bool = True) -> Column:
@@ -94,6 +104,25 @@ def tokens(col) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(_c(col), F.lit(""))), F.lit(WORD_TOKEN), 0)
 
 
+LETTER = "[\\p{L}\\p{M}]"
+
+
+def word_set_pattern(words) -> str:
+    """Regex matching exactly a whole token (maximal letter run) that is in ``words``."""
+    alts = "|".join(sorted(set(words), key=lambda w: (-len(w), w)))
+    return f"(?<!{LETTER})(?:{alts})(?!{LETTER})"
+
+
+def count_words(lower_text: Column, words) -> Column:
+    """Number of tokens of an already lower-cased text that are in ``words``."""
+    return F.regexp_count(lower_text, F.lit(word_set_pattern(words)))
+
+
+def extract_words(lower_text: Column, words) -> Column:
+    """The tokens of a lower-cased text that are in ``words`` (in order)."""
+    return F.regexp_extract_all(lower_text, F.lit("(" + word_set_pattern(words) + ")"), 1)
+
+
 def regex_search(col, pattern: str) -> Column:
     """Case-insensitive regex test (re.search with IGNORECASE)."""
     return F.coalesce(_c(col).rlike("(?i)" + pattern), F.lit(False))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..fixed import (AMPLIFY_TOP, BLOCKING_PATTERN, CATEGORY_KEYWORDS, LOW_SIGNAL_PHRASES, LOW_SIGNAL_SHARE,
                      SAMPLE_ACTIONS, SAMPLE_COMMENTS, TIER_MAJOR_SHARE, TIER_MIN_COUNT, TOP_PRIORITY_ACTIONS,
                      TOP_STRENGTH_AREAS, URGENCY_MEDIUM_SHARE)
-from ..functions.text import collapse_ws, tokens, word_count
+from ..functions.text import collapse_ws, extract_words, word_count
 from .taxonomy import join_taxonomy, priority_rank
 
 GROUP = ["content_id", "sentiment", "category"]
@@ -44,16 +44,27 @@ def _equals(k: int):
     return lambda x: x == F.lit(k)
 
 
-def keyword_category(text: Column) -> Column:
-    """E3 default: category number of a text."""
+def keyword_hits(text: Column) -> Column:
+    """Category numbers of the keyword tokens of a text (one regex pass)."""
     m = keyword_map()
-    hits = F.filter(F.transform(tokens(text), lambda t: F.try_element_at(m, t)), lambda x: x.isNotNull())
+    words = sorted({w for _, ws in CATEGORY_KEYWORDS for w in ws})
+    found = extract_words(F.lower(F.coalesce(text, F.lit(""))), words)
+    return F.transform(found, lambda t: F.try_element_at(m, t))
+
+
+def category_from_hits(hits: Column, text: Column) -> Column:
+    """Most hits wins (ties: lower number); no hit -> the length-derived spread."""
     per = F.array(*[F.struct(F.size(F.filter(hits, _equals(k))).alias("n"),
                              F.lit(-k).alias("neg_no")) for k, _ in CATEGORY_KEYWORDS])
     best = F.array_max(per)
     return F.when(best["n"] > 0, -best["neg_no"]).otherwise(fallback_category(text)).cast("int")
 
 
+def keyword_category(text: Column) -> Column:
+    """E3 default: category number of a text (single-expression form)."""
+    return category_from_hits(keyword_hits(text), text)
+
+
 def categorize(df: DataFrame, text_col: str = "comment", sentiment_col: str = "predicted_sentiment") -> DataFrame:
     """E3 + J9: the analysis record of each negative/positive comment.
 
@@ -63,7 +74,9 @@ def categorize(df: DataFrame, text_col: str = "comment", sentiment_col: str = "p
     """
     out = (df.withColumn("sentiment", F.col(sentiment_col))
            .filter(F.col("sentiment").isin("negative", "positive"))
-           .withColumn("category_no", keyword_category(F.col(text_col))))
+           .withColumn("_kw", keyword_hits(F.col(text_col)))
+           .withColumn("category_no", category_from_hits(F.col("_kw"), F.col(text_col)))
+           .drop("_kw"))
     out = join_taxonomy(out)
     inp = F.length(F.col(text_col)).cast("long")
     outp = F.length(F.col("category")).cast("long")
@@ -73,6 +86,16 @@ def categorize(df: DataFrame, text_col: str = "comment", sentiment_col: str = "p
                                           (inp + outp).alias("total"))))
 
 
+def categorize_rows(df: DataFrame, text_col: str = "comment", sentiment_col: str = "sentiment") -> DataFrame:
+    """E3 + J9 on every row: negative / positive rows get their category and taxonomy
+    columns, other rows get nulls (the keyword regex only runs for the routed rows)."""
+    routed = F.col(sentiment_col).isin("negative", "positive")
+    out = (df.withColumn("_kw", F.when(routed, keyword_hits(F.col(text_col))))
+           .withColumn("category_no", F.when(routed, category_from_hits(F.col("_kw"), F.col(text_col))))
+           .drop("_kw"))
+    return join_taxonomy(out, sentiment_col, "category_no").withColumn("error", F.lit(None).cast("string"))
+
+
 def summary_category(col: Column) -> Column:
     """Summary path default: a missing or failed analysis groups as 'Other'."""
     return F.coalesce(col, F.lit("Other"))

@@ -52,8 +52,9 @@ LENIENT = Profile("lenient", lenient=True, top_issues=TOP_ISSUES_LENIENT, bucket
 def analysis_lookup(analysis: DataFrame, profile: Profile = STRICT) -> DataFrame:
     """One analysis per (course, sentiment, norm): the last record wins, and a record
     without a category (failed analysis) never overwrites."""
-    a = (analysis.filter(F.col("category").isNotNull() & F.col("error").isNull())
-         .withColumn("norm", profile.norm(F.col("comment"))))
+    a = analysis.filter(F.col("category").isNotNull() & F.col("error").isNull())
+    if "norm" not in a.columns:
+        a = a.withColumn("norm", profile.norm(F.col("comment")))
     return (a.groupBy("content_id", "sentiment", "norm")
             .agg(F.max_by(F.struct("category", "root_cause", "owner", "priority", "actions"), F.col("ordinal"))
                  .alias("a")))
@@ -65,8 +66,10 @@ def enrich(tagged_full: DataFrame, analysis: DataFrame, profile: Profile = STRIC
     Negative -> issue from the negative analysis (default 'Other Issue'); positive ->
     strength from the positive analysis (default ''); neutral -> neither.
     """
-    t = (tagged_full.withColumn("sentiment", sentiment_key(F.col("predicted_sentiment")))
-         .withColumn("norm", profile.norm(F.col("comment"))))
+    t = tagged_full.withColumn("sentiment", sentiment_key(F.col("predicted_sentiment")))
+    if "norm" not in t.columns:
+        t = t.withColumn("norm", profile.norm(F.col("comment")))
+    t = t.select("content_id", "content_name", "ordinal", "comment", "comment_date", "sentiment", "norm")
     j = t.join(analysis_lookup(analysis, profile), ["content_id", "sentiment", "norm"], "left")
     issue = F.when(F.col("sentiment") == "negative", F.coalesce(F.col("a.category"), F.lit(OTHER_ISSUE))) \
         .otherwise(F.lit(OTHER_ISSUE))
@@ -89,9 +92,10 @@ def language_facts(lang: DataFrame, enriched: DataFrame, profile: Profile = STRI
     """J2 (strict: inner, unmatched rows skipped) / J3 (lenient: left, unmatched rows are
     neutral with 'Other Issue', date from the language row)."""
     default = "unknown" if profile.lenient else "hinglish"
-    l = (lang.withColumn("lang_code", lang_code_key(F.col("predicted_language"), default))
-         .withColumn("norm", profile.norm(F.col("comment")))
-         .select("content_id", "ordinal", "comment", "comment_date", "lang_code", "norm"))
+    l = lang.withColumn("lang_code", lang_code_key(F.col("predicted_language"), default))
+    if "norm" not in l.columns:
+        l = l.withColumn("norm", profile.norm(F.col("comment")))
+    l = l.select("content_id", "ordinal", "comment", "comment_date", "lang_code", "norm")
     how = "left" if profile.lenient else "inner"
     j = l.join(comment_map(enriched), ["content_id", "norm"], how)
     j = j.select("content_id", "ordinal", "lang_code", F.col("comment"),

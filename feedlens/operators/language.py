@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..fixed import (LANG_NAMES_LENIENT, LANG_NAMES_STRICT, LANG_ORDER, LANG_ORDER_DEFAULT,
                      LANG_ORDER_LENIENT, LANGUAGE_PROFILES, LANGUAGE_WEIGHT_UNIT, SKEW_DOMINANT_PCT,
                      SKEW_HIGH_PCT, SKEW_MODERATE_PCT)
-from ..functions.text import is_blank, title_case, tokens, utrim
+from ..functions.text import count_words, is_blank, title_case, utrim
 
 
 def profile_weights() -> dict[str, dict[str, int]]:
@@ -36,27 +36,40 @@ def _map_lit(d: dict[str, int]) -> Column:
     return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(d[k]) for k in keys]))
 
 
-def _adder(m: Column):
-    return lambda acc, t: acc + F.coalesce(F.try_element_at(m, t), F.lit(0))
+def language_hits(low: Column) -> Column:
+    """array<struct<pos, code, hits>> for an already lower-cased text.
 
-
-def language_candidates(text: Column) -> Column:
-    """array<struct<langCode, langScore>> sorted by score desc, ties in profile order."""
-    toks = tokens(text)
+    Hits per language = sum over its weight classes of weight x (number of tokens in that
+    class); each class is one compiled regex pass.
+    """
     weights = profile_weights()
     hits = []
     for i, (code, _) in enumerate(LANGUAGE_PROFILES):
-        h = F.aggregate(toks, F.lit(0), _adder(_map_lit(weights[code])))
-        hits.append(F.struct(F.lit(i).alias("pos"), F.lit(code).alias("code"), h.alias("hits")))
-    arr = F.array(*hits)
+        by_w: dict[int, list[str]] = {}
+        for word, wt in weights[code].items():
+            by_w.setdefault(wt, []).append(word)
+        h = None
+        for wt in sorted(by_w):
+            term = count_words(low, by_w[wt]) * F.lit(wt)
+            h = term if h is None else h + term
+        hits.append(F.struct(F.lit(i).alias("pos"), F.lit(code).alias("code"), h.cast("int").alias("hits")))
+    return F.array(*hits)
+
+
+def candidates_from_hits(arr: Column) -> Column:
+    """Candidates sorted by score desc (ties in profile order), score = hits / all hits."""
     total = F.aggregate(arr, F.lit(0), lambda acc, x: acc + x["hits"])
     scored = F.transform(F.filter(arr, lambda x: x["hits"] > 0),
                          lambda x: F.struct((-x["hits"]).alias("neg_hits"), x["pos"].alias("pos"),
                                             x["code"].alias("langCode"),
                                             (x["hits"].cast("double") / total.cast("double")).alias("langScore")))
-    ordered = F.array_sort(scored)
-    return F.transform(ordered, lambda x: F.struct(x["langCode"].alias("langCode"),
-                                                   x["langScore"].alias("langScore")))
+    return F.transform(F.array_sort(scored), lambda x: F.struct(x["langCode"].alias("langCode"),
+                                                                x["langScore"].alias("langScore")))
+
+
+def language_candidates(text: Column) -> Column:
+    """Single-expression form (re-evaluates its inputs; prefer ``detect_language``)."""
+    return candidates_from_hits(language_hits(F.lower(F.coalesce(text, F.lit("")))))
 
 
 def score_text(score: Column) -> Column:
@@ -104,9 +117,14 @@ def detect_language(df: DataFrame, text_col: str = "comment", prof: DetectionPro
     """E2 default detector: adds predicted_language, confidence_score, top_predicted_labels,
     latency (0.0: nothing remote was called)."""
     text = F.col(text_col)
-    blank = is_blank(text)
-    out = df.withColumn("_cands", language_candidates(text))
-    out = out.select("*", *detection_columns(F.col("_cands"), blank, F.lit(0.0), prof))
+    # Separate projections: the lower-cased text and the hit counts are computed once per
+    # row (Catalyst does not inline a non-trivial column that is used several times).
+    out = (df.withColumn("_blank", is_blank(text))
+           .withColumn("_low", F.lower(F.coalesce(text, F.lit(""))))
+           .withColumn("_lh", language_hits(F.col("_low")))
+           .withColumn("_cands", candidates_from_hits(F.col("_lh"))))
+    out = out.select("*", *detection_columns(F.col("_cands"), F.col("_blank"), F.lit(0.0), prof))
+    out = out.drop("_low", "_lh", "_blank")
     if keep_candidates:
         return out.withColumnRenamed("_cands", "candidates")
     return out.drop("_cands")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import SENTIMENT_LEXICON
-from ..functions.text import is_blank, tokens, utrim
+from ..functions.text import extract_words, is_blank, utrim
 
 LABELS = ["positive", "neutral", "negative"]
 PLACEHOLDER = "neutral statement"
@@ -29,9 +29,14 @@ def scoring_text(col: Column) -> Column:
 
 
 def lexicon_score(col: Column, lexicon: dict[str, int] = SENTIMENT_LEXICON) -> Column:
+    """Sum of lexicon weights over the whole text's tokens.
+
+    One compiled regex pass pulls out only the lexicon tokens (few per text); the
+    weight lookup then runs over that short array, not over every token.
+    """
     m = lexicon_map(lexicon)
-    return F.aggregate(tokens(col), F.lit(0),
-                       lambda acc, t: acc + F.coalesce(F.try_element_at(m, t), F.lit(0)))
+    hits = extract_words(F.lower(F.coalesce(col, F.lit(""))), lexicon.keys())
+    return F.aggregate(hits, F.lit(0), lambda acc, t: acc + F.coalesce(F.try_element_at(m, t), F.lit(0)))
 
 
 def polarity(score: Column) -> Column:

@@ -34,11 +34,10 @@ def word_frequency(tagged: DataFrame, k: int = WORDS_TOP_K, sentiment_col: str =
     Input: comments with a sentiment label (lower-cased, null comments dropped, P10).
     Ties: word ascending.  Pure-digit tokens never appear (tokens are letter runs).
     """
-    stop = F.array(*[F.lit(w) for w in stopword_list()])
-    toks = F.filter(tokens(F.col("comment")),
-                    lambda t: (F.length(t) >= WORDS_MIN_LENGTH) & ~F.array_contains(stop, t))
     src = (tagged.filter(F.col("comment").isNotNull())
-           .select(F.lower(F.col(sentiment_col)).alias("sentiment"), F.explode(toks).alias("word")))
+           .select(F.lower(F.col(sentiment_col)).alias("sentiment"), F.explode(tokens(F.col("comment"))).alias("word"))
+           # hash-set membership and length test on the exploded rows, inside codegen
+           .filter((F.length("word") >= WORDS_MIN_LENGTH) & ~F.col("word").isin(*stopword_list())))
     counts = src.groupBy("sentiment", "word").agg(F.count(F.lit(1)).alias("count"))
     w = Window.partitionBy("sentiment").orderBy(F.desc("count"), F.asc("word"))
     top = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

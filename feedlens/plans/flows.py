@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import category, clean, dashboard, language, sentiment
+from ..session import materialize
 from ..sources.tables import raw_comments
 
 RESUME_CUTOFF = "2024-03-01"   # the earlier run saw comments dated before this day
@@ -44,16 +45,36 @@ def earlier_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analysis(spark, sf_dir).filter(F.col("comment_date") < RESUME_CUTOFF)
 
 
+def scored_full(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = dashboard.STRICT,
+                with_language: bool = False) -> DataFrame:
+    """The dashboard fact table, computed in one row-wise pass and materialised once.
+
+    Full comments + sentiment key + category (negative / positive rows only) + the
+    comment matching key (+ detected language).  It feeds two or three join branches,
+    so it is written once (reliable checkpoint in the cluster's checkpoint folder) and
+    every branch reads it instead of re-running the text scoring.
+    """
+    t = full(spark, sf_dir).withColumn("sentiment", sentiment.sentiment_key(F.col("predicted_sentiment")))
+    t = category.categorize_rows(t).withColumn("norm", profile.norm(F.col("comment")))
+    if with_language:
+        prof = language.LENIENT_DETECTION if profile.lenient else language.STRICT_DETECTION
+        t = language.detect_language(t, prof=prof)
+    return materialize(t)
+
+
+def _analysis_of(scored: DataFrame) -> DataFrame:
+    return scored.filter(F.col("sentiment").isin("negative", "positive"))
+
+
 def enriched(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = dashboard.STRICT) -> DataFrame:
-    t = full(spark, sf_dir)
-    return dashboard.enrich(t, category.categorize(t), profile)
+    s = scored_full(spark, sf_dir, profile)
+    return dashboard.enrich(s, _analysis_of(s), profile)
 
 
 def language_facts(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = dashboard.STRICT) -> DataFrame:
-    t = full(spark, sf_dir)
-    enr = dashboard.enrich(t, category.categorize(t), profile)
-    prof = language.LENIENT_DETECTION if profile.lenient else language.STRICT_DETECTION
-    return dashboard.language_facts(language.detect_language(t, prof=prof), enr, profile)
+    s = scored_full(spark, sf_dir, profile, with_language=True)
+    enr = dashboard.enrich(s, _analysis_of(s), profile)
+    return dashboard.language_facts(s, enr, profile)
 
 
 def tiered(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan itself is too narrow.
+
+    A large input arrives as many file splits and is left alone (no shuffle).  A small
+    or single-row-group file would otherwise put every per-row text computation into one
+    task.  The decision uses planning metadata only (no job is run).
+    """
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     missing = [c for c in REQUIRED.get(name, []) if c not in df.columns]
@@ -53,7 +67,7 @@ def comment_date_of(ordinal: Column) -> Column:
 
 def raw_comments(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataFrame:
     """Raw comment rows derived from ``documents`` (whole texts, all rows)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = spread_if_narrow(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
     cols = [
         F.concat(F.lit("course_"), (F.col("doc_id") % N_COURSES).cast("string")).alias("content_id"),
         F.concat(F.lit("Course "), (F.col("doc_id") % N_COURSES).cast("string")).alias("content_name"),
@@ -73,7 +87,7 @@ def raw_comments(spark: SparkSession, sf_dir: str, with_labels: bool = False) ->
 
 def conversation_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns of ``conversations`` as a second comment source (same schema)."""
-    conv = spark.read.parquet(table_path(sf_dir, "conversations"))
+    conv = spread_if_narrow(spark.read.parquet(table_path(sf_dir, "conversations")))
     return (conv.filter(F.col("role") == "user")
             .select(F.concat(F.lit("course_"), (F.col("conv_id") % N_COURSES).cast("string")).alias("content_id"),
                     F.concat(F.lit("Course "), (F.col("conv_id") % N_COURSES).cast("string")).alias("content_name"),
