@@ -32,8 +32,11 @@ def _c(col) -> Column:
 
 
 def utrim(col) -> Column:
-    """Unicode-aware strip()."""
-    return F.regexp_replace(_c(col), f"^{WS}+|{WS}+$", "")
+    """Unicode-aware strip().  The regex only runs when an end character is whitespace
+    (two one-character tests), which is rare for real text."""
+    c = _c(col)
+    ends = F.substring(c, 1, 1).rlike(WS) | F.substring(c, -1, 1).rlike(WS)
+    return F.when(ends, F.regexp_replace(c, f"^{WS}+|{WS}+$", "")).otherwise(c)
 
 
 def collapse_ws(col) -> Column:

@@ -30,16 +30,20 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan itself is too narrow.
-
-    A large input arrives as many file splits and is left alone (no shuffle).  A small
-    or single-row-group file would otherwise put every per-row text computation into one
-    task.  The decision uses planning metadata only (no job is run).
+    """Spread the rows over the cluster when the scan itself is too narrow.
+
+    A large input arrives as many file splits and is left alone (no shuffle, no copy).
+    A single-row-group file would otherwise put every per-row text computation into one
+    task: Catalyst pushes filters (which here test scored text) below a plain
+    repartition, back into the single scan task.  So the spread copy is materialised
+    (reliable checkpoint in the cluster's checkpoint folder), which also gives a
+    boundary filters cannot cross.  The decision uses planning metadata only.
     """
     spark = df.sparkSession
     want = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
+        from ..session import materialize
+        return materialize(df.repartition(want))
     return df
 
 
