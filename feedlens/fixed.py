@@ -253,3 +253,10 @@ STOPWORDS_DEFAULT = [
     "until", "up", "very", "was", "we", "were", "what", "when", "where", "which", "while", "who", "whom",
     "why", "with", "would", "you", "your", "yours", "yourself", "yourselves",
 ]
+
+# --------------------------------------------------------------------------------------
+# FIXED VALUES: field names of the per-comment analysis records on disk (needed to read
+# and write files in the existing layout).
+# --------------------------------------------------------------------------------------
+ANALYSIS_RECORD_FIELD = "Gemini Analysis"
+ANALYSIS_SENTIMENT_FIELD = "predicted sentiment"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..fixed import BLOCKING_PATTERN, TOP_ISSUES, TOP_ISSUES_LENIENT, TOP_STRENGTHS
+from ..fixed import ANALYSIS_RECORD_FIELD, ANALYSIS_SENTIMENT_FIELD, BLOCKING_PATTERN, TOP_ISSUES, TOP_ISSUES_LENIENT, TOP_STRENGTHS
 from ..functions import text as tx
 from ..operators import category, clean, dashboard, enrich, evaluate, language, sentiment, words
 from ..schemas import ANALYSIS_FILE_SCHEMA, RAW_COMMENT_SCHEMA, TAGGED_FILE_SCHEMA
@@ -92,8 +92,8 @@ def q_scan_analysis_json(spark, sf):
     sinks.write_analysis_json(flows.analysis(spark, sf), path)
     schema = T.StructType(ANALYSIS_FILE_SCHEMA.fields + [T.StructField("ordinal", T.LongType())])
     df = spark.read.schema(schema).json(path)
-    ga = F.col("`Gemini Analysis`")
-    return df.select("content_id", "ordinal", F.col("`predicted sentiment`").alias("sentiment"),
+    ga = F.col(f"`{ANALYSIS_RECORD_FIELD}`")
+    return df.select("content_id", "ordinal", F.col(f"`{ANALYSIS_SENTIMENT_FIELD}`").alias("sentiment"),
                      F.coalesce(ga["Issue Category"], ga["Strength Category"]).alias("category"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+from .fixed import ANALYSIS_RECORD_FIELD, ANALYSIS_SENTIMENT_FIELD
+
 S, L, D = T.StringType(), T.LongType(), T.DoubleType()
 
 RAW_COMMENT_SCHEMA = T.StructType([
@@ -39,8 +41,8 @@ ANALYSIS_JSON_STRUCT = T.StructType([
 ])
 
 ANALYSIS_FILE_SCHEMA = T.StructType(RAW_COMMENT_SCHEMA.fields + [
-    T.StructField("predicted sentiment", S),
-    T.StructField("Gemini Analysis", ANALYSIS_JSON_STRUCT),
+    T.StructField(ANALYSIS_SENTIMENT_FIELD, S),
+    T.StructField(ANALYSIS_RECORD_FIELD, ANALYSIS_JSON_STRUCT),
 ])
 
 ACTION_ITEM = T.StructType([

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import ANALYSIS_RECORD_FIELD, ANALYSIS_SENTIMENT_FIELD
 from ..operators.enrich import token_usage
 
 
@@ -52,7 +53,7 @@ def analysis_records(analysis: DataFrame) -> DataFrame:
         F.col("owner").alias("Owner"), F.col("priority").alias("Priority"),
         F.col("error").alias("Error"), F.col("raw_output").alias("Raw Output"))
     return analysis.select("sentiment", "content_id", "content_name", "comment", "comment_date", "ordinal",
-                           F.col("sentiment").alias("predicted sentiment"), ga.alias("Gemini Analysis"))
+                           F.col("sentiment").alias(ANALYSIS_SENTIMENT_FIELD), ga.alias(ANALYSIS_RECORD_FIELD))
 
 
 def write_analysis_json(analysis: DataFrame, path: str, mode: str = "overwrite") -> None:
