@@ -38,31 +38,32 @@ def confusion_matrix(ev: DataFrame) -> DataFrame:
 
 def classification_report(ev: DataFrame, per_course: bool = True) -> DataFrame:
     """Precision / recall / F1 / support per label plus macro and weighted averages,
-    zero division -> 0, globally (content_id null) and per course."""
+    zero division -> 0, globally (content_id null) and per course.
+
+    One pass: the (true, predicted) pair counts of every scope (GROUPING SETS) are
+    exploded into per-label contributions (support from the true side, predictions from
+    the predicted side, true positives where they agree) and summed; the averages are
+    windows over each scope's few label rows, and the two average rows per scope come
+    from the same rows through an explode, so the scored input is read once.
+    """
     if per_course:
         pairs = (ev.groupingSets([["content_id", "true_label", "predicted_sentiment"],
                                   ["true_label", "predicted_sentiment"]],
                                  "content_id", "true_label", "predicted_sentiment")
                  .agg(F.count(F.lit(1)).alias("n"), F.grouping("content_id").alias("gid")))
     else:
-        pairs = (ev.groupBy("true_label", "predicted_sentiment")
-                 .agg(F.count(F.lit(1)).alias("n"))
+        pairs = (ev.groupBy("true_label", "predicted_sentiment").agg(F.count(F.lit(1)).alias("n"))
                  .withColumn("content_id", F.lit(None).cast("string")).withColumn("gid", F.lit(1)))
-    # The global scope has a null content_id: key scopes on a non-null id so the joins
-    # below stay plain equi-joins.
-    pairs = pairs.withColumn("content_id", F.coalesce(F.col("content_id"), F.lit("")))
     scope = ["gid", "content_id"]
-    tp = (pairs.filter(F.col("true_label") == F.col("predicted_sentiment"))
-          .select(*scope, F.col("true_label").alias("label"), F.col("n").alias("tp")))
-    support = pairs.groupBy(*scope, F.col("true_label").alias("label")).agg(F.sum("n").alias("support"))
-    predicted = pairs.groupBy(*scope, F.col("predicted_sentiment").alias("label")).agg(F.sum("n").alias("pred"))
-    labels = support.select(*scope, "label").union(predicted.select(*scope, "label")).distinct()
-    per = (labels.join(support, scope + ["label"], "left").join(predicted, scope + ["label"], "left")
-           .join(tp, scope + ["label"], "left")
-           .select(*scope, "label",
-                   F.coalesce("tp", F.lit(0)).alias("tp"),
-                   F.coalesce("support", F.lit(0)).alias("support"),
-                   F.coalesce("pred", F.lit(0)).alias("pred")))
+    n, agree = F.col("n"), (F.col("true_label") == F.col("predicted_sentiment"))
+    contrib = F.array(
+        F.struct(F.col("true_label").alias("label"), n.alias("support"), F.lit(0).cast("long").alias("pred"),
+                 F.when(agree, n).otherwise(F.lit(0)).cast("long").alias("tp")),
+        F.struct(F.col("predicted_sentiment").alias("label"), F.lit(0).cast("long").alias("support"),
+                 n.alias("pred"), F.lit(0).cast("long").alias("tp")))
+    per = (pairs.select(*scope, F.explode(contrib).alias("c"))
+           .groupBy(*scope, F.col("c.label").alias("label"))
+           .agg(F.sum("c.tp").alias("tp"), F.sum("c.support").alias("support"), F.sum("c.pred").alias("pred")))
     p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("pred").cast("double")), F.lit(0.0))
     r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
     per = per.withColumn("precision", p).withColumn("recall", r)
@@ -73,26 +74,20 @@ def classification_report(ev: DataFrame, per_course: bool = True) -> DataFrame:
 
     def wavg(c):
         return F.try_divide(F.sum(F.col(c) * F.col("support")).over(w), tot)
-    # Averages: per-scope windows over at most (#labels) rows each.
-    avgs = per.select(*scope,
-                      F.avg("precision").over(w).alias("macro_precision"),
-                      F.avg("recall").over(w).alias("macro_recall"),
-                      F.avg("f1").over(w).alias("macro_f1"),
-                      wavg("precision").alias("weighted_precision"),
-                      wavg("recall").alias("weighted_recall"),
-                      wavg("f1").alias("weighted_f1"),
-                      F.sum("support").over(w).alias("total_support")).distinct()
-    rows = per.select(*scope, "label", "precision", "recall", "f1", "support")
-    macro = avgs.select(*scope, F.lit("macro avg").alias("label"), F.col("macro_precision").alias("precision"),
-                        F.col("macro_recall").alias("recall"), F.col("macro_f1").alias("f1"),
-                        F.col("total_support").alias("support"))
-    weighted = avgs.select(*scope, F.lit("weighted avg").alias("label"),
-                           F.col("weighted_precision").alias("precision"),
-                           F.col("weighted_recall").alias("recall"), F.col("weighted_f1").alias("f1"),
-                           F.col("total_support").alias("support"))
-    out = rows.unionByName(macro).unionByName(weighted)
+    first = F.row_number().over(Window.partitionBy(*scope).orderBy("label")) == 1
+    rows = per.select(
+        *scope, first.alias("_first"),
+        F.struct(F.col("label"), F.col("precision"), F.col("recall"), F.col("f1"), F.col("support")).alias("own"),
+        F.struct(F.lit("macro avg").alias("label"), F.avg("precision").over(w).alias("precision"),
+                 F.avg("recall").over(w).alias("recall"), F.avg("f1").over(w).alias("f1"),
+                 F.sum("support").over(w).alias("support")).alias("macro"),
+        F.struct(F.lit("weighted avg").alias("label"), wavg("precision").alias("precision"),
+                 wavg("recall").alias("recall"), wavg("f1").alias("f1"),
+                 F.sum("support").over(w).alias("support")).alias("weighted"))
+    out = rows.select(*scope, F.explode(F.when(F.col("_first"), F.array("own", "macro", "weighted"))
+                                        .otherwise(F.array("own"))).alias("r"))
     return out.select(F.when(F.col("gid") == 1, F.lit(None)).otherwise(F.col("content_id")).cast("string")
-                      .alias("content_id"), "label", "precision", "recall", "f1", "support")
+                      .alias("content_id"), "r.label", "r.precision", "r.recall", "r.f1", "r.support")
 
 
 def accuracy(ev: DataFrame, per_course: bool = False) -> DataFrame:

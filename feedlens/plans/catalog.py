@@ -815,7 +815,8 @@ FROM (SELECT g.content_id, g.sentiment, g.total, g.rank,
 GROUP BY content_id, sentiment, total""", "groups_meta", "analysis"))
 def q_category_block(spark, sf):
     """P26 (+W9): the text block per course and sentiment."""
-    a = flows.analysis(spark, sf)
+    from ..session import materialize
+    a = materialize(flows.analysis(spark, sf))        # two branches read it
     return category.category_block(category.category_groups(a), category.sample_comments(a))
 
 
@@ -871,8 +872,10 @@ def q_category_summary(spark, sf):
 @register("dashboard_payload", None)
 def q_dashboard_payload(spark, sf):
     """K5 (+P21): the whole metrics bundle as one JSON value."""
-    enr = flows.enriched(spark, sf)
-    return dashboard.dashboard_payload(enr, flows.language_facts(spark, sf))
+    # both fact tables feed five aggregates each: materialise them once
+    from ..session import materialize
+    enr = materialize(flows.enriched(spark, sf))
+    return dashboard.dashboard_payload(enr, materialize(flows.language_facts(spark, sf)))
 
 
 @register("write_split", None)
