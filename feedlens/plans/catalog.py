@@ -869,6 +869,42 @@ def q_category_summary(spark, sf):
     return category.category_summary(t, category.top_priority_actions(t))
 
 
+@register("summary_contract", None)
+def q_summary_contract(spark, sf):
+    """Contract violations of the summary documents (written, read back, checked)."""
+    from ..schemas import NEGATIVE_SUMMARY_SCHEMA  # noqa: F401 - documents the on-disk shape
+    t = flows.tiered(spark, sf)
+    path = _scratch(spark, "summary-json")
+    written = category.category_summary(t, category.top_priority_actions(t))
+    sinks.write_summary_json(written, path)
+    schema = T.StructType([f for f in written.schema.fields if f.name != "sentiment"])
+    docs = spark.read.schema(schema).json(path)          # sentiment comes back from the folder name
+    return category.summary_contract(docs, t)
+
+
+@register("join_course_summary", None)
+def q_join_course_summary(spark, sf):
+    """J8 (+K4): course stats with their negative / positive summary documents attached
+    (left join on course; a course without a document keeps null)."""
+    t = flows.tiered(spark, sf)
+    docs = category.category_summary(t, category.top_priority_actions(t))
+    neg = docs.filter(F.col("sentiment") == "negative").select(
+        "content_id", F.to_json(F.struct("total_comments", "category_summaries", "top_priority_actions"))
+        .alias("neg_category_summary"))
+    pos = docs.filter(F.col("sentiment") == "positive").select(
+        "content_id", F.to_json(F.struct("total_comments", "category_summaries")).alias("pos_category_summary"))
+    cs = dashboard.course_stats(flows.enriched(spark, sf)).filter(~F.col("hidden"))
+    return cs.join(neg, "content_id", "left").join(pos, "content_id", "left")
+
+
+@register("append_usage", None)
+def q_append_usage(spark, sf):
+    """K6: this run's token usage appended to a usage table, read back."""
+    path = _scratch(spark, "usage")
+    sinks.append_usage(flows.analysis(spark, sf), path, run_id="run-1")
+    return spark.read.parquet(path)
+
+
 @register("dashboard_payload", None)
 def q_dashboard_payload(spark, sf):
     """K5 (+P21): the whole metrics bundle as one JSON value."""
