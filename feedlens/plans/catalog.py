@@ -588,13 +588,15 @@ m AS (SELECT *, CASE WHEN pred > 0 THEN CAST(tp AS DOUBLE) / CAST(pred AS DOUBLE
       FROM per),
 f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall)
                      ELSE 0.0::DOUBLE END AS f1 FROM m)
+SELECT content_id, label, round(precision, 12) AS precision, round(recall, 12) AS recall, round(f1, 12) AS f1,
+       support FROM (
 SELECT content_id, label, precision, recall, f1, support FROM f
 UNION ALL
 SELECT content_id, 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM f GROUP BY g, content_id
 UNION ALL
 SELECT content_id, 'weighted avg', sum(precision * support) / CAST(sum(support) AS DOUBLE),
        sum(recall * support) / CAST(sum(support) AS DOUBLE), sum(f1 * support) / CAST(sum(support) AS DOUBLE),
-       sum(support) FROM f GROUP BY g, content_id"""
+       sum(support) FROM f GROUP BY g, content_id)"""
 
 
 def _report_sql() -> str:
