@@ -38,7 +38,10 @@ def build_session(master: str | None = None, app: str = "feedlens", shuffle_part
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001
+        pass
     return spark
 
 
@@ -47,12 +50,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when nothing is configured (local tests) a scratch folder is created and set.
     """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
+        sc = None
+    d = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="feedlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d
 
