@@ -93,7 +93,7 @@ def norm_comment(col, unicode_normalize: bool = True) -> Column:
     if unicode_normalize:
         c = nfkc(c)
     c = F.translate(c, "‘’“”", "''\"\"")
-    c = F.regexp_replace(c, "\\\\", "")
+    c = F.replace(c, F.lit("\\"), F.lit(""))          # literal, no regex
     return collapse_ws(F.lower(c))
 
 

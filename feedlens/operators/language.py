@@ -36,22 +36,33 @@ def _map_lit(d: dict[str, int]) -> Column:
     return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(d[k]) for k in keys]))
 
 
+def holder_groups() -> list[tuple[frozenset, list[str]]]:
+    """Profile words grouped by the set of languages that hold them."""
+    holders: dict[str, set] = {}
+    for code, words in LANGUAGE_PROFILES:
+        for w in words:
+            holders.setdefault(w, set()).add(code)
+    groups: dict[frozenset, list[str]] = {}
+    for w, hs in holders.items():
+        groups.setdefault(frozenset(hs), []).append(w)
+    return sorted(groups.items(), key=lambda kv: sorted(kv[0]))
+
+
 def language_hits(low: Column) -> Column:
     """array<struct<pos, code, hits>> for an already lower-cased text.
 
-    Hits per language = sum over its weight classes of weight x (number of tokens in that
-    class); each class is one compiled regex pass.
+    One compiled regex pass per holder group (words shared by the same languages); a
+    language's hits = sum over its groups of (UNIT / group size) x matches, which is the
+    per-word weight UNIT / k summed over the text, in exact integers.
     """
-    weights = profile_weights()
+    counts = [(hs, count_words(low, ws)) for hs, ws in holder_groups()]
     hits = []
     for i, (code, _) in enumerate(LANGUAGE_PROFILES):
-        by_w: dict[int, list[str]] = {}
-        for word, wt in weights[code].items():
-            by_w.setdefault(wt, []).append(word)
         h = None
-        for wt in sorted(by_w):
-            term = count_words(low, by_w[wt]) * F.lit(wt)
-            h = term if h is None else h + term
+        for hs, cnt in counts:
+            if code in hs:
+                term = cnt * F.lit(LANGUAGE_WEIGHT_UNIT // len(hs))
+                h = term if h is None else h + term
         hits.append(F.struct(F.lit(i).alias("pos"), F.lit(code).alias("code"), h.cast("int").alias("hits")))
     return F.array(*hits)
 
