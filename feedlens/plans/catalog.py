@@ -721,6 +721,45 @@ def q_bucket_categories(spark, sf):
     return dashboard.bucket_categories(flows.language_facts(spark, sf)).withColumn("rank", L("rank"))
 
 
+@register("bucket_categories_lenient", with_ctes("""
+SELECT content_id, lang_name, kind, rank, name, count FROM (
+  SELECT content_id, lang_name, kind, name, count(*) AS count,
+         row_number() OVER (PARTITION BY content_id, lang_name, kind ORDER BY count(*) DESC, min(ordinal)) AS rank
+  FROM (SELECT content_id, lang_name, ordinal, 'issue' AS kind, issue AS name FROM lfacts_len
+        WHERE sentiment = 'negative' AND issue <> 'Other Issue' AND issue <> ''
+        UNION ALL
+        SELECT content_id, lang_name, ordinal, 'strength', strength FROM lfacts_len
+        WHERE sentiment = 'positive' AND strength <> '')
+  GROUP BY content_id, lang_name, kind, name)
+WHERE kind <> 'issue' OR rank <= 5""", "lfacts_len"))
+def q_bucket_categories_lenient(spark, sf):
+    """W5, lenient profile: only the top 5 issues per bucket."""
+    p = dashboard.LENIENT
+    f = flows.language_facts(spark, sf, p)
+    return dashboard.bucket_categories(f, p.bucket_issue_limit).withColumn("rank", L("rank"))
+
+
+@register("detection_summary_lenient", with_ctes("""
+SELECT count(DISTINCT content_id) AS files, count(*) AS total_samples,
+       count_if(predicted_language IN ('ERROR', 'UNKNOWN')) AS failed,
+       count_if(predicted_language NOT IN ('ERROR', 'UNKNOWN')) AS successful,
+       coalesce(CAST(count_if(predicted_language NOT IN ('ERROR', 'UNKNOWN')) AS DOUBLE) * 100.0::DOUBLE / CAST(count(*) AS DOUBLE), 0.0) AS success_pct,
+       coalesce(CAST(count_if(predicted_language IN ('ERROR', 'UNKNOWN')) AS DOUBLE) * 100.0::DOUBLE / CAST(count(*) AS DOUBLE), 0.0) AS failed_pct,
+       coalesce(avg(latency), 0.0) AS mean_latency,
+       CASE WHEN sum(latency) > 0 THEN CAST(count(*) AS DOUBLE) / sum(latency) ELSE 0.0::DOUBLE END AS throughput
+FROM lang_len""", "lang_len"))
+def q_detection_summary_lenient(spark, sf):
+    """A13, lenient profile: 'UNKNOWN' also counts as failed."""
+    return language.detection_summary(flows.detected(spark, sf, lenient=True), failed_codes=("ERROR", "UNKNOWN"))
+
+
+@register("detected_language_counts", with_ctes(
+    "SELECT predicted_language, count(*) AS n FROM lang GROUP BY predicted_language", "lang"))
+def q_detected_language_counts(spark, sf):
+    """The detector's own summary: rows per detected code."""
+    return language.detected_language_counts(flows.detected(spark, sf))
+
+
 @register("dedup_latest", with_ctes(f"""
 SELECT content_id, lang_name, sentiment, ordinal, date, issue, strength FROM (
   SELECT *, row_number() OVER (PARTITION BY content_id, lang_name, sentiment, {s_trim('comment')}
