@@ -53,12 +53,13 @@ def call_with_retry(fn: Callable, arg, max_tries: int = 5, base_delay: float = 2
 
 def enrich_partitions(df: DataFrame, fn: Callable[[str], dict], input_col: str, result_schema: T.StructType,
                       partitions: int | None = None, max_tries: int = 5, base_delay: float = 2.0,
-                      other_delay: float = 1.0) -> DataFrame:
+                      other_delay: float = 1.0, threads: int = 1) -> DataFrame:
     """Run ``fn(text) -> dict`` for every row; output = input columns + the result
     fields + error, attempts, latency.
 
-    ``partitions`` bounds the number of concurrent callers (round-robin repartition,
-    so a hot course never lands on one task).
+    ``partitions`` x ``threads`` bounds the number of concurrent calls: a round-robin
+    repartition (so a hot course never lands on one task) and, for I/O-bound services,
+    a small thread pool inside each task.  Results keep the input row order.
     """
     in_fields = df.schema.fields
     out_schema = T.StructType(in_fields + list(result_schema.fields) + [
@@ -66,13 +67,19 @@ def enrich_partitions(df: DataFrame, fn: Callable[[str], dict], input_col: str,
         T.StructField("latency", T.DoubleType())])
     names = [f.name for f in result_schema.fields]
 
+    def one(v):
+        res, err, n, lat = call_with_retry(fn, v, max_tries, base_delay, other_delay)
+        res = res or {}
+        return [res.get(k) for k in names] + [err, n, float(lat)]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pool = None
+        if threads > 1:
+            from concurrent.futures import ThreadPoolExecutor
+            pool = ThreadPoolExecutor(max_workers=threads)
         for pdf in batches:
-            rows = []
-            for v in pdf[input_col].tolist():
-                res, err, n, lat = call_with_retry(fn, v, max_tries, base_delay, other_delay)
-                res = res or {}
-                rows.append([res.get(k) for k in names] + [err, n, float(lat)])
+            values = pdf[input_col].tolist()
+            rows = list(pool.map(one, values)) if pool else [one(v) for v in values]
             extra = pd.DataFrame(rows, columns=names + ["error", "attempts", "latency"], index=pdf.index)
             yield pd.concat([pdf, extra], axis=1)
 
@@ -80,6 +87,21 @@ def enrich_partitions(df: DataFrame, fn: Callable[[str], dict], input_col: str,
     return src.mapInPandas(run, out_schema)
 
 
+def model_udf(load: Callable[[], object], predict: Callable[[object, pd.Series], pd.Series],
+              return_type: str = "string"):
+    """A model hook for E1 / E2: an iterator pandas UDF that loads the model once per
+    task (not per batch or row) and scores whole Arrow batches.
+
+    usage: ``df.withColumn("predicted_sentiment", label_map(model_udf(load, predict)("comment")))``
+    """
+    @F.pandas_udf(return_type)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load()
+        for s in batches:
+            yield predict(model, s)
+    return score
+
+
 # ----------------------------------------------------------------------------- P19
 def parse_analysis(raw: Column, schema: T.StructType = ANALYSIS_JSON_STRUCT) -> Column:
     """Strict JSON parse of a model answer; invalid text -> error struct carrying the

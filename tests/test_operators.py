@@ -203,3 +203,23 @@ def test_permutation_invariance(spark):
     a = sorted(map(tuple, dashboard.comment_map(base).collect()))
     b = sorted(map(tuple, dashboard.comment_map(base.repartition(7).sortWithinPartitions(F.rand(3))).collect()))
     assert a == b
+
+
+def test_enrich_threads_keep_order(spark):
+    from pyspark.sql import types as T
+    df = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "id long, comment string")
+    out = enrich.enrich_partitions(df, lambda x: {"u": x.upper()}, "comment",
+                                   T.StructType([T.StructField("u", T.StringType())]), partitions=2,
+                                   threads=4).collect()
+    assert all(r["u"] == r["comment"].upper() for r in out) and len(out) == 50
+
+
+def test_model_udf_loads_once_per_task(spark):
+    def load():
+        return {"great": "positive", "bad": "negative"}
+
+    def predict(model, s):
+        return s.map(lambda t: next((v for k, v in model.items() if k in t.lower()), "Neutral"))
+    df = spark.createDataFrame([("Great course",), ("bad audio",), ("ok",)], "comment string")
+    got = [r[0] for r in df.select(sentiment.label_map(enrich.model_udf(load, predict)("comment"))).collect()]
+    assert got == ["positive", "negative", "neutral"]
