@@ -949,10 +949,9 @@ def q_append_usage(spark, sf):
 @register("dashboard_payload", None)
 def q_dashboard_payload(spark, sf):
     """K5 (+P21): the whole metrics bundle as one JSON value."""
-    # both fact tables feed five aggregates each: materialise them once
-    from ..session import materialize
-    enr = materialize(flows.enriched(spark, sf))
-    return dashboard.dashboard_payload(enr, materialize(flows.language_facts(spark, sf)))
+    # both fact tables come from one scored table and feed several aggregates each
+    enr, facts = flows.dashboard_facts(spark, sf)
+    return dashboard.dashboard_payload(enr, facts)
 
 
 @register("write_split", None)

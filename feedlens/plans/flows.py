@@ -77,5 +77,14 @@ def language_facts(spark: SparkSession, sf_dir: str, profile: dashboard.Profile
     return dashboard.language_facts(s, enr, profile)
 
 
+def dashboard_facts(spark: SparkSession, sf_dir: str,
+                    profile: dashboard.Profile = dashboard.STRICT) -> tuple[DataFrame, DataFrame]:
+    """(enriched, language facts) from one scored table, both materialised: the dashboard
+    bundle reads each of them in several aggregates."""
+    s = scored_full(spark, sf_dir, profile, with_language=True)
+    enr = materialize(dashboard.enrich(s, _analysis_of(s), profile))
+    return enr, materialize(dashboard.language_facts(s, enr, profile))
+
+
 def tiered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return category.tiers(category.category_groups(analysis(spark, sf_dir)))
