@@ -75,3 +75,36 @@ def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), name)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedlens`` importable on the executors' Python workers.
+
+    The package is zipped once per application into the shared checkpoint folder and
+    added with ``addPyFile`` (``addArtifacts`` on a Spark Connect session), so pandas
+    UDFs and the model hook work wherever the job is launched from.
+    """
+    import zipfile
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        app = spark.conf.get("spark.app.id", "connect")
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"feedlens-{app}.zip")
+    os.makedirs(os.path.dirname(target), exist_ok=True)
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    try:
+        spark.sparkContext.addPyFile(target)
+    except Exception:  # noqa: BLE001 - Spark Connect
+        spark.addArtifacts(target, pyfile=True)
+    _SHIPPED.add(app)
