@@ -83,9 +83,8 @@ _SHIPPED: set = set()
 def ship_package(spark: SparkSession) -> None:
     """Make ``feedlens`` importable on the executors' Python workers.
 
-    The package is zipped once per application into the shared checkpoint folder and
-    added with ``addPyFile`` (``addArtifacts`` on a Spark Connect session), so pandas
-    UDFs and the model hook work wherever the job is launched from.
+    The package is zipped once per application on the driver and handed to Spark, which
+    serves it to the workers itself (``addPyFile``; ``addArtifacts`` on Spark Connect).
     """
     import zipfile
     try:
@@ -95,8 +94,7 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(checkpoint_dir(spark).replace("file:", ""), f"feedlens-{app}.zip")
-    os.makedirs(os.path.dirname(target), exist_ok=True)
+    target = os.path.join(tempfile.mkdtemp(prefix="feedlens-pkg-"), "feedlens.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
         for root, _, files in os.walk(pkg):
             for f in files:
