@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What separates words in the copy and substring operators: space and U+0009 to U+000D.
 SPACE_CLASS = r"[\x20\x09-\x0D]+"
@@ -57,6 +60,36 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def utf8(column: pa.Array) -> list[bytes]:
+    """The values of a string column as UTF-8, null as the empty text."""
+    return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
+
+
+def annotate(docs: DataFrame, compute: Callable[[list[bytes]], Iterator[list]], added: str, text: str = "text") -> DataFrame:
+    """``docs`` with the columns of the DDL string ``added``, worked out row by row from the texts.
+
+    ``compute`` maps the UTF-8 texts of an Arrow batch to the added columns in order.  All
+    other columns pass through untouched, so a stage can decide on a row without a join.
+    """
+    new = T.StructType.fromDDL(added)
+    schema = T.StructType([*docs.schema.fields, *new.fields])
+    at = docs.columns.index(text)
+    kinds = [_arrow(f.dataType) for f in new.fields]
+    names = schema.names
+
+    def run(batches):
+        for b in batches:
+            made = compute(utf8(b.column(at)))
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, k) for c, k in zip(made, kinds))], names=names)
+
+    return docs.mapInArrow(run, schema)
+
+
+def _arrow(kind: T.DataType) -> pa.DataType:
+    from pyspark.sql.pandas.types import to_arrow_type
+    return to_arrow_type(kind)
+
+
 def sha256_hex(value: Column) -> Column:
     return F.sha2(value, 256)
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from . import urlfilter
+from .decontaminate import op7_decontaminate
 from .sharding import op9_sharding
 from .simhash import op1_simhash
+from .urlfilter import op4_urlfilter
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op4_urlfilter": op4_urlfilter,
+    "op7_decontaminate": op7_decontaminate,
     "op9_sharding": op9_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_urlfilter": urlfilter.oracle()}
