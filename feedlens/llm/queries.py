@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from . import urlfilter
+from .bpe import op3_bpe
 from .decontaminate import op7_decontaminate
 from .sharding import op9_sharding
 from .simhash import op1_simhash
+from .substring import op8_substring
 from .urlfilter import op4_urlfilter
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op3_bpe": op3_bpe,
     "op4_urlfilter": op4_urlfilter,
     "op7_decontaminate": op7_decontaminate,
+    "op8_substring": op8_substring,
     "op9_sharding": op9_sharding,
 }
 
