@@ -60,6 +60,16 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores added until none is the name of a column of ``docs``."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The values of a string column as UTF-8, null as the empty text."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]

@@ -5,6 +5,8 @@ from __future__ import annotations
 from . import urlfilter
 from .bpe import op3_bpe
 from .decontaminate import op7_decontaminate
+from .pii import op2_pii
+from .secrets import op10_secrets
 from .sharding import op9_sharding
 from .simhash import op1_simhash
 from .substring import op8_substring
@@ -12,11 +14,13 @@ from .urlfilter import op4_urlfilter
 
 QUERIES = {
     "op1_simhash": op1_simhash,
+    "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
     "op4_urlfilter": op4_urlfilter,
     "op7_decontaminate": op7_decontaminate,
     "op8_substring": op8_substring,
     "op9_sharding": op9_sharding,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_urlfilter": urlfilter.oracle()}
