@@ -6,9 +6,11 @@ from . import urlfilter
 from .bpe import op3_bpe
 from .decontaminate import op7_decontaminate
 from .pii import op2_pii
+from .quality import op6_quality
 from .secrets import op10_secrets
 from .sharding import op9_sharding
 from .simhash import op1_simhash
+from .spotsigs import op5_fingerprints
 from .substring import op8_substring
 from .urlfilter import op4_urlfilter
 
@@ -17,6 +19,8 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_bpe": op3_bpe,
     "op4_urlfilter": op4_urlfilter,
+    "op5_fingerprints": op5_fingerprints,
+    "op6_quality": op6_quality,
     "op7_decontaminate": op7_decontaminate,
     "op8_substring": op8_substring,
     "op9_sharding": op9_sharding,
