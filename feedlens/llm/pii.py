@@ -78,19 +78,23 @@ def entities(docs: DataFrame) -> DataFrame:
 def disclosures(docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """(entity, term, disclosure) of the disclosing pairs in the corpus."""
     near = found.filter(F.size("near") > 0).select("tag", F.explode("near").alias("n")).select("tag", "n.entity", "n.term").distinct()
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support)
-    pairs = stored(pairs, "pii-pairs")
     held = found.select("tag", F.explode(F.expr("array_distinct(transform(base, b -> concat(b.kind, ':', lower(b.value))))")).alias("entity"))
     n_e = held.distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    n = found.agg(F.countDistinct("tag").alias("n"))
+    n = F.broadcast(found.agg(F.countDistinct("tag").alias("n")))  # one row
+    # a pair reaches the threshold only if its term is in at most n_et * (N / n_e)**(1 - threshold)
+    # texts; near entities alone, common words are in more, and need no count over the corpus
+    beside = near.select("tag", "term").distinct().groupBy("term").agg(F.count("*").alias("n_beside"))
+    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support)
+    most = F.col("n_et") * F.pow(F.col("n") / F.col("n_e"), F.lit(1 - threshold)) * (1 + 1e-9)
+    pairs = pairs.join(n_e, "entity").join(beside, "term").join(n).filter((F.col("n") > F.col("n_e")) & (F.col("n_beside") <= most))
+    pairs = stored(pairs.drop("n_beside"), "pii-pairs")
     # which distinct texts hold a term: only terms in question are kept, so few rows are shuffled
     words = docs.select(text_of().alias("text")).select(
         F.xxhash64("text").alias("tag"), F.explode(F.expr(r"array_distinct(split(lower(text), r'[^\p{L}]+'))")).alias("term"))
     n_t = (words.join(pairs.select("term").distinct(), "term", "left_semi").distinct()
            .groupBy("term").agg(F.count("*").alias("n_t")))
     share = F.log2(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log2(F.col("n") / F.col("n_e"))
-    return (pairs.join(n_e, "entity").join(n_t, "term").join(F.broadcast(n))  # one row
-            .filter("n > n_e").select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= threshold))
+    return pairs.join(n_t, "term").select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= threshold)
 
 
 def find(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT, remove_at: float = REMOVE_AT) -> DataFrame:
