@@ -2,7 +2,7 @@
 
 All of these return Column expressions built from Spark built-ins, so they stay inside
 whole-stage codegen.  The only Python piece is NFKC normalisation, which Spark lacks;
-it runs as an Arrow-batched pandas UDF and only on rows that are not pure ASCII.
+it runs as an Arrow-batched pandas UDF; rows that it cannot change reach it as nulls.
 
 Whitespace follows Python ``str.split()`` / ``str.strip()``: Java's ``\\s`` is ASCII
 only, so the class is spelled out (the same class also works in RE2, which keeps the
@@ -81,9 +81,9 @@ NFKC_STABLE = "\\x00-\\x7f\\xc0-\\xff"
 
 
 def nfkc(col) -> Column:
-    """NFKC normalisation; the Python worker only sees rows that could change."""
+    """NFKC normalisation; texts that cannot change pass the Python worker as nulls."""
     c = _c(col)
-    return F.when(c.rlike(f"[^{NFKC_STABLE}]"), _nfkc(c)).otherwise(c)
+    return F.coalesce(_nfkc(F.when(c.rlike(f"[^{NFKC_STABLE}]"), c)), c)
 
 
 def norm_comment(col, unicode_normalize: bool = True) -> Column:
@@ -128,7 +128,7 @@ def extract_words(lower_text: Column, words) -> Column:
 
 def regex_search(col, pattern: str) -> Column:
     """Case-insensitive regex test (re.search with IGNORECASE)."""
-    return F.coalesce(_c(col).rlike("(?i)" + pattern), F.lit(False))
+    return F.coalesce(_c(col).rlike("(?iu)" + pattern), F.lit(False))
 
 
 def title_case(col) -> Column:

@@ -1,9 +1,8 @@
 """Categorisation (E3) and the category summary rules.
 
 E3 built-in: keyword rules.  The whole text's tokens are mapped through one literal
-word -> category map; the category with most hits wins (ties: lower number).  Texts
-with no hit get a stable content-derived spread ``1 + (len % 7) * (len % 3)`` (len =
-characters of the comment) instead of collapsing into a single bucket; a model can
+word -> category map; the category with most hits wins (ties: lower number).  A text
+that fits no category belongs to category 15, as the upstream rules say; a model can
 replace all of this through the per-partition hook.  Row-wise, no shuffle.
 
 Summary rules (what the upstream prompts ask a model to follow in prose) are computed
@@ -17,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..fixed import (AMPLIFY_TOP, BLOCKING_PATTERN, CATEGORY_KEYWORDS, LOW_SIGNAL_PHRASES, LOW_SIGNAL_SHARE,
+from ..fixed import (AMPLIFY_TOP, BLOCKING_PATTERN, CATEGORY_KEYWORDS, FALLBACK_CATEGORY_NO, LOW_SIGNAL_PHRASES, LOW_SIGNAL_SHARE,
                      SAMPLE_ACTIONS, SAMPLE_COMMENTS, TIER_MAJOR_SHARE, TIER_MIN_COUNT, TOP_PRIORITY_ACTIONS,
                      TOP_STRENGTH_AREAS, URGENCY_MEDIUM_SHARE)
 from ..functions.text import collapse_ws, extract_words, word_count
@@ -35,11 +34,6 @@ def keyword_map() -> Column:
     return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(pairs[k]) for k in keys]))
 
 
-def fallback_category(text: Column) -> Column:
-    n = F.length(F.coalesce(text, F.lit("")))
-    return (F.lit(1) + (n % 7) * (n % 3)).cast("int")
-
-
 def _equals(k: int):
     return lambda x: x == F.lit(k)
 
@@ -52,17 +46,12 @@ def keyword_hits(text: Column) -> Column:
     return F.transform(found, lambda t: F.try_element_at(m, t))
 
 
-def category_from_hits(hits: Column, text: Column) -> Column:
-    """Most hits wins (ties: lower number); no hit -> the length-derived spread."""
+def category_from_hits(hits: Column) -> Column:
+    """Most hits wins (ties: lower number); no hit -> category 15."""
     per = F.array(*[F.struct(F.size(F.filter(hits, _equals(k))).alias("n"),
                              F.lit(-k).alias("neg_no")) for k, _ in CATEGORY_KEYWORDS])
     best = F.array_max(per)
-    return F.when(best["n"] > 0, -best["neg_no"]).otherwise(fallback_category(text)).cast("int")
-
-
-def keyword_category(text: Column) -> Column:
-    """E3 default: category number of a text (single-expression form)."""
-    return category_from_hits(keyword_hits(text), text)
+    return F.when(best["n"] > 0, -best["neg_no"]).otherwise(F.lit(FALLBACK_CATEGORY_NO)).cast("int")
 
 
 def categorize(df: DataFrame, text_col: str = "comment", sentiment_col: str = "predicted_sentiment") -> DataFrame:
@@ -75,9 +64,14 @@ def categorize(df: DataFrame, text_col: str = "comment", sentiment_col: str = "p
     out = (df.withColumn("sentiment", F.col(sentiment_col))
            .filter(F.col("sentiment").isin("negative", "positive"))
            .withColumn("_kw", keyword_hits(F.col(text_col)))
-           .withColumn("category_no", category_from_hits(F.col("_kw"), F.col(text_col)))
+           .withColumn("category_no", category_from_hits(F.col("_kw")))
            .drop("_kw"))
-    out = join_taxonomy(out)
+    return analysis_records(out, text_col)
+
+
+def analysis_records(df: DataFrame, text_col: str = "comment") -> DataFrame:
+    """Rows with sentiment and category_no as analysis records (taxonomy, no error, usage)."""
+    out = join_taxonomy(df)
     inp = F.length(F.col(text_col)).cast("long")
     outp = F.length(F.col("category")).cast("long")
     return (out.withColumn("error", F.lit(None).cast("string"))
@@ -91,7 +85,7 @@ def categorize_rows(df: DataFrame, text_col: str = "comment", sentiment_col: str
     columns, other rows get nulls (the keyword regex only runs for the routed rows)."""
     routed = F.col(sentiment_col).isin("negative", "positive")
     out = (df.withColumn("_kw", F.when(routed, keyword_hits(F.col(text_col))))
-           .withColumn("category_no", F.when(routed, category_from_hits(F.col("_kw"), F.col(text_col))))
+           .withColumn("category_no", F.when(routed, category_from_hits(F.col("_kw"))))
            .drop("_kw"))
     return join_taxonomy(out, sentiment_col, "category_no").withColumn("error", F.lit(None).cast("string"))
 
@@ -106,7 +100,8 @@ def category_groups(analysis: DataFrame) -> DataFrame:
     """A6 + A7: per (course, sentiment, category): count, first-seen metadata, share,
     rank; plus blocking and low-signal counts for W11/W12.
 
-    One aggregation; ``min_by(struct, ordinal)`` picks the first record's metadata.
+    One hash aggregation of counts; the first record's metadata comes by its ordinal, so
+    no sort of the records is needed.
     """
     low_signal = ((word_count(F.col("comment")) <= 1)
                   | ~F.col("comment").rlike("[\\p{L}\\p{N}]")
@@ -115,13 +110,13 @@ def category_groups(analysis: DataFrame) -> DataFrame:
     g = (base.groupBy(*GROUP)
          .agg(F.count(F.lit(1)).alias("count"),
               F.min("ordinal").alias("first_ordinal"),
-              F.min_by(F.struct(F.coalesce("root_cause", F.lit("")).alias("root_cause"),
-                                F.coalesce("owner", F.lit("")).alias("owner"),
-                                F.coalesce("priority", F.lit("")).alias("priority"),
-                                F.coalesce("actions", F.array().cast("array<string>")).alias("actions")),
-                       F.col("ordinal")).alias("meta"),
-              F.count_if(F.col("comment").rlike("(?i)" + BLOCKING_PATTERN)).alias("blocking_count"),
+              F.count_if(F.col("comment").rlike("(?iu)" + BLOCKING_PATTERN)).alias("blocking_count"),
               F.count_if(low_signal).alias("low_signal_count")))
+    meta = analysis.select(F.col("ordinal").alias("first_ordinal"), F.struct(
+        F.coalesce("root_cause", F.lit("")).alias("root_cause"), F.coalesce("owner", F.lit("")).alias("owner"),
+        F.coalesce("priority", F.lit("")).alias("priority"),
+        F.coalesce("actions", F.array().cast("array<string>")).alias("actions")).alias("meta"))
+    g = g.join(meta, "first_ordinal")
     w = Window.partitionBy("content_id", "sentiment")
     rk = Window.partitionBy("content_id", "sentiment").orderBy(F.desc("count"), F.asc("first_ordinal"))
     return (g.withColumn("total", F.sum("count").over(w))
@@ -170,14 +165,16 @@ def tiers(groups: DataFrame) -> DataFrame:
 
 def top_priority_actions(tiered: DataFrame, k: int = TOP_PRIORITY_ACTIONS) -> DataFrame:
     """K de-duplicated actions per course, by priority, then category rank, then
-    action order; from non-excluded, non-noise negative categories."""
-    src = tiered.filter((F.col("sentiment") == "negative") & (F.col("tier") != "excluded") & ~F.col("noise"))
-    ex = src.select("content_id", "category", "rank", "owner", "priority",
+    action order; from non-excluded, non-noise negative categories, and only where these
+    have fewer than k, filled up from the excluded and then the noise ones."""
+    src = tiered.filter(F.col("sentiment") == "negative")
+    fill = F.when(F.col("noise"), 2).when(F.col("tier") == "excluded", 1).otherwise(0)
+    ex = src.select("content_id", "category", "rank", "owner", "priority", fill.alias("fill"),
                     F.posexplode("actions").alias("action_pos", "action"))
     ex = ex.withColumn("prio_rank", priority_rank(F.col("priority")))
-    first = Window.partitionBy("content_id", "action").orderBy("prio_rank", "rank", "action_pos")
+    first = Window.partitionBy("content_id", "action").orderBy("fill", "prio_rank", "rank", "action_pos")
     dedup = ex.withColumn("_d", F.row_number().over(first)).filter(F.col("_d") == 1)
-    w = Window.partitionBy("content_id").orderBy("prio_rank", "rank", "action_pos")
+    w = Window.partitionBy("content_id").orderBy("fill", "prio_rank", "rank", "action_pos")
     return (dedup.withColumn("action_rank", F.row_number().over(w)).filter(F.col("action_rank") <= k)
             .select("content_id", "action_rank", "action", "category", "owner", "priority"))
 
@@ -186,7 +183,8 @@ def amplify_top(tiered: DataFrame, k: int = AMPLIFY_TOP) -> DataFrame:
     """Positive categories; only the top k carry a suggestion (first action)."""
     pos = tiered.filter(F.col("sentiment") == "positive")
     return pos.select("content_id", "category", "rank", "tier",
-                      F.when(F.col("rank") <= k, F.element_at(F.col("actions"), 1)).alias("amplification_suggestion"))
+                      F.when((F.col("rank") <= k) & ~F.col("noise"), F.element_at(F.col("actions"), 1))
+                      .alias("amplification_suggestion"))
 
 
 def top_strengths(tiered: DataFrame, k: int = TOP_STRENGTH_AREAS) -> DataFrame:

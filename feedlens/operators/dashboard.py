@@ -50,14 +50,13 @@ LENIENT = Profile("lenient", lenient=True, top_issues=TOP_ISSUES_LENIENT, bucket
 
 # ----------------------------------------------------------------------------- J1 / D1
 def analysis_lookup(analysis: DataFrame, profile: Profile = STRICT) -> DataFrame:
-    """One analysis per (course, sentiment, norm): the last record wins, and a record
-    without a category (failed analysis) never overwrites."""
+    """The ordinal of the last analysis per (course, sentiment, norm); a record without a
+    category (failed analysis) never overwrites.  A long maximum is a hash aggregate: the
+    text is shuffled as a key, never sorted."""
     a = analysis.filter(F.col("category").isNotNull() & F.col("error").isNull())
     if "norm" not in a.columns:
         a = a.withColumn("norm", profile.norm(F.col("comment")))
-    return (a.groupBy("content_id", "sentiment", "norm")
-            .agg(F.max_by(F.struct("category", "root_cause", "owner", "priority", "actions"), F.col("ordinal"))
-                 .alias("a")))
+    return a.groupBy("content_id", "sentiment", "norm").agg(F.max("ordinal").alias("analysis_ordinal"))
 
 
 def enrich(tagged_full: DataFrame, analysis: DataFrame, profile: Profile = STRICT) -> DataFrame:
@@ -70,7 +69,11 @@ def enrich(tagged_full: DataFrame, analysis: DataFrame, profile: Profile = STRIC
     if "norm" not in t.columns:
         t = t.withColumn("norm", profile.norm(F.col("comment")))
     t = t.select("content_id", "content_name", "ordinal", "comment", "comment_date", "sentiment", "norm")
-    j = t.join(analysis_lookup(analysis, profile), ["content_id", "sentiment", "norm"], "left")
+    # the text key finds an ordinal; the record itself comes by that number
+    record = analysis.select(F.col("ordinal").alias("analysis_ordinal"),
+                             F.struct("category", "root_cause", "owner", "priority", "actions").alias("a"))
+    j = (t.join(analysis_lookup(analysis, profile), ["content_id", "sentiment", "norm"], "left")
+         .join(record, "analysis_ordinal", "left"))
     issue = F.when(F.col("sentiment") == "negative", F.coalesce(F.col("a.category"), F.lit(OTHER_ISSUE))) \
         .otherwise(F.lit(OTHER_ISSUE))
     strength = F.when(F.col("sentiment") == "positive", F.coalesce(F.col("a.category"), F.lit(""))) \
@@ -83,9 +86,13 @@ def enrich(tagged_full: DataFrame, analysis: DataFrame, profile: Profile = STRIC
 
 def comment_map(enriched: DataFrame) -> DataFrame:
     """Per (course, norm) the last row wins (upstream map writes)."""
-    return (enriched.groupBy("content_id", "norm")
-            .agg(F.max_by(F.struct("sentiment", "issue", "strength", F.col("comment_date").alias("date")),
-                          F.col("ordinal")).alias("m")))
+    last = enriched.groupBy("content_id", "norm").agg(F.max("ordinal").alias("last_ordinal"))
+    return last.join(_records(enriched), "last_ordinal").drop("last_ordinal")
+
+
+def _records(enriched: DataFrame) -> DataFrame:
+    return enriched.select(F.col("ordinal").alias("last_ordinal"),
+                           F.struct("sentiment", "issue", "strength", F.col("comment_date").alias("date")).alias("m"))
 
 
 def language_facts(lang: DataFrame, enriched: DataFrame, profile: Profile = STRICT) -> DataFrame:
@@ -97,7 +104,8 @@ def language_facts(lang: DataFrame, enriched: DataFrame, profile: Profile = STRI
         l = l.withColumn("norm", profile.norm(F.col("comment")))
     l = l.select("content_id", "ordinal", "comment", "comment_date", "lang_code", "norm")
     how = "left" if profile.lenient else "inner"
-    j = l.join(comment_map(enriched), ["content_id", "norm"], how)
+    last = enriched.groupBy("content_id", "norm").agg(F.max("ordinal").alias("last_ordinal"))
+    j = l.join(last, ["content_id", "norm"], how).drop("norm").join(_records(enriched), "last_ordinal", "left")
     j = j.select("content_id", "ordinal", "lang_code", F.col("comment"),
                  F.coalesce(F.col("m.sentiment"), F.lit("neutral")).alias("sentiment"),
                  F.coalesce(F.col("m.issue"), F.lit(OTHER_ISSUE)).alias("issue"),
@@ -134,12 +142,15 @@ def course_stats(enriched: DataFrame) -> DataFrame:
     """
     s = F.col("sentiment")
     g = (enriched.groupBy("content_id")
-         .agg(F.min_by(F.col("content_name"), F.when(F.col("content_name") != "", F.col("ordinal"))).alias("name"),
+         .agg(F.min(F.when(F.col("content_name") != "", F.col("ordinal"))).alias("named_ordinal"),
               F.count(F.lit(1)).alias("total"),
               F.count_if(s == "positive").alias("positive_count"),
               F.count_if(s == "negative").alias("negative_count"),
               F.count_if((s != "positive") & (s != "negative")).alias("neutral_count"),
               F.min("ordinal").alias("first_ordinal")))
+    # one row per course meets its first named row by the ordinal
+    named = enriched.select(F.col("ordinal").alias("named_ordinal"), F.col("content_name").alias("name"))
+    g = g.join(named, "named_ordinal", "left")
     tot = F.greatest(F.lit(1), F.col("total")).cast("double")
     out = g.select("content_id", F.coalesce(F.col("name"), F.col("content_id")).alias("name"), "total",
                    "positive_count", "negative_count", "neutral_count",
@@ -156,15 +167,15 @@ def course_stats(enriched: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- A5, W1-W3
-def category_facts(enriched: DataFrame) -> DataFrame:
-    """Long form (kind, name) of counted categories: negative issues other than
-    'Other Issue' and positive non-empty strengths."""
-    issues = enriched.filter((F.col("sentiment") == "negative") & (F.col("issue") != OTHER_ISSUE)
-                             & (F.col("issue") != "")) \
-        .select("content_id", "ordinal", F.lit("issue").alias("kind"), F.col("issue").alias("name"))
-    strengths = enriched.filter((F.col("sentiment") == "positive") & (F.col("strength") != "")) \
-        .select("content_id", "ordinal", F.lit("strength").alias("kind"), F.col("strength").alias("name"))
-    return issues.unionByName(strengths)
+def category_facts(rows: DataFrame, *keys: str) -> DataFrame:
+    """Long form (kind, name) of counted categories in one pass: negative issues other than
+    'Other Issue' and positive non-empty strengths.  A row has one sentiment, so one kind."""
+    is_issue = (F.col("sentiment") == "negative") & (F.col("issue") != OTHER_ISSUE) & (F.col("issue") != "")
+    is_strength = (F.col("sentiment") == "positive") & (F.col("strength") != "")
+    kind = F.when(is_issue, "issue").when(is_strength, "strength")
+    name = F.when(is_issue, F.col("issue")).when(is_strength, F.col("strength"))
+    return (rows.filter(is_issue | is_strength)
+            .select("content_id", *keys, "ordinal", kind.alias("kind"), name.alias("name")))
 
 
 def category_counts(enriched: DataFrame) -> DataFrame:
@@ -272,11 +283,7 @@ def flat_buckets(facts: DataFrame) -> DataFrame:
 
 def bucket_categories(facts: DataFrame, issue_limit: int | None = None) -> DataFrame:
     """Issues and strengths per bucket, count desc (lenient: top 5 issues)."""
-    iss = facts.filter((F.col("sentiment") == "negative") & (F.col("issue") != OTHER_ISSUE) & (F.col("issue") != "")) \
-        .select("content_id", "lang_name", "ordinal", F.lit("issue").alias("kind"), F.col("issue").alias("name"))
-    st = facts.filter((F.col("sentiment") == "positive") & (F.col("strength") != "")) \
-        .select("content_id", "lang_name", "ordinal", F.lit("strength").alias("kind"), F.col("strength").alias("name"))
-    c = (iss.unionByName(st).groupBy("content_id", "lang_name", "kind", "name")
+    c = (category_facts(facts, "lang_name").groupBy("content_id", "lang_name", "kind", "name")
          .agg(F.count(F.lit(1)).alias("count"), F.min("ordinal").alias("first_ordinal")))
     w = Window.partitionBy("content_id", "lang_name", "kind").orderBy(F.desc("count"), F.asc("first_ordinal"))
     out = c.withColumn("rank", F.row_number().over(w))
@@ -292,7 +299,10 @@ def bucket_comments(facts: DataFrame) -> DataFrame:
     w = Window.partitionBy("content_id", "lang_name", "sentiment", "comment_text") \
         .orderBy(F.desc("date"), F.asc("ordinal"))
     d = f.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
-    return d.select("content_id", "lang_name", "sentiment", "ordinal", "date", "issue", "strength")
+    analysis = F.when(F.col("sentiment") == "negative", F.col("issue")) \
+        .when(F.col("sentiment") == "positive", F.col("strength")).otherwise(F.lit(""))
+    return d.select("content_id", "lang_name", "sentiment", "ordinal", "date", F.col("comment_text").alias("comment"),
+                    analysis.alias("analysis"))
 
 
 # ----------------------------------------------------------------------------- A3 / K5

@@ -16,13 +16,14 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from string import Formatter
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import is_blank
+from ..functions.text import is_blank, utrim
 from ..schemas import ANALYSIS_JSON_STRUCT
 
 
@@ -31,6 +32,27 @@ class RateLimited(Exception):
     """Raise from a hook to ask for the long (exponential) backoff."""
 
 
+def is_rate_limit(error: Exception) -> bool:
+    """A refusal for too many requests, by class or by the client's message."""
+    text = str(error)
+    return isinstance(error, RateLimited) or "429" in text or "rate_limit" in text.lower()
+
+
+class Pacer:
+    """Waits ``request_delay`` after every call and ``pause`` after every ``pause_every`` calls."""
+
+    def __init__(self, request_delay: float = 0.0, pause_every: int = 0, pause: float = 0.0, sleep: Callable[[float], None] = time.sleep):
+        self.request_delay, self.pause_every, self.pause, self.sleep = request_delay, pause_every, pause, sleep
+        self.calls = 0
+
+    def __call__(self) -> None:
+        self.calls += 1
+        if self.request_delay:
+            self.sleep(self.request_delay)
+        if self.pause_every and self.calls % self.pause_every == 0:
+            self.sleep(self.pause)
+
+
 def call_with_retry(fn: Callable, arg, max_tries: int = 5, base_delay: float = 2.0, other_delay: float = 1.0,
                     sleep: Callable[[float], None] = time.sleep):
     """(result, error, attempts, latency): rate limit -> wait base*2^k, else other_delay."""
@@ -40,26 +62,25 @@ def call_with_retry(fn: Callable, arg, max_tries: int = 5, base_delay: float = 2
         try:
             res = fn(arg)
             return res, None, attempt + 1, time.perf_counter() - start
-        except RateLimited as e:   # noqa: PERF203
-            err = f"RATE_LIMIT_ERROR: {e}"
-            if attempt < max_tries - 1:
-                sleep(base_delay * (2 ** attempt))
-        except Exception as e:  # noqa: BLE001 - errors become data
-            err = f"ERROR: {e}"
+        except Exception as e:  # noqa: BLE001, PERF203 - errors become data
+            limited = is_rate_limit(e)
+            err = f"{'RATE_LIMIT_ERROR' if limited else 'ERROR'}: {e}"
             if attempt < max_tries - 1:
-                sleep(other_delay)
+                sleep(base_delay * (2 ** attempt) if limited else other_delay)
     return None, err, max_tries, 0.0
 
 
 def enrich_partitions(df: DataFrame, fn: Callable[[str], dict], input_col: str, result_schema: T.StructType,
                       partitions: int | None = None, max_tries: int = 5, base_delay: float = 2.0,
-                      other_delay: float = 1.0, threads: int = 1) -> DataFrame:
+                      other_delay: float = 1.0, threads: int = 1, request_delay: float = 0.0, pause_every: int = 0,
+                      pause: float = 0.0) -> DataFrame:
     """Run ``fn(text) -> dict`` for every row; output = input columns + the result
     fields + error, attempts, latency.
 
     ``partitions`` x ``threads`` bounds the number of concurrent calls: a round-robin
     repartition (so a hot course never lands on one task) and, for I/O-bound services,
-    a small thread pool inside each task.  Results keep the input row order.
+    a small thread pool inside each task.  Results keep the input row order.  A task that
+    calls one at a time can be paced (``request_delay``, ``pause`` every ``pause_every`` calls).
     """
     in_fields = df.schema.fields
     out_schema = T.StructType(in_fields + list(result_schema.fields) + [
@@ -73,15 +94,20 @@ def enrich_partitions(df: DataFrame, fn: Callable[[str], dict], input_col: str,
         return [res.get(k) for k in names] + [err, n, float(lat)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pool = None
-        if threads > 1:
-            from concurrent.futures import ThreadPoolExecutor
-            pool = ThreadPoolExecutor(max_workers=threads)
-        for pdf in batches:
-            values = pdf[input_col].tolist()
-            rows = list(pool.map(one, values)) if pool else [one(v) for v in values]
-            extra = pd.DataFrame(rows, columns=names + ["error", "attempts", "latency"], index=pdf.index)
-            yield pd.concat([pdf, extra], axis=1)
+        from concurrent.futures import ThreadPoolExecutor
+        pace = Pacer(request_delay, pause_every, pause)
+
+        def paced(v):
+            row = one(v)
+            pace()
+            return row
+
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            for pdf in batches:
+                values = pdf[input_col].tolist()
+                rows = list(pool.map(one, values)) if threads > 1 else [paced(v) for v in values]
+                extra = pd.DataFrame(rows, columns=names + ["error", "attempts", "latency"], index=pdf.index)
+                yield pd.concat([pdf, extra], axis=1)
 
     src = df.repartition(partitions) if partitions else df
     return src.mapInPandas(run, out_schema)
@@ -104,11 +130,14 @@ def model_udf(load: Callable[[], object], predict: Callable[[object, pd.Series],
 
 # ----------------------------------------------------------------------------- P19
 def parse_analysis(raw: Column, schema: T.StructType = ANALYSIS_JSON_STRUCT) -> Column:
-    """Strict JSON parse of a model answer; invalid text -> error struct carrying the
-    raw text."""
-    valid = F.try_parse_json(raw).isNotNull()
+    """Strict JSON parse of a stripped model answer; invalid text -> error struct carrying
+    the stripped text."""
+    raw = utrim(raw)
+    # Spark ignores what follows a complete value; inside brackets and braces it may not
+    valid = (F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))).isNotNull()
+             & F.try_parse_json(F.concat(F.lit('{"a":'), raw, F.lit("}"))).isNotNull())
     parsed = F.from_json(raw, schema)
-    err = F.struct(*[(F.lit("Invalid JSON response") if f.name == "Error" else
+    err = F.struct(*[(F.lit("Failed to parse JSON") if f.name == "Error" else
                       raw if f.name == "Raw Output" else F.lit(None).cast(f.dataType)).alias(f.name)
                      for f in schema.fields])
     return F.when(valid, parsed).otherwise(err)
@@ -116,19 +145,17 @@ def parse_analysis(raw: Column, schema: T.StructType = ANALYSIS_JSON_STRUCT) ->
 
 # ----------------------------------------------------------------------------- P20
 def prompt_text(template: str, fields: dict[str, Column]) -> Column:
-    """P20: fill ``{name}`` slots once.  The template is split on the driver into literal
-    pieces, and the pieces are concatenated with columns, so braces inside a comment are
-    never expanded again (unlike nested replace)."""
-    import re
-    parts = re.split(r"\{(\w+)\}", template)
+    """P20: fill ``{name}`` slots once; doubled braces stand for single ones.  The template is
+    split on the driver into literal pieces, and the pieces are concatenated with columns, so
+    braces inside a comment are never expanded again (unlike nested replace).  A slot without
+    a field is an error."""
     cols = []
-    for i, p in enumerate(parts):
-        if i % 2 == 0:
-            if p:
-                cols.append(F.lit(p))
-        else:
-            cols.append(F.coalesce(fields[p].cast("string"), F.lit("")) if p in fields else F.lit("{" + p + "}"))
-    return F.concat(*cols)
+    for literal, name, _, _ in Formatter().parse(template):
+        if literal:
+            cols.append(F.lit(literal))
+        if name is not None:
+            cols.append(F.coalesce(fields[name].cast("string"), F.lit("")))
+    return F.concat(F.lit(""), *cols)
 
 
 # ----------------------------------------------------------------------------- J4-J7
@@ -138,9 +165,10 @@ def join_resume(comments: DataFrame, earlier: DataFrame) -> DataFrame:
     The earlier side is first reduced to one row per key (last wins), so duplicate
     comments never multiply rows.
     """
-    e = (earlier.groupBy("content_id", "comment")
-         .agg(F.max_by(F.struct("category", "error"), F.col("ordinal")).alias("earlier")))
-    return comments.join(e, ["content_id", "comment"], "left")
+    last = earlier.groupBy("content_id", "comment").agg(F.max("ordinal").alias("earlier_ordinal"))
+    e = earlier.select(F.col("ordinal").alias("earlier_ordinal"), F.struct("category", "error").alias("earlier"))
+    return (comments.join(last, ["content_id", "comment"], "left").join(e, "earlier_ordinal", "left")
+            .drop("earlier_ordinal"))
 
 
 def pending_anti(comments: DataFrame, earlier: DataFrame, parity: bool = False) -> DataFrame:
@@ -170,15 +198,17 @@ def skip_existing_summary(groups: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- A14
-def prompt_kind(sentiment: Column) -> Column:
-    """neg_comment / pos_comment."""
-    return F.concat(F.substring(sentiment, 1, 3), F.lit("_comment"))
+def prompt_kind(sentiment: Column, step: str = "comment") -> Column:
+    """neg_comment / pos_comment, or neg_summary / pos_summary for the summary step."""
+    return F.concat(F.substring(sentiment, 1, 3), F.lit("_" + step))
 
 
 def token_usage(analysis: DataFrame) -> DataFrame:
     """The four token counters summed per course x prompt kind, per course, and in
-    total (rollup); nulls count as 0; rows with a zero total are left out."""
-    u = analysis.select("content_id", prompt_kind(F.col("sentiment")).alias("prompt_kind"),
+    total (rollup); nulls count as 0; rows with a zero total are left out.  Rows with a
+    ``prompt_kind`` keep it, others are comment prompts."""
+    kind = F.col("prompt_kind") if "prompt_kind" in analysis.columns else prompt_kind(F.col("sentiment"))
+    u = analysis.select("content_id", kind.alias("prompt_kind"),
                         *[F.coalesce(F.col(f"usage.{k}"), F.lit(0)).alias(k)
                           for k in ("input", "output", "thinking", "total")])
     r = (u.rollup("content_id", "prompt_kind")

@@ -19,21 +19,20 @@ def truth_label(df: DataFrame, col: str = "actual_sentiment") -> DataFrame:
 
 def label_union(ev: DataFrame) -> DataFrame:
     """Sorted distinct union of true and predicted labels."""
-    return (ev.select(F.col("true_label").alias("label"))
-            .union(ev.select(F.col("predicted_sentiment").alias("label")))
-            .distinct())
+    pairs = ev.groupBy("true_label", "predicted_sentiment").count()
+    return pairs.select(F.explode(F.array("true_label", "predicted_sentiment")).alias("label")).distinct().orderBy("label")
 
 
 def confusion_matrix(ev: DataFrame) -> DataFrame:
     """Long-form matrix over label x label (zero cells included)."""
-    labels = label_union(ev)
     counts = ev.groupBy("true_label", "predicted_sentiment").agg(F.count(F.lit(1)).alias("n"))
-    # labels has at most a handful of rows (bounded by the label vocabulary).
-    grid = (labels.select(F.col("label").alias("true_label"))
-            .crossJoin(F.broadcast(labels.select(F.col("label").alias("predicted_label")))))
-    return (grid.join(counts.withColumnRenamed("predicted_sentiment", "predicted_label"),
-                      ["true_label", "predicted_label"], "left")
-            .select("true_label", "predicted_label", F.coalesce(F.col("n"), F.lit(0)).alias("count")))
+    # one row of all pair counts (at most labels squared of them), so the input is read once
+    row = counts.agg(F.collect_list(F.struct("true_label", "predicted_sentiment", "n")).alias("cells"))
+    labels = F.array_distinct(F.concat(F.col("cells.true_label"), F.col("cells.predicted_sentiment")))
+    grid = (row.select("cells", labels.alias("labels")).select("cells", "labels", F.explode("labels").alias("true_label"))
+            .select("cells", "true_label", F.explode("labels").alias("predicted_label")))
+    n = F.expr("aggregate(filter(cells, c -> c.true_label = true_label and c.predicted_sentiment = predicted_label), 0L, (a, c) -> a + c.n)")
+    return grid.select("true_label", "predicted_label", n.alias("count"))
 
 
 def classification_report(ev: DataFrame, per_course: bool = True) -> DataFrame:

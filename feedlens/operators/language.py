@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..fixed import (LANG_NAMES_LENIENT, LANG_NAMES_STRICT, LANG_ORDER, LANG_ORDER_DEFAULT,
@@ -31,11 +31,6 @@ def profile_weights() -> dict[str, dict[str, int]]:
             for code, words in LANGUAGE_PROFILES}
 
 
-def _map_lit(d: dict[str, int]) -> Column:
-    keys = sorted(d)
-    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]), F.array(*[F.lit(d[k]) for k in keys]))
-
-
 def holder_groups() -> list[tuple[frozenset, list[str]]]:
     """Profile words grouped by the set of languages that hold them."""
     holders: dict[str, set] = {}
@@ -78,13 +73,9 @@ def candidates_from_hits(arr: Column) -> Column:
                                                                 x["langScore"].alias("langScore")))
 
 
-def language_candidates(text: Column) -> Column:
-    """Single-expression form (re-evaluates its inputs; prefer ``detect_language``)."""
-    return candidates_from_hits(language_hits(F.lower(F.coalesce(text, F.lit("")))))
-
-
 def score_text(score: Column) -> Column:
-    return F.format_string("%.4f", F.round(score, 4))
+    """Four decimals of the binary value, half to even."""
+    return F.format_number(score, 4)
 
 
 @dataclass(frozen=True)
@@ -117,7 +108,8 @@ def detection_columns(cands: Column, blank: Column, latency: Column,
         labels = F.concat(code, F.lit(":1.0000"))
     out_code = F.when(blank, F.lit(prof.blank_code)).when(~has, F.lit(prof.empty_code)).otherwise(code)
     out_conf = F.when(blank | ~has, F.lit(0.0)).otherwise(conf)
-    out_lab = F.when(blank | ~has, F.lit("UNKNOWN")).otherwise(labels)
+    no_label = F.lit("UNKNOWN") if prof.scored else F.lit("UNKNOWN:1.0000")
+    out_lab = F.when(blank, F.lit("UNKNOWN")).when(~has, no_label).otherwise(labels)
     out_lat = F.when(blank, F.lit(0.0)).otherwise(latency)
     return [out_code.alias("predicted_language"), out_conf.cast("double").alias("confidence_score"),
             out_lab.alias("top_predicted_labels"), out_lat.cast("double").alias("latency")]
@@ -141,6 +133,22 @@ def detect_language(df: DataFrame, text_col: str = "comment", prof: DetectionPro
     return out.drop("_cands")
 
 
+def detection_from_calls(called: DataFrame, cands: str = "candidates", prof: DetectionProfile = STRICT_DETECTION) -> DataFrame:
+    """E2 on the output of the hook (E4): candidates, error and latency of each call become the
+    detection columns; a failed call is a row with code ``ERROR`` and no score, labelled
+    ``RATE_LIMIT_ERROR`` where the service kept refusing."""
+    failed = F.col("error").isNotNull()
+    blank = is_blank(F.col("comment"))
+    names = ["predicted_language", "confidence_score", "top_predicted_labels", "latency"]
+    some = F.coalesce(F.col(cands), F.array().cast("array<struct<langCode:string,langScore:double>>"))
+    rows = called.select(*[c for c in called.columns if c not in ("latency", cands, "error", "attempts")], failed.alias("_failed"), "error",
+                         *detection_columns(some, blank, F.col("latency"), prof))
+    label = F.when(F.col("error").startswith("RATE_LIMIT_ERROR"), "RATE_LIMIT_ERROR").otherwise("ERROR")
+    values = dict(zip(names, (F.lit("ERROR"), F.lit(0.0), label, F.lit(0.0))))
+    return rows.select(*[c for c in rows.columns if c not in (*names, "_failed", "error")],
+                       *[F.when(F.col("_failed"), values[n]).otherwise(F.col(n)).alias(n) for n in names])
+
+
 # ----------------------------------------------------------------------------- names
 def language_dim(spark, lenient: bool = False) -> DataFrame:
     """code -> display name and display order (small fixed table)."""
@@ -214,12 +222,3 @@ def detection_summary(lang: DataFrame, failed_codes=("ERROR",)) -> DataFrame:
 def detected_language_counts(lang: DataFrame) -> DataFrame:
     """Counts per detected code (the detector's own summary)."""
     return lang.groupBy("predicted_language").agg(F.count(F.lit(1)).alias("n"))
-
-
-def course_top_languages(lang_rows: DataFrame, k: int = 3, lenient: bool = False) -> DataFrame:
-    """Top-k language codes per course by count; ties by first appearance."""
-    c = (lang_rows.groupBy("content_id", "lang_code")
-         .agg(F.count(F.lit(1)).alias("n"), F.min("ordinal").alias("first_ordinal")))
-    w = Window.partitionBy("content_id").orderBy(F.desc("n"), F.asc("first_ordinal"))
-    return (c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("content_id", "rank", "lang_code", lang_badge(F.col("lang_code"), lenient).alias("badge"), "n"))

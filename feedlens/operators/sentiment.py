@@ -3,7 +3,7 @@
 The built-in scorer is a polarity lexicon applied to the whole text as one
 higher-order expression: tokens -> lexicon weight -> sum -> sign.  It is a narrow,
 row-wise projection (no explode, no join, no shuffle), so it scales with the scan.
-A model plugs in through ``operators.enrich.score_with_hook`` instead.
+A model plugs in through ``operators.enrich.model_udf`` instead.
 """
 
 from __future__ import annotations
@@ -65,11 +65,6 @@ def sentiment_filter(df: DataFrame, sentiment: str, col: str = "predicted_sentim
     return df.filter(F.lower(utrim(F.col(col))) == sentiment)
 
 
-def sentiment_filter_nostrip(df: DataFrame, sentiment: str, col: str = "predicted_sentiment") -> DataFrame:
-    """P10: word-frequency variant: lower only, and null comments dropped."""
-    return df.filter((F.lower(F.col(col)) == sentiment) & F.col("comment").isNotNull())
-
-
 def course_sentiment_counts(tagged: DataFrame, by=("content_id", "bucket")) -> DataFrame:
     """A2: positive / neutral / negative per course file (course x bucket)."""
     s = F.col("predicted_sentiment")

@@ -29,7 +29,7 @@ REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 ROW_LIMIT = 20
 PROMPT_TEMPLATE = ("Course '{content_name}' received this {sentiment} comment:\n\"{comment}\"\n"
-                   "Map it to one category and return JSON.")
+                   "Answer as JSON: {{ \"category\": \"...\", \"tags\": {{}} }}")
 
 
 def register(key: str, sql: str | None):
@@ -91,7 +91,7 @@ def q_scan_analysis_json(spark, sf):
     path = _scratch(spark, "analysis-json")
     sinks.write_analysis_json(flows.analysis(spark, sf), path)
     schema = T.StructType(ANALYSIS_FILE_SCHEMA.fields + [T.StructField("ordinal", T.LongType())])
-    df = spark.read.schema(schema).json(path)
+    df = src.scan_analysis_json(spark, path, schema, arrays=False)
     ga = F.col(f"`{ANALYSIS_RECORD_FIELD}`")
     return df.select("content_id", "ordinal", F.col(f"`{ANALYSIS_SENTIMENT_FIELD}`").alias("sentiment"),
                      F.coalesce(ga["Issue Category"], ga["Strength Category"]).alias("category"))
@@ -100,13 +100,12 @@ def q_scan_analysis_json(spark, sf):
 @register("text_column_choice", with_ctes("""
 SELECT 'documents' AS origin, count(*) AS n, count(comment) AS with_text FROM raw
 UNION ALL
-SELECT 'conversations', count(*), count(text) FROM conversations WHERE role = 'user'""", "raw"))
+SELECT 'conversations', count(*), count(text) FROM conversations""", "raw"))
 def q_text_column_choice(spark, sf):
     """Two sources, one with 'comment', one with 'text'; the text column is chosen
     per row after a by-name union."""
     d = raw_comments(spark, sf).select("comment", F.lit("documents").alias("origin"))
-    c = (spark.read.parquet(f"{sf}/conversations.parquet").filter(F.col("role") == "user")
-         .select("text", F.lit("conversations").alias("origin")))
+    c = spark.read.parquet(f"{sf}/conversations.parquet").select("text", F.lit("conversations").alias("origin"))
     u = src.text_column_choice(d.unionByName(c, allowMissingColumns=True))
     return u.groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.count("comment_text").alias("with_text"))
 
@@ -210,23 +209,27 @@ def q_lang_name(spark, sf):
 
 
 @register("parse_analysis", """
-SELECT event_id, json_valid(props) AS valid, CAST(json_extract(props, '$.k') AS BIGINT) AS k
+SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN CAST(json_extract(props, '$.k') AS BIGINT) END AS k,
+       CASE WHEN event_id % 7 = 0 THEN 'Failed to parse JSON' END AS error,
+       CASE WHEN event_id % 7 = 0 THEN props || '}' END AS raw_output
 FROM events""")
 def q_parse_analysis(spark, sf):
-    """P19 on real JSON text: validity test plus schema parse (events.props)."""
-    ev = read_table(spark, sf, "events").select("event_id", "props")
-    return ev.select("event_id", F.try_parse_json("props").isNotNull().alias("valid"),
-                     F.from_json("props", "k bigint")["k"].alias("k"))
+    """P19 on JSON text (events.props): padded answers, and one in seven broken off wrongly."""
+    ev = read_table(spark, sf, "events")
+    raw = F.when(F.col("event_id") % 7 == 0, F.concat("props", F.lit("}"))).otherwise(F.concat(F.lit(" "), "props", F.lit("\n")))
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("Error", T.StringType()), T.StructField("Raw Output", T.StringType())])
+    parsed = ev.select("event_id", enrich.parse_analysis(raw, schema).alias("a"))
+    return parsed.select("event_id", "a.k", F.col("a.Error").alias("error"), F.col("a.`Raw Output`").alias("raw_output"))
 
 
 @register("prompt_text", with_ctes(
     "SELECT ordinal, " + " || ".join([q("Course '"), "content_name", q("' received this "), "sentiment",
                                       q(" comment:\n\""), "comment",
-                                      q("\"\nMap it to one category and return JSON.")]) +
+                                      q("\"\nAnswer as JSON: { \"category\": \"...\", \"tags\": {} }")]) +
     " AS prompt FROM negpos", "negpos"))
 def q_prompt_text(spark, sf):
     """P20: one prompt per comment sent to categorisation (template filled once)."""
-    t = flows.full(spark, sf).filter(F.col("predicted_sentiment").isin("negative", "positive"))
+    t = flows.tagged_input(spark, sf).filter(F.col("predicted_sentiment").isin("negative", "positive"))
     cols = {k: F.col(c) for k, c in (("content_name", "content_name"), ("sentiment", "predicted_sentiment"),
                                      ("comment", "comment"))}
     return t.select("ordinal", enrich.prompt_text(PROMPT_TEMPLATE, cols).alias("prompt"))
@@ -245,10 +248,10 @@ _ANALYSIS_COLS = ["ordinal", "content_id", "sentiment", "category_no", "category
 
 @register("categorize", with_ctes(
     f"SELECT {', '.join(_ANALYSIS_COLS)}, array_to_string(actions, ' | ') AS actions, "
-    "usage_input, usage_output FROM analysis", "analysis"))
+    "usage_input, usage_output FROM categorized", "categorized"))
 def q_categorize(spark, sf):
     """E3 + J9 + S10: category of each negative / positive comment and its taxonomy row."""
-    a = flows.analysis(spark, sf)
+    a = flows.categorized(spark, sf)
     return a.select(*_ANALYSIS_COLS[:3], F.col("category_no").cast("int").alias("category_no"), *_ANALYSIS_COLS[4:],
                     F.array_join("actions", " | ").alias("actions"),
                     F.col("usage.input").alias("usage_input"), F.col("usage.output").alias("usage_output"))
@@ -292,12 +295,15 @@ def q_join_language_left(spark, sf):
 
 
 @register("count_recon", with_ctes("""
-SELECT content_id, count(*) AS n FROM full_t WHERE content_id IN (SELECT content_id FROM lang)
-GROUP BY content_id""", "full_t", "lang"))
+SELECT content_id, count(*) AS n FROM full_t
+WHERE content_id IN (SELECT DISTINCT 'course_' || CAST(conv_id % 4 AS VARCHAR) FROM conversations)
+GROUP BY content_id""", "full_t"))
 def q_count_recon(spark, sf):
-    """Comments of courses that also have language rows (semi join)."""
+    """Comments of courses that also have language rows (semi join on the distinct
+    courses).  The language rows come from the conversations, which lack one course."""
     t = flows.full(spark, sf)
-    l = flows.detected(spark, sf).select("content_id")
+    l = spark.read.parquet(f"{sf}/conversations.parquet").select(
+        F.concat(F.lit("course_"), (F.col("conv_id") % 4).cast("string")).alias("content_id")).distinct()
     return t.join(l, "content_id", "left_semi").groupBy("content_id").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -310,7 +316,7 @@ FROM negpos c LEFT JOIN (
   WHERE rk = 1) e ON e.content_id = c.content_id AND e.comment = c.comment""", "negpos", "earlier"))
 def q_join_resume(spark, sf):
     """Comments to analyse with what the earlier run stored (no fan-out)."""
-    t = flows.full(spark, sf).filter(F.col("predicted_sentiment").isin("negative", "positive"))
+    t = flows.tagged_input(spark, sf).filter(F.col("predicted_sentiment").isin("negative", "positive"))
     j = enrich.join_resume(t, flows.earlier_analysis(spark, sf))
     return j.select("content_id", "ordinal", F.col("earlier.category").alias("earlier_category"))
 
@@ -321,7 +327,7 @@ WHERE NOT EXISTS (SELECT 1 FROM earlier e WHERE e.content_id = c.content_id AND
                   AND e.category IS NOT NULL)""", "negpos", "earlier"))
 def q_pending_anti(spark, sf):
     """Comments still without a successful analysis."""
-    t = flows.full(spark, sf).filter(F.col("predicted_sentiment").isin("negative", "positive"))
+    t = flows.tagged_input(spark, sf).filter(F.col("predicted_sentiment").isin("negative", "positive"))
     return enrich.pending_anti(t, flows.earlier_analysis(spark, sf)).select("content_id", "ordinal")
 
 
@@ -347,12 +353,14 @@ def q_pending_language(spark, sf):
 
 @register("skip_existing_summary", with_ctes("""
 SELECT DISTINCT content_id, sentiment FROM analysis a
-WHERE NOT EXISTS (SELECT 1 FROM earlier e WHERE e.content_id = a.content_id AND e.sentiment = a.sentiment)""",
+WHERE NOT EXISTS (SELECT 1 FROM earlier e WHERE e.content_id = a.content_id AND e.sentiment = a.sentiment
+                  AND e.content_id < 'course_3')""",
                                              "analysis", "earlier"))
 def q_skip_existing_summary(spark, sf):
-    """(course, sentiment) summaries still to produce."""
+    """(course, sentiment) summaries still to produce; the earlier run had written those
+    of the first three courses."""
     now = flows.analysis(spark, sf).select("content_id", "sentiment").distinct()
-    return enrich.skip_existing_summary(now, flows.earlier_analysis(spark, sf))
+    return enrich.skip_existing_summary(now, flows.earlier_analysis(spark, sf).filter(F.col("content_id") < "course_3"))
 
 
 # ============================================================================ aggregates
@@ -381,10 +389,10 @@ SELECT count(*) AS total_comments, count(DISTINCT content_id) AS course_count,
        CAST(count_if(s = 'positive') AS DOUBLE) / CAST(greatest(1, count(*)) AS DOUBLE) * 100.0::DOUBLE AS positive_percent,
        CAST(count_if(s = 'negative') AS DOUBLE) / CAST(greatest(1, count(*)) AS DOUBLE) * 100.0::DOUBLE AS negative_percent,
        CAST(count_if(s = 'neutral') AS DOUBLE) / CAST(greatest(1, count(*)) AS DOUBLE) * 100.0::DOUBLE AS neutral_percent
-FROM (SELECT content_id, predicted_sentiment AS s FROM tagged)""", "tagged"))
+FROM (SELECT content_id, predicted_sentiment AS s FROM full_t)""", "full_t"))
 def q_overall_sentiment(spark, sf):
-    """A3 over every scored comment."""
-    return sentiment.overall_sentiment(flows.tagged(spark, sf))
+    """A3 over the scored full comments."""
+    return sentiment.overall_sentiment(flows.full(spark, sf))
 
 
 _CS = """SELECT content_id, coalesce(name, content_id) AS name, total, positive_count, negative_count, neutral_count,
@@ -522,11 +530,17 @@ def q_language_summary_lenient(spark, sf):
 
 
 @register("detection_file_stats", with_ctes("""
-SELECT content_id, count(*) AS samples, sum(latency) AS total_latency, avg(latency) AS mean_latency
-FROM lang GROUP BY content_id""", "lang"))
+SELECT content_id, count(*) AS samples, round(sum(latency), 9) AS total_latency, round(avg(latency), 9) AS mean_latency
+FROM lang_in GROUP BY content_id""", "lang_in"))
 def q_detection_file_stats(spark, sf):
     """A12."""
-    return language.detection_file_stats(flows.detected(spark, sf))
+    d = language.detection_file_stats(flows.detection_input(spark, sf))
+    return d.select("content_id", "samples", F.round("total_latency", 9).alias("total_latency"),
+                    F.round("mean_latency", 9).alias("mean_latency"))
+
+
+def _round_times(d: DataFrame) -> DataFrame:
+    return d.withColumn("mean_latency", F.round("mean_latency", 9)).withColumn("throughput", F.round("throughput", 6))
 
 
 @register("detection_summary", with_ctes("""
@@ -534,12 +548,12 @@ SELECT count(DISTINCT content_id) AS files, count(*) AS total_samples,
        count_if(predicted_language = 'ERROR') AS failed, count_if(predicted_language <> 'ERROR') AS successful,
        coalesce(CAST(count_if(predicted_language <> 'ERROR') AS DOUBLE) * 100.0::DOUBLE / CAST(count(*) AS DOUBLE), 0.0) AS success_pct,
        coalesce(CAST(count_if(predicted_language = 'ERROR') AS DOUBLE) * 100.0::DOUBLE / CAST(count(*) AS DOUBLE), 0.0) AS failed_pct,
-       coalesce(avg(latency), 0.0) AS mean_latency,
-       CASE WHEN sum(latency) > 0 THEN CAST(count(*) AS DOUBLE) / sum(latency) ELSE 0.0::DOUBLE END AS throughput
-FROM lang""", "lang"))
+       round(coalesce(avg(latency), 0.0), 9) AS mean_latency,
+       round(CASE WHEN sum(latency) > 0 THEN CAST(count(*) AS DOUBLE) / sum(latency) ELSE 0.0::DOUBLE END, 6) AS throughput
+FROM lang_in""", "lang_in"))
 def q_detection_summary(spark, sf):
     """A13."""
-    return language.detection_summary(flows.detected(spark, sf))
+    return _round_times(language.detection_summary(flows.detection_input(spark, sf)))
 
 
 @register("token_usage", with_ctes("""
@@ -641,12 +655,13 @@ def q_word_frequency(spark, sf):
     return words.word_frequency(t).withColumn("rank", L("rank"))
 
 
-@register("row_totals", with_ctes(
-    "SELECT count(*) AS total_comments, count(DISTINCT content_id) AS course_count FROM enriched", "enriched"))
+@register("row_totals", _cs_sql(
+    "SELECT CAST(coalesce(sum(total), 0) AS BIGINT) AS total_comments, count_if(NOT hidden) AS course_count FROM cs"))
 def q_row_totals(spark, sf):
-    """A19."""
-    return flows.enriched(spark, sf).agg(F.count(F.lit(1)).alias("total_comments"),
-                                         F.countDistinct("content_id").alias("course_count"))
+    """All comments, and the visible courses."""
+    cs = dashboard.course_stats(flows.enriched(spark, sf))
+    return cs.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total_comments"),
+                  F.count_if(~F.col("hidden")).alias("course_count"))
 
 
 # ============================================================================ windows / ranking
@@ -745,12 +760,13 @@ SELECT count(DISTINCT content_id) AS files, count(*) AS total_samples,
        count_if(predicted_language NOT IN ('ERROR', 'UNKNOWN')) AS successful,
        coalesce(CAST(count_if(predicted_language NOT IN ('ERROR', 'UNKNOWN')) AS DOUBLE) * 100.0::DOUBLE / CAST(count(*) AS DOUBLE), 0.0) AS success_pct,
        coalesce(CAST(count_if(predicted_language IN ('ERROR', 'UNKNOWN')) AS DOUBLE) * 100.0::DOUBLE / CAST(count(*) AS DOUBLE), 0.0) AS failed_pct,
-       coalesce(avg(latency), 0.0) AS mean_latency,
-       CASE WHEN sum(latency) > 0 THEN CAST(count(*) AS DOUBLE) / sum(latency) ELSE 0.0::DOUBLE END AS throughput
-FROM lang_len""", "lang_len"))
+       round(coalesce(avg(latency), 0.0), 9) AS mean_latency,
+       round(CASE WHEN sum(latency) > 0 THEN CAST(count(*) AS DOUBLE) / sum(latency) ELSE 0.0::DOUBLE END, 6) AS throughput
+FROM lang_in_len""", "lang_in_len"))
 def q_detection_summary_lenient(spark, sf):
     """A13, lenient profile: 'UNKNOWN' also counts as failed."""
-    return language.detection_summary(flows.detected(spark, sf, lenient=True), failed_codes=("ERROR", "UNKNOWN"))
+    return _round_times(language.detection_summary(flows.detection_input(spark, sf, lenient=True),
+                                                   failed_codes=("ERROR", "UNKNOWN")))
 
 
 @register("detected_language_counts", with_ctes(
@@ -761,7 +777,8 @@ def q_detected_language_counts(spark, sf):
 
 
 @register("dedup_latest", with_ctes(f"""
-SELECT content_id, lang_name, sentiment, ordinal, date, issue, strength FROM (
+SELECT content_id, lang_name, sentiment, ordinal, date, {s_trim('comment')} AS comment,
+       CASE sentiment WHEN 'negative' THEN issue WHEN 'positive' THEN strength ELSE '' END AS analysis FROM (
   SELECT *, row_number() OVER (PARTITION BY content_id, lang_name, sentiment, {s_trim('comment')}
                                ORDER BY date DESC, ordinal) AS rk FROM lfacts) WHERE rk = 1""", "lfacts"))
 def q_dedup_latest(spark, sf):
@@ -806,12 +823,13 @@ def q_noise_flag(spark, sf):
 
 @register("top_priority_actions", with_ctes("""
 SELECT content_id, action_rank, action, category, owner, priority FROM (
-  SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY prio_rank, rank, action_pos) AS action_rank FROM (
-    SELECT *, row_number() OVER (PARTITION BY content_id, action ORDER BY prio_rank, rank, action_pos) AS d FROM (
+  SELECT *, row_number() OVER (PARTITION BY content_id ORDER BY fill, prio_rank, rank, action_pos) AS action_rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY content_id, action ORDER BY fill, prio_rank, rank, action_pos) AS d FROM (
       SELECT content_id, category, rank, owner, priority,
+             CASE WHEN noise THEN 2 WHEN tier = 'excluded' THEN 1 ELSE 0 END AS fill,
              CASE priority WHEN 'Critical' THEN 1 WHEN 'High' THEN 2 WHEN 'Medium' THEN 3 WHEN 'Low' THEN 4 ELSE 5 END AS prio_rank,
              unnest(actions) AS action, generate_subscripts(actions, 1) - 1 AS action_pos
-      FROM tiered WHERE sentiment = 'negative' AND tier <> 'excluded' AND NOT noise))
+      FROM tiered WHERE sentiment = 'negative'))
   WHERE d = 1)
 WHERE action_rank <= 3""", "tiered"))
 def q_top_priority_actions(spark, sf):
@@ -821,7 +839,7 @@ def q_top_priority_actions(spark, sf):
 
 
 @register("amplify_top3", with_ctes("""
-SELECT content_id, category, rank, tier, CASE WHEN rank <= 3 THEN actions[1] END AS amplification_suggestion
+SELECT content_id, category, rank, tier, CASE WHEN rank <= 3 AND NOT noise THEN actions[1] END AS amplification_suggestion
 FROM tiered WHERE sentiment = 'positive'""", "tiered"))
 def q_amplify_top3(spark, sf):
     """W14."""
@@ -869,7 +887,7 @@ SELECT origin, content_id, count(*) AS n FROM (
   SELECT 'conversations', content_id FROM (
     SELECT 'course_' || CAST(conv_id % 5 AS VARCHAR) AS content_id,
            regexp_replace(coalesce(text, ''), '^[\\t\\n\\x0b\\f\\r \\x1c-\\x1f\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+|[\\t\\n\\x0b\\f\\r \\x1c-\\x1f\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]+$', '', 'g') AS c
-    FROM conversations WHERE role = 'user') WHERE c <> '')
+    FROM conversations) WHERE c <> '')
 GROUP BY origin, content_id""", "clean"))
 def q_union_courses(spark, sf):
     """Comments from both sources accumulated by name."""
@@ -883,14 +901,14 @@ def q_union_courses(spark, sf):
 def _default_categoriser(text: str) -> dict:
     """A per-row Python stand-in for a remote model: the same keyword rule in Python."""
     import re
-    from ..fixed import CATEGORY_KEYWORDS, NEGATIVE_TAXONOMY
+    from ..fixed import CATEGORY_KEYWORDS, FALLBACK_CATEGORY_NO, NEGATIVE_TAXONOMY
     toks = re.findall(r"[^\W\d_]+", (text or "").lower())
     best, best_n = None, 0
     for no, kws in CATEGORY_KEYWORDS:
         n = sum(1 for t in toks if t in set(kws))
         if n > best_n:
             best, best_n = no, n
-    no = best or (1 + (len(text or "") % 7) * (len(text or "") % 3))
+    no = best or FALLBACK_CATEGORY_NO
     return {"category_no": no, "category": NEGATIVE_TAXONOMY[no - 1][1]}
 
 

@@ -1,9 +1,8 @@
 """The standard flow, composed once from the operators.
 
-Each function returns a lazy DataFrame; nothing here triggers a job.  Callers that
-reuse an intermediate several times in one job graph (the dashboard bundle, the bench)
-should ``session.materialize`` the expensive text-scoring step once; the per-query
-entry points stay lazy so Catalyst can prune columns and push filters into the scan.
+Functions return lazy DataFrames, but for the fact tables (``scored_full`` and what is built
+on it): these are written to the shared folder when the function is called, because
+several branches of one plan read them.
 """
 
 from __future__ import annotations
@@ -12,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import category, clean, dashboard, language, sentiment
+from ..operators.taxonomy import join_taxonomy
 from ..session import materialize
-from ..sources.tables import raw_comments
+from ..sources.tables import mapped_category_no, mapped_latency, mapped_sentiment, raw_comments
 
 RESUME_CUTOFF = "2024-03-01"   # the earlier run saw comments dated before this day
 
@@ -31,13 +31,37 @@ def full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged(spark, sf_dir).filter(F.col("bucket") == "full")
 
 
+def tagged_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Full comments with the stored sentiment label (a mapped input)."""
+    c = clean.clean_comments(raw_comments(spark, sf_dir)).filter(F.col("bucket") == "full")
+    return c.withColumn("predicted_sentiment", mapped_sentiment(F.col("comment"), F.col("ordinal")))
+
+
 def detected(spark: SparkSession, sf_dir: str, lenient: bool = False) -> DataFrame:
     prof = language.LENIENT_DETECTION if lenient else language.STRICT_DETECTION
     return language.detect_language(full(spark, sf_dir), prof=prof)
 
 
+def detection_input(spark: SparkSession, sf_dir: str, lenient: bool = False) -> DataFrame:
+    """Stored detection rows (a mapped input): the detector's, with a service latency, and one
+    in thirteen a failed call."""
+    d = detected(spark, sf_dir, lenient)
+    failed = F.col("ordinal") % 13 == 0
+    return (d.withColumn("latency", F.when(failed, 0.0).otherwise(mapped_latency(F.col("comment"))))
+            .withColumn("predicted_language", F.when(failed, "ERROR").otherwise(F.col("predicted_language"))))
+
+
+def categorized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The built-in categoriser (E3) on the comments routed to it."""
+    return category.categorize(tagged_input(spark, sf_dir))
+
+
 def analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return category.categorize(full(spark, sf_dir))
+    """The stored analysis records (a mapped input): negative and positive full comments with
+    their category number, joined to the taxonomy."""
+    t = tagged_input(spark, sf_dir).withColumn("sentiment", F.col("predicted_sentiment"))
+    t = t.filter(F.col("sentiment").isin("negative", "positive"))
+    return category.analysis_records(t.withColumn("category_no", mapped_category_no(F.col("ordinal"))))
 
 
 def earlier_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,19 +71,20 @@ def earlier_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored_full(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = dashboard.STRICT,
                 with_language: bool = False) -> DataFrame:
-    """The dashboard fact table, computed in one row-wise pass and materialised once.
+    """The dashboard fact table, computed in one row-wise pass and written once.
 
-    Full comments + sentiment key + category (negative / positive rows only) + the
-    comment matching key (+ detected language).  It feeds two or three join branches,
-    so it is written once (reliable checkpoint in the cluster's checkpoint folder) and
-    every branch reads it instead of re-running the text scoring.
+    Full comments + sentiment key + stored category (negative / positive rows only) + the
+    comment matching key (+ detected language).  It feeds two or three join branches, so it
+    is written to the shared folder as Parquet, and every branch reads the columns it needs.
     """
-    t = full(spark, sf_dir).withColumn("sentiment", sentiment.sentiment_key(F.col("predicted_sentiment")))
-    t = category.categorize_rows(t).withColumn("norm", profile.norm(F.col("comment")))
+    t = tagged_input(spark, sf_dir).withColumn("sentiment", sentiment.sentiment_key(F.col("predicted_sentiment")))
+    no = F.when(F.col("sentiment").isin("negative", "positive"), mapped_category_no(F.col("ordinal")))
+    t = join_taxonomy(t.withColumn("category_no", no)).withColumn("error", F.lit(None).cast("string"))
+    t = t.withColumn("norm", profile.norm(F.col("comment")))
     if with_language:
         prof = language.LENIENT_DETECTION if profile.lenient else language.STRICT_DETECTION
         t = language.detect_language(t, prof=prof)
-    return materialize(t)
+    return materialize(t, "facts")
 
 
 def _analysis_of(scored: DataFrame) -> DataFrame:

@@ -123,7 +123,7 @@ def _lang_sql(src: str, lenient: bool) -> str:
     if lenient:
         code = "CASE WHEN b.code IS NULL THEN 'UNKNOWN' ELSE b.code END"
         conf = "CASE WHEN b.code IS NULL OR b.code = 'UNKNOWN' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END"
-        lab = "CASE WHEN b.code IS NULL THEN 'UNKNOWN' ELSE b.code || ':1.0000' END"
+        lab = "coalesce(b.code, 'UNKNOWN') || ':1.0000'"
         bc = "'UNKNOWN'"
     else:
         code = "CASE WHEN b.code IS NULL THEN 'en' WHEN b.code = 'unknown' THEN 'hinglish' ELSE b.code END"
@@ -160,7 +160,7 @@ def _enriched_sql(lenient: bool) -> str:
     return f"""SELECT t.content_id, t.content_name, t.ordinal, t.comment, t.comment_date, t.sentiment, t.norm,
        CASE WHEN t.sentiment = 'negative' THEN coalesce(a.category, 'Other Issue') ELSE 'Other Issue' END AS issue,
        CASE WHEN t.sentiment = 'positive' THEN coalesce(a.category, '') ELSE '' END AS strength
-FROM (SELECT *, {s_sent_key('predicted_sentiment')} AS sentiment, {norm} AS norm FROM full_t) t
+FROM (SELECT *, {s_sent_key('predicted_sentiment')} AS sentiment, {norm} AS norm FROM full_m) t
 LEFT JOIN {look} a ON a.content_id = t.content_id AND a.sentiment = t.sentiment AND a.norm = t.norm"""
 
 
@@ -211,30 +211,43 @@ CTES: dict[str, tuple[str, list[str]]] = {
                USING (ordinal)""", ["lang_hits"]),
     "lang_best": ("""SELECT ordinal, max(CASE WHEN rk = 1 THEN code END) AS code,
                     max(CASE WHEN rk = 1 THEN score END) AS score,
-                    string_agg(code || ':' || printf('%.4f', round(score, 4)), '; ' ORDER BY rk) AS labels
+                    string_agg(code || ':' || printf('%.4f', score), '; ' ORDER BY rk) AS labels
                   FROM lang_c GROUP BY ordinal""", ["lang_c"]),
     "lang": (_lang_sql("full_t", False), ["full_t", "lang_best"]),
     "lang_len": (_lang_sql("full_t", True), ["full_t", "lang_best"]),
+    **{f"lang_in{x}": (f"""SELECT * REPLACE (
+         CASE WHEN ordinal % 13 = 0 THEN 'ERROR' ELSE predicted_language END AS predicted_language,
+         CASE WHEN ordinal % 13 = 0 THEN 0.0::DOUBLE ELSE CAST(length(comment) % 50 AS DOUBLE) / 1000.0::DOUBLE END AS latency)
+       FROM lang{x}""", [f"lang{x}"]) for x in ("", "_len")},
     "kw": (f"SELECT * FROM {_keywords()}", []),
     "tax": (f"SELECT * FROM {_taxonomy()}", []),
-    "negpos": ("SELECT *, predicted_sentiment AS sentiment FROM full_t "
-               "WHERE predicted_sentiment IN ('negative', 'positive')", ["full_t"]),
+    # stored labels and category numbers: inputs mapped from the driver's tables
+    "full_m": (f"""SELECT * EXCLUDE (predicted_sentiment, score), CASE
+                  WHEN length(comment) % 20 < 2 + 3 * (ordinal % {N_COURSES}) THEN 'negative'
+                  WHEN length(comment) % 3 = 0 THEN 'neutral' ELSE 'positive' END AS predicted_sentiment
+                FROM full_t""", ["full_t"]),
+    "negpos": ("SELECT *, predicted_sentiment AS sentiment FROM full_m "
+               "WHERE predicted_sentiment IN ('negative', 'positive')", ["full_m"]),
     "cat_best": (f"""SELECT ordinal, no FROM (
                    SELECT ordinal, no, row_number() OVER (PARTITION BY ordinal ORDER BY count(*) DESC, no) AS rk
                    FROM (SELECT ordinal, unnest({s_tokens('comment')}) AS tok FROM negpos) t
                    JOIN kw ON kw.word = t.tok GROUP BY ordinal, no) WHERE rk = 1""", ["negpos", "kw"]),
-    "analysis": ("""SELECT n.*, x.category_no, tax.category, tax.root_cause, tax.owner, tax.priority, tax.actions,
+    "categorized": ("""SELECT n.*, x.category_no, tax.category, tax.root_cause, tax.owner, tax.priority, tax.actions,
                    CAST(length(n.comment) AS BIGINT) AS usage_input, CAST(length(tax.category) AS BIGINT) AS usage_output
                  FROM negpos n
-                 JOIN (SELECT n2.ordinal, CAST(coalesce(b.no, 1 + (length(n2.comment) % 7) * (length(n2.comment) % 3))
-                               AS INTEGER) AS category_no
+                 JOIN (SELECT n2.ordinal, CAST(coalesce(b.no, 15) AS INTEGER) AS category_no
                        FROM negpos n2 LEFT JOIN cat_best b USING (ordinal)) x USING (ordinal)
                  LEFT JOIN tax ON tax.sentiment = n.sentiment AND tax.category_no = x.category_no""",
-                 ["negpos", "cat_best", "tax"]),
+                    ["negpos", "cat_best", "tax"]),
+    "analysis": (f"""SELECT n.*, tax.category_no, tax.category, tax.root_cause, tax.owner, tax.priority, tax.actions,
+                   CAST(length(n.comment) AS BIGINT) AS usage_input, CAST(length(tax.category) AS BIGINT) AS usage_output
+                 FROM negpos n JOIN tax ON tax.sentiment = n.sentiment
+                   AND tax.category_no = 1 + (((n.ordinal // {N_COURSES}) % 9) * ((n.ordinal // {N_COURSES}) % 4)) % 15""",
+                 ["negpos", "tax"]),
     "a_lookup": (_a_lookup_sql(False), ["analysis"]),
     "a_lookup_len": (_a_lookup_sql(True), ["analysis"]),
-    "enriched": (_enriched_sql(False), ["full_t", "a_lookup"]),
-    "enriched_len": (_enriched_sql(True), ["full_t", "a_lookup_len"]),
+    "enriched": (_enriched_sql(False), ["full_m", "a_lookup"]),
+    "enriched_len": (_enriched_sql(True), ["full_m", "a_lookup_len"]),
     "cmap": (_cmap_sql("enriched"), ["enriched"]),
     "cmap_len": (_cmap_sql("enriched_len"), ["enriched_len"]),
     "lang_dim": (f"SELECT * FROM {_lang_dim(False)}", []),

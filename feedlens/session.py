@@ -2,14 +2,14 @@
 
 The library never creates a session inside an operator; callers pass one in.  These
 helpers are for scripts and tests: sensible defaults for AQE, skew handling and Arrow,
-and a checkpoint directory that comes from the cluster (``spark.checkpoint.dir``) and
-is only filled in locally when the cluster did not name one.
+and the shared folder for intermediate tables (``spark.checkpoint.dir``).
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,35 +46,46 @@ def build_session(master: str | None = None, app: str = "feedlens", shuffle_part
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a scratch folder is created and set.
+    Only a session that runs in one process (tests, the bench) gets a folder of its own
+    when none is named; on a cluster a folder of one machine would lose data.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: the server owns the checkpoint folder
         sc = None
-    d = (sc.getCheckpointDir() if sc else None) or spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        if sc is None or not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="feedlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return d
+    return d.rstrip("/")
 
 
-def materialize(df: DataFrame, name: str | None = None) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+def scratch_path(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark)}/{name}"
 
-    Used after Python hooks so that several downstream aggregates do not re-run the
-    hook, and so that a lost executor does not trigger a recompute through the hook.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write a table once to the shared folder as Parquet and read it back.
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return os.path.join(checkpoint_dir(spark), name)
+    Used where several branches read one expensive result: they scan only the columns
+    they need, and a lost executor recomputes nothing above the table.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a folder below the shared folder once nothing reads it any more."""
+    if not path.startswith(checkpoint_dir(spark)):
+        raise ValueError(f"not below the shared folder: {path}")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 _SHIPPED: set = set()

@@ -26,15 +26,16 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_course_files(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K2: one folder per course."""
-    _csv(df.repartition("content_id"), mode).partitionBy("content_id").csv(path)
+    """K2: one folder per course.  The rebalance gathers small courses and splits a large one,
+    so a hot course is written by several tasks."""
+    _csv(df.hint("rebalance", F.col("content_id")), mode).partitionBy("content_id").csv(path)
 
 
 def write_split(split: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K1: short and full comments per course, blank ones left out."""
     out = split.filter(F.col("bucket") != "skipped").select(
         "bucket", "content_id", "content_name", "comment", "comment_date", "ordinal")
-    _csv(out.repartition("bucket", "content_id"), mode).partitionBy("bucket", "content_id").csv(path)
+    _csv(out.hint("rebalance", F.col("bucket"), F.col("content_id")), mode).partitionBy("bucket", "content_id").csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
@@ -58,7 +59,7 @@ def analysis_records(analysis: DataFrame) -> DataFrame:
 
 def write_analysis_json(analysis: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K3: JSON lines per sentiment and course; non-ASCII text kept as is."""
-    (analysis_records(analysis).repartition("sentiment", "content_id").write.mode(mode)
+    (analysis_records(analysis).hint("rebalance", F.col("sentiment"), F.col("content_id")).write.mode(mode)
      .partitionBy("sentiment", "content_id").json(path))
 
 
@@ -85,7 +86,3 @@ def count_report_lines(counts: DataFrame, label: str) -> DataFrame:
     head = counts.sparkSession.createDataFrame(
         [(f"{label} count summary:", 0, ""), ("-" * 40, 0, "~"), ("-" * 40, 2, "")], "line string, part int, k string")
     return head.unionByName(body).unionByName(total)
-
-
-def write_report(lines: DataFrame, path: str) -> None:
-    lines.orderBy("part", "k").select("line").coalesce(1).write.mode("overwrite").text(path)

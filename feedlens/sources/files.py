@@ -74,9 +74,11 @@ def required_columns(df: DataFrame, required: list[str]) -> DataFrame:
     return df.withColumn("reject_reason", F.when(bad, F.lit("null required field")))
 
 
-def scan_analysis_json(spark: SparkSession, path: str, schema: T.StructType = ANALYSIS_FILE_SCHEMA) -> DataFrame:
-    """Per-comment analysis records (JSON arrays or JSON lines)."""
-    return (spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE")
+def scan_analysis_json(spark: SparkSession, path: str, schema: T.StructType = ANALYSIS_FILE_SCHEMA,
+                       arrays: bool = True) -> DataFrame:
+    """Per-comment analysis records: one JSON array per file, or (``arrays=False``) the JSON
+    lines that K3 writes, which Spark can split."""
+    return (spark.read.schema(schema).option("multiLine", arrays).option("mode", "PERMISSIVE")
             .json(path).withColumn("source_file", F.col("_metadata.file_name")))
 
 
@@ -100,7 +102,3 @@ def row_limit(df: DataFrame, n: int, by: str = "content_id", order: str = "ordin
     from pyspark.sql import Window
     w = Window.partitionBy(by).orderBy(F.col(order))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
-
-
-def trimmed(col: str) -> Column:
-    return utrim(F.col(col))

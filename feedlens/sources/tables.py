@@ -29,28 +29,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """Spread the rows over the cluster when the scan itself is too narrow.
-
-    A large input arrives as many file splits and is left alone (no shuffle, no copy).
-    A single-row-group file would otherwise put every per-row text computation into one
-    task: Catalyst pushes filters (which here test scored text) below a plain
-    repartition, back into the single scan task.  So the spread copy is materialised
-    (reliable checkpoint in the cluster's checkpoint folder), which also gives a
-    boundary filters cannot cross.  The decision uses planning metadata only.
-    """
-    spark = df.sparkSession
-    try:
-        want = spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Spark Connect session): leave as is
-        return df
-    if have < want:
-        from ..session import materialize
-        return materialize(df.repartition(want))
-    return df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(table_path(sf_dir, name))
     missing = [c for c in REQUIRED.get(name, []) if c not in df.columns]
@@ -75,7 +53,7 @@ def comment_date_of(ordinal: Column) -> Column:
 
 def raw_comments(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataFrame:
     """Raw comment rows derived from ``documents`` (whole texts, all rows)."""
-    docs = spread_if_narrow(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     cols = [
         F.concat(F.lit("course_"), (F.col("doc_id") % N_COURSES).cast("string")).alias("content_id"),
         F.concat(F.lit("Course "), (F.col("doc_id") % N_COURSES).cast("string")).alias("content_name"),
@@ -94,12 +72,31 @@ def raw_comments(spark: SparkSession, sf_dir: str, with_labels: bool = False) ->
 
 
 def conversation_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User turns of ``conversations`` as a second comment source (same schema)."""
-    conv = spread_if_narrow(spark.read.parquet(table_path(sf_dir, "conversations")))
-    return (conv.filter(F.col("role") == "user")
-            .select(F.concat(F.lit("course_"), (F.col("conv_id") % N_COURSES).cast("string")).alias("content_id"),
-                    F.concat(F.lit("Course "), (F.col("conv_id") % N_COURSES).cast("string")).alias("content_name"),
-                    F.col("text").alias("comment"),
-                    comment_date_of(F.col("conv_id")).alias("comment_date"),
-                    (F.col("conv_id") * 1000 + F.col("turn")).alias("ordinal"),
-                    F.lit(None).cast("string").alias("true_lang")))
+    """All turns of ``conversations`` as a second comment source (same schema)."""
+    conv = spark.read.parquet(table_path(sf_dir, "conversations"))
+    return conv.select(F.concat(F.lit("course_"), (F.col("conv_id") % N_COURSES).cast("string")).alias("content_id"),
+                       F.concat(F.lit("Course "), (F.col("conv_id") % N_COURSES).cast("string")).alias("content_name"),
+                       F.col("text").alias("comment"),
+                       comment_date_of(F.col("conv_id")).alias("comment_date"),
+                       (F.col("conv_id") * 1000 + F.col("turn")).alias("ordinal"),
+                       F.lit(None).cast("string").alias("true_lang"))
+
+
+# ----------------------------------------------------------------------------- mapped inputs
+# The driver's tables hold no labelled or analysed comments.  These columns stand for what a
+# sentiment model and an analysis service had stored beforehand: inputs, not operators.
+def mapped_sentiment(comment: Column, ordinal: Column) -> Column:
+    """Input: the stored sentiment label; the negative share rises with the course number."""
+    n = F.length(comment)
+    return (F.when(n % 20 < 2 + 3 * (ordinal % N_COURSES), "negative").when(n % 3 == 0, "neutral").otherwise("positive"))
+
+
+def mapped_category_no(ordinal: Column) -> Column:
+    """Input: the stored category number, skewed to 1, so that all tiers occur."""
+    k = F.floor(ordinal / N_COURSES)
+    return (1 + ((k % 9) * (k % 4)) % 15).cast("int")
+
+
+def mapped_latency(comment: Column) -> Column:
+    """Input: the stored service latency in seconds."""
+    return (F.length(comment) % 50).cast("double") / 1000.0

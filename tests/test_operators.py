@@ -158,7 +158,7 @@ def test_parse_analysis_invalid(spark):
                                "raw string")
     rows = df.select(enrich.parse_analysis(F.col("raw")).alias("a")).collect()
     assert rows[0]["a"]["Issue Category"] == "Engagement" and rows[0]["a"]["Error"] is None
-    assert rows[1]["a"]["Error"] == "Invalid JSON response" and rows[1]["a"]["Raw Output"] == "not json"
+    assert rows[1]["a"]["Error"] == "Failed to parse JSON" and rows[1]["a"]["Raw Output"] == "not json"
 
 
 def test_csv_round_trip_keeps_quoted_newlines(spark, tmp_path):

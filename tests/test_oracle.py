@@ -6,11 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from feedlens.plans import catalog
 from conftest import SF_SMALL
 
-KEYS = ["clean_split", "course_length_counts", "score_sentiment", "detect_language", "categorize",
-        "category_groups", "tier", "join_analysis", "course_stats", "join_language_inner", "language_summary",
-        "top_issues", "word_frequency", "classification_report", "pending_language", "category_block"]
+KEYS = sorted(catalog.oracle_sql())
 
 
 def _norm(v):
