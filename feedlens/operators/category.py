@@ -1,4 +1,4 @@
-"""Categorisation (E3) and the category summary rules.
+"""Categorisation (E3) and the category summary rules.
 
 E3 built-in: keyword rules.  The whole text's tokens are mapped through one literal
 word -> category map; the category with most hits wins (ties: lower number).  A text
@@ -227,72 +227,3 @@ def category_block(groups: DataFrame, samples: DataFrame) -> DataFrame:
             .agg(F.max("total").alias("total_count"),
                  F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "block"))),
                                           lambda x: x["block"]), "\n").alias("category_data")))
-
-
-def category_summary(tiered: DataFrame, actions: DataFrame) -> DataFrame:
-    """E5: the structured summary document per (course, sentiment).
-
-    Prose fields that only a model can write (bullets, themes, impact) are left null
-    unless a hook fills them; every countable field is computed here.
-    """
-    items = tiered.select(
-        "content_id", "sentiment", "rank", "count", "total",
-        F.struct(F.col("category"), F.col("count"), (F.col("share") * 100.0).alias("percent"), F.col("tier"),
-                 F.when(F.col("noise"), F.array(F.lit("low-signal — no specific detail")))
-                 .otherwise(F.lit(None).cast("array<string>")).alias("key_themes"),
-                 F.col("urgency"),
-                 F.when(F.col("rank") <= AMPLIFY_TOP, F.element_at(F.col("actions"), 1))
-                 .alias("amplification_suggestion"),
-                 F.when(F.col("noise") | (F.col("tier") == "excluded"), F.array().cast(
-                     "array<struct<action:string,owner:string,priority:string,expected_impact:string>>"))
-                 .otherwise(F.transform(F.slice(F.col("actions"), 1, SAMPLE_ACTIONS),
-                                        lambda a: F.struct(a.alias("action"), F.col("owner").alias("owner"),
-                                                           F.col("priority").alias("priority"),
-                                                           F.lit(None).cast("string").alias("expected_impact"))))
-                 .alias("action_items")).alias("item"))
-    docs = (items.groupBy("content_id", "sentiment")
-            .agg(F.max("total").alias("total_comments"),
-                 F.transform(F.array_sort(F.collect_list(F.struct("rank", "item"))), lambda x: x["item"])
-                 .alias("category_summaries")))
-    tops = (actions.groupBy("content_id")
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("action_rank", "action", "category", "owner",
-                                                                   "priority"))),
-                             lambda x: F.struct(x["action"].alias("action"), x["category"].alias("category"),
-                                                x["owner"].alias("owner"), x["priority"].alias("priority")))
-                 .alias("top_priority_actions"))
-            .withColumn("sentiment", F.lit("negative")))
-    return docs.join(tops, ["content_id", "sentiment"], "left")
-
-
-def summary_contract(summary: DataFrame, tiered: DataFrame) -> DataFrame:
-    """Rule violations of summary documents, checked against the recomputed groups.
-
-    Rules: categories listed by count desc (position = rank); count and share match the
-    data; a negative document has exactly 3 top actions; a non-excluded positive
-    category carries at least 2 actions and an excluded one none.  One row per
-    violation (content_id, sentiment, category, rule); an empty result means the
-    documents keep the contract.
-    """
-    items = summary.select("content_id", "sentiment", "top_priority_actions",
-                           F.posexplode("category_summaries").alias("pos", "item"))
-    ref = tiered.select("content_id", "sentiment", "category", F.col("rank").alias("ref_rank"),
-                        F.col("count").alias("ref_count"), (F.col("share") * 100.0).alias("ref_percent"),
-                        F.col("tier").alias("ref_tier"))
-    j = items.join(ref, (items["content_id"] == ref["content_id"]) & (items["sentiment"] == ref["sentiment"])
-                   & (F.col("item.category") == ref["category"]), "left")
-    n_actions = F.size(F.coalesce(F.col("item.action_items"), F.array()))
-    rules = F.array(
-        F.when(F.col("ref_rank").isNull(), F.lit("unknown category")),
-        F.when(F.col("pos") + 1 != F.col("ref_rank"), F.lit("not ordered by count")),
-        F.when(F.col("item.count") != F.col("ref_count"), F.lit("count differs")),
-        F.when(F.abs(F.col("item.percent") - F.col("ref_percent")) > 1e-9, F.lit("share differs")),
-        F.when((items["sentiment"] == "positive") & (F.col("ref_tier") != "excluded") & (n_actions < 2),
-               F.lit("too few actions")),
-        F.when((F.col("ref_tier") == "excluded") & (n_actions > 0), F.lit("actions on excluded category")))
-    per_item = j.select(items["content_id"], items["sentiment"], F.col("item.category").alias("category"),
-                        F.explode(F.filter(rules, lambda r: r.isNotNull())).alias("rule"))
-    docs = summary.filter((F.col("sentiment") == "negative")
-                          & (F.size(F.coalesce(F.col("top_priority_actions"), F.array())) != TOP_PRIORITY_ACTIONS)) \
-        .select("content_id", "sentiment", F.lit(None).cast("string").alias("category"),
-                F.lit("top actions not exactly 3").alias("rule"))
-    return per_item.unionByName(docs)

@@ -322,32 +322,83 @@ def overall(enriched: DataFrame) -> DataFrame:
         (F.col("neutral_count") / tot * 100.0).alias("neutral_percent"))
 
 
+def _pairs(rows: DataFrame, keys: list[str], kind: str, out: str) -> DataFrame:
+    """Per key the ranked (name, count) pairs of one kind: at most 15, the taxonomy's size."""
+    ranked = rows.filter(F.col("kind") == kind).groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("rank", "name", "count"))).alias(out))
+    return ranked.withColumn(out, F.transform(out, lambda x: x.dropFields("rank")))
+
+
+def course_payload(enriched: DataFrame, facts: DataFrame, profile: Profile = STRICT) -> DataFrame:
+    """K5, courses: one JSON value per visible course (content_id, payload), in the upstream fields
+    but for the summary documents (``documents.attach``).  No course is gathered with another."""
+    cs = course_stats(enriched).filter(~F.col("hidden"))
+    counted = language_rows_counted(facts, profile)
+    tops = course_top_languages(counted, lenient=profile.lenient).groupBy("content_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("rank", "badge"))), lambda x: x["badge"]).alias("languages"))
+    by_lang = language_sentiment(counted).filter("gid = 0").groupBy("content_id").agg(F.map_from_entries(F.collect_list(F.struct(
+        "lang_name", F.struct("positive_count", "negative_count", "neutral_count")))).alias("course_lang_sentiment"))
+    cats = course_top_categories(enriched)
+    for part in (tops, by_lang, _pairs(cats, ["content_id"], "issue", "issues"), _pairs(cats, ["content_id"], "strength", "strengths")):
+        cs = cs.join(part, "content_id", "left")
+    none = F.array().cast("array<struct<name:string,count:bigint>>")
+    return cs.select("content_id", "course_rank", F.to_json(F.struct(
+        "name", F.col("content_id").alias("id"), F.format_number("total", 0).alias("total_comments"),
+        F.coalesce("languages", F.array().cast("array<string>")).alias("languages"), "positive_count", "negative_count", "neutral_count",
+        "positive_width", "negative_width", "neutral_width", "alert_class", "alert_label", "course_lang_sentiment",
+        F.coalesce("issues", none).alias("issues"), F.coalesce("strengths", none).alias("strengths"),
+        F.col("total").alias("sort_key"))).alias("payload"))
+
+
+def bucket_payload(facts: DataFrame, enriched: DataFrame, profile: Profile = STRICT) -> DataFrame:
+    """K5 / A10, buckets: one JSON value per course and language with its counts, ranked issues and
+    strengths and the deduplicated comments of each sentiment, latest first.
+
+    A bucket's comment lists are its value, as upstream; to read comments at scale use the
+    rows of ``bucket_comments`` instead.
+    """
+    key = ["content_id", "lang_name"]
+    cats = bucket_categories(facts, profile.bucket_issue_limit)
+    lists = bucket_comments(facts).select(*key, "sentiment", F.struct(
+        F.col("date"), (-F.col("ordinal")).alias("o"), F.struct("comment", "date", F.col("lang_name").alias("language"), "sentiment", "analysis").alias("c")).alias("c"))
+    per = [F.transform(F.sort_array(F.collect_list(F.when(F.col("sentiment") == s, F.col("c"))), asc=False), lambda x: x["c"]).alias(f"{s}_comments")
+           for s in ("negative", "positive", "neutral")]
+    names = course_stats(enriched).select("content_id", F.col("name").alias("course"))
+    out = flat_buckets(facts).join(names, "content_id", "left")
+    for part in (_pairs(cats, key, "issue", "issues"), _pairs(cats, key, "strength", "strengths"), lists.groupBy(*key).agg(*per)):
+        out = out.join(part, key, "left")
+    none = F.array().cast("array<struct<name:string,count:bigint>>")
+    return out.select(*key, F.to_json(F.struct(
+        "course", F.col("content_id").alias("course_id"), F.col("lang_name").alias("lang"), "pos", "neg", "neu",
+        F.coalesce("issues", none).alias("issues"), *([] if profile.lenient else [F.coalesce("strengths", none).alias("strengths")]),
+        "negative_comments", "positive_comments", "neutral_comments")).alias("payload"))
+
+
 def dashboard_payload(enriched: DataFrame, facts: DataFrame, profile: Profile = STRICT) -> DataFrame:
-    """K5: the whole metrics bundle as one JSON value (one row).
+    """K5, totals: the corpus-wide part of the metrics bundle as one JSON value (one row).
 
-    Each part is an aggregate whose size is bounded by courses x languages x
-    categories (never by comments); only these small results are nested.
+    Courses and buckets are values of their own (``course_payload``, ``bucket_payload``);
+    here are totals, languages, top categories and the list of course names.
     """
     ov = overall(enriched)
     cs = course_stats(enriched).filter(~F.col("hidden"))
     courses = cs.agg(F.transform(F.array_sort(F.collect_list(F.struct(
-        "course_rank", "content_id", "name", "total", "positive_count", "negative_count", "neutral_count",
-        "positive_width", "negative_width", "neutral_width", "alert_class", "alert_label"))),
-        lambda x: x.dropFields("course_rank")).alias("courses"))
+        "course_rank", "name", F.format_number("total", 0).alias("count")))),
+        lambda x: x.dropFields("course_rank")).alias("course_list"))
     langs = language_summary(language_rows_counted(facts, profile), profile.lenient).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(
-            "display_rank", "name", pct_text(F.col("percent"), 1).alias("percent"), "count", "skew_class",
-            "skew_label", "positive_count", "negative_count", "neutral_count",
+            "display_rank", "name", pct_text(F.col("percent"), 1).alias("percent"), F.format_number("count", 0).alias("count"), "skew_class",
+            "skew_label", *[F.format_number(f"{k}_count", 0).alias(f"{k}_count") for k in ("positive", "negative", "neutral")],
             pct_text(F.col("positive_pct"), 0).alias("positive_pct"),
             pct_text(F.col("negative_pct"), 0).alias("negative_pct"),
             pct_text(F.col("neutral_pct"), 0).alias("neutral_pct")))),
             lambda x: x.dropFields("display_rank")).alias("languages"))
     ti = top_categories(enriched, "issue", profile.top_issues).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "name", "count",
+        F.transform(F.array_sort(F.collect_list(F.struct("rank", "name", F.format_number("count", 0).alias("count"),
                                                          pct_text(F.col("percent"), 1).alias("percent")))),
                     lambda x: x.dropFields("rank")).alias("top_issues"))
     ts = top_categories(enriched, "strength", TOP_STRENGTHS).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rank", "name", "count",
+        F.transform(F.array_sort(F.collect_list(F.struct("rank", "name", F.format_number("count", 0).alias("count"),
                                                          pct_text(F.col("percent"), 1).alias("percent")))),
                     lambda x: x.dropFields("rank")).alias("top_strengths"))
     parts = ov
@@ -362,5 +413,5 @@ def dashboard_payload(enriched: DataFrame, facts: DataFrame, profile: Profile =
         pct_text(F.col("positive_percent")).alias("overall_positive_percent"),
         pct_text(F.col("negative_percent")).alias("overall_negative_percent"),
         pct_text(F.col("neutral_percent")).alias("overall_neutral_percent"),
-        "courses", "languages", F.transform("languages", lambda x: x["name"]).alias("language_chips"),
+        "course_list", "languages", F.transform("languages", lambda x: x["name"]).alias("language_chips"),
         "top_issues", "top_strengths")).alias("payload"))

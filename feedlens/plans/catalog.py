@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..fixed import ANALYSIS_RECORD_FIELD, ANALYSIS_SENTIMENT_FIELD, BLOCKING_PATTERN, TOP_ISSUES, TOP_ISSUES_LENIENT, TOP_STRENGTHS
 from ..functions import text as tx
-from ..operators import category, clean, dashboard, enrich, evaluate, language, sentiment, words
+from ..operators import category, clean, dashboard, documents, enrich, evaluate, language, sentiment, words
 from ..schemas import ANALYSIS_FILE_SCHEMA, RAW_COMMENT_SCHEMA, TAGGED_FILE_SCHEMA
 from ..session import scratch_path
 from ..sinks import files as sinks
@@ -28,6 +28,7 @@ Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
 
 ROW_LIMIT = 20
+FILE_LIMIT = 3
 PROMPT_TEMPLATE = ("Course '{content_name}' received this {sentiment} comment:\n\"{comment}\"\n"
                    "Answer as JSON: {{ \"category\": \"...\", \"tags\": {{}} }}")
 
@@ -122,10 +123,10 @@ def q_required_columns(spark, sf):
 @register("row_limit", with_ctes(f"""
 SELECT content_id, ordinal FROM (
   SELECT content_id, ordinal, row_number() OVER (PARTITION BY content_id ORDER BY ordinal) AS rn FROM clean)
-WHERE rn <= {ROW_LIMIT}""", "clean"))
+WHERE rn <= {ROW_LIMIT} AND content_id IN (SELECT DISTINCT content_id FROM clean ORDER BY 1 LIMIT {FILE_LIMIT})""", "clean"))
 def q_row_limit(spark, sf):
-    """Trial-run cap (the feature itself): first 20 comments per course."""
-    return src.row_limit(clean.clean_comments(raw_comments(spark, sf)), ROW_LIMIT).select("content_id", "ordinal")
+    """Trial-run caps (the feature itself): first 20 comments of each of the first 3 courses."""
+    return src.row_limit(clean.clean_comments(raw_comments(spark, sf)), ROW_LIMIT, files=FILE_LIMIT).select("content_id", "ordinal")
 
 
 # ============================================================================ projections
@@ -412,8 +413,8 @@ FROM (SELECT content_id, arg_min(content_name, CASE WHEN content_name <> '' THEN
 CTES_CS = f"cs AS ({_CS})"
 
 
-def _cs_sql(final: str) -> str:
-    base = with_ctes("SELECT 1", "enriched")
+def _cs_sql(final: str, *names: str) -> str:
+    base = with_ctes("SELECT 1", "enriched", *names)
     return base[:-len("SELECT 1")].rstrip() + ",\n" + CTES_CS + "\n" + final
 
 
@@ -897,95 +898,230 @@ def q_union_courses(spark, sf):
     return d.unionByName(c).groupBy("origin", "content_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-# ============================================================================ hooks and exports (rows-only)
+# ============================================================================ hooks and exports
 def _default_categoriser(text: str) -> dict:
-    """A per-row Python stand-in for a remote model: the same keyword rule in Python."""
+    """A client of a remote model would stand here; this one applies the keyword rule, and
+    fails on some texts as a service does."""
     import re
+    from collections import Counter
     from ..fixed import CATEGORY_KEYWORDS, FALLBACK_CATEGORY_NO, NEGATIVE_TAXONOMY
-    toks = re.findall(r"[^\W\d_]+", (text or "").lower())
-    best, best_n = None, 0
-    for no, kws in CATEGORY_KEYWORDS:
-        n = sum(1 for t in toks if t in set(kws))
-        if n > best_n:
-            best, best_n = no, n
-    no = best or FALLBACK_CATEGORY_NO
+    if len(text or "") % 17 == 0:
+        raise ValueError("no answer")
+    counts = Counter(re.findall(r"[^\W\d_]+", (text or "").lower()))
+    hits = [(sum(counts[w] for w in set(words)), -no) for no, words in CATEGORY_KEYWORDS]
+    best = max(hits)
+    no = -best[1] if best[0] else FALLBACK_CATEGORY_NO
     return {"category_no": no, "category": NEGATIVE_TAXONOMY[no - 1][1]}
 
 
-@register("enrich_partitions", None)
+@register("enrich_partitions", with_ctes("""
+SELECT content_id, ordinal, CASE WHEN length(comment) % 17 <> 0 THEN CAST(category_no AS BIGINT) END AS category_no,
+       CASE WHEN length(comment) % 17 <> 0 THEN category END AS category,
+       CASE WHEN length(comment) % 17 = 0 THEN 'ERROR: no answer' END AS error,
+       CAST(CASE WHEN length(comment) % 17 = 0 THEN 2 ELSE 1 END AS BIGINT) AS attempts
+FROM categorized WHERE sentiment = 'negative'""", "categorized"))
 def q_enrich_partitions(spark, sf):
     """Negative comments categorised through the per-partition hook (bounded
     parallelism, retry, errors as data)."""
-    t = sentiment.sentiment_filter(flows.full(spark, sf), "negative").select("content_id", "ordinal", "comment")
+    t = sentiment.sentiment_filter(flows.tagged_input(spark, sf), "negative").select("content_id", "ordinal", "comment")
     schema = T.StructType([T.StructField("category_no", T.LongType()), T.StructField("category", T.StringType())])
-    return enrich.enrich_partitions(t, _default_categoriser, "comment", schema, partitions=8).drop("comment")
+    out = enrich.enrich_partitions(t, _default_categoriser, "comment", schema, partitions=8, max_tries=2, other_delay=0.0)
+    return out.select("content_id", "ordinal", "category_no", "category", "error", L("attempts").alias("attempts"))
 
 
-@register("category_summary", None)
+def _documents(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    from ..session import materialize
+    t = materialize(flows.tiered(spark, sf), "tiered")        # a row per course, sentiment and category
+    return documents.negative_documents(t, category.top_priority_actions(t)), documents.positive_documents(t), t
+
+
+_DOC_SQL = """
+SELECT t.content_id, t.sentiment, t.rank - 1 AS pos, t.category, t.count, t.share * 100.0::DOUBLE AS percent, t.tier,
+       CASE WHEN t.sentiment = 'negative' THEN t.urgency END AS urgency,
+       CASE WHEN t.sentiment = 'positive' AND t.rank <= 3 AND NOT t.noise THEN t.actions[1] END AS suggestion,
+       CAST(CASE WHEN t.tier = 'excluded' OR (t.sentiment = 'negative' AND t.noise) THEN 0
+                 WHEN t.sentiment = 'positive' THEN least(3, len(t.actions))
+                 ELSE (SELECT least(3, count(*)) FROM (SELECT unnest(t.actions) AS a) x
+                       WHERE NOT EXISTS (SELECT 1 FROM tiered o WHERE o.content_id = t.content_id AND o.sentiment = 'negative'
+                         AND o.tier <> 'excluded' AND NOT o.noise AND list_contains(o.actions, x.a) AND
+                         (CASE o.priority WHEN 'Critical' THEN 1 WHEN 'High' THEN 2 WHEN 'Medium' THEN 3 WHEN 'Low' THEN 4 ELSE 5 END, o.rank)
+                         < (CASE t.priority WHEN 'Critical' THEN 1 WHEN 'High' THEN 2 WHEN 'Medium' THEN 3 WHEN 'Low' THEN 4 ELSE 5 END, t.rank)))
+            END AS BIGINT) AS n_actions
+FROM tiered t"""
+
+
+def _flat_documents(neg: DataFrame, pos: DataFrame) -> DataFrame:
+    def flat(docs, s):
+        i = docs.select("content_id", F.lit(s).alias("sentiment"), F.posexplode("category_summaries").alias("pos", "i"))
+        null = F.lit(None).cast("string")
+        return i.select("content_id", "sentiment", L("pos").alias("pos"), "i.category", "i.count", F.col(f"i.percent_of_{s}").alias("percent"), "i.tier",
+                        (F.col("i.urgency") if s == "negative" else null).alias("urgency"),
+                        (F.col("i.amplification_suggestion") if s == "positive" else null).alias("suggestion"),
+                        L(F.size("i.action_items")).alias("n_actions"))
+    return flat(neg, "negative").unionByName(flat(pos, "positive"))
+
+
+@register("category_summary", with_ctes(_DOC_SQL, "tiered"))
 def q_category_summary(spark, sf):
-    """E5: structured summary documents per course and sentiment."""
-    t = flows.tiered(spark, sf)
-    return category.category_summary(t, category.top_priority_actions(t))
+    """E5: the categories of the summary documents, one row each."""
+    neg, pos, _ = _documents(spark, sf)
+    return _flat_documents(neg, pos)
 
 
-@register("summary_contract", None)
-def q_summary_contract(spark, sf):
-    """Contract violations of the summary documents (written, read back, checked)."""
-    from ..schemas import NEGATIVE_SUMMARY_SCHEMA  # noqa: F401 - documents the on-disk shape
-    t = flows.tiered(spark, sf)
+@register("scan_category_summaries", with_ctes(f"""
+SELECT content_id, category, count, tier, n_actions FROM ({_DOC_SQL}) d WHERE sentiment = 'negative'""", "tiered"))
+def q_scan_category_summaries(spark, sf):
+    """S6 (+K4): documents written per course and read back with the course from the path."""
+    from ..schemas import NEGATIVE_SUMMARY_SCHEMA
+    neg, _, _ = _documents(spark, sf)
     path = _scratch(spark, "summary-json")
-    written = category.category_summary(t, category.top_priority_actions(t))
-    sinks.write_summary_json(written, path)
-    schema = T.StructType([f for f in written.schema.fields if f.name != "sentiment"])
-    docs = spark.read.schema(schema).json(path)          # sentiment comes back from the folder name
-    return category.summary_contract(docs, t)
+    sinks.write_summary_json(neg, path)
+    docs = src.scan_category_summaries(spark, path, NEGATIVE_SUMMARY_SCHEMA, by_folder=True)
+    good, _ = src.split_rejects(docs.withColumn("reject_reason", F.when(F.col("_corrupt_record").isNotNull(), "unreadable")))
+    return good.select(F.col("summary_course").alias("content_id"), F.explode("category_summaries").alias("i")).select(
+        "content_id", "i.category", "i.count", "i.tier", L(F.size("i.action_items")).alias("n_actions"))
 
 
-@register("join_course_summary", None)
+@register("summary_contract", with_ctes("""
+SELECT content_id, sentiment, category, 'count differs' AS rule FROM tiered WHERE content_id = 'course_0' AND sentiment = 'negative'
+UNION ALL
+SELECT content_id, sentiment, category, 'too few actions' FROM tiered
+WHERE content_id = 'course_1' AND sentiment = 'positive' AND tier <> 'excluded'
+UNION ALL
+SELECT DISTINCT content_id, sentiment, NULL, 'top actions not exactly 3' FROM tiered WHERE content_id = 'course_2' AND sentiment = 'negative'""",
+                                        "tiered"))
+def q_summary_contract(spark, sf):
+    """What the contract finds in the documents after three planted faults."""
+    neg, pos, t = _documents(spark, sf)
+    wrong = F.transform("category_summaries", lambda i: i.withField("count", i["count"] + 1))
+    neg = neg.withColumn("category_summaries", F.when(F.col("content_id") == "course_0", wrong).otherwise(F.col("category_summaries")))
+    neg = neg.withColumn("top_priority_actions", F.when(F.col("content_id") == "course_2", F.slice("top_priority_actions", 1, 2))
+                         .otherwise(F.col("top_priority_actions")))
+    bare = F.transform("category_summaries", lambda i: i.withField("action_items", F.slice(i["action_items"], 1, 1)))
+    pos = pos.withColumn("category_summaries", F.when(F.col("content_id") == "course_1", bare).otherwise(F.col("category_summaries")))
+    return documents.contract(neg, pos, t)
+
+
+@register("join_course_summary", _cs_sql("""
+SELECT c.content_id, c.total, CAST(coalesce(g.neg, 0) AS BIGINT) AS negative_comments, CAST(coalesce(g.neg_n, 0) AS BIGINT) AS negative_categories,
+       CAST(coalesce(g.pos, 0) AS BIGINT) AS positive_comments, CAST(coalesce(g.pos_n, 0) AS BIGINT) AS positive_categories
+FROM cs c LEFT JOIN (
+  SELECT content_id, max(total) FILTER (sentiment = 'negative') AS neg, count(*) FILTER (sentiment = 'negative') AS neg_n,
+         max(total) FILTER (sentiment = 'positive') AS pos, count(*) FILTER (sentiment = 'positive') AS pos_n
+  FROM (SELECT content_id, sentiment, category, CAST(sum(n) OVER (PARTITION BY content_id, sentiment) AS BIGINT) AS total
+        FROM (SELECT content_id, sentiment, coalesce(category, 'Other') AS category, count(*) AS n
+              FROM analysis WHERE content_id <> 'course_4' GROUP BY 1, 2, 3)) GROUP BY content_id) g USING (content_id)
+WHERE NOT c.hidden""", "analysis"))
 def q_join_course_summary(spark, sf):
-    """J8 (+K4): course stats with their negative / positive summary documents attached
-    (left join on course; a course without a document keeps null)."""
-    t = flows.tiered(spark, sf)
-    docs = category.category_summary(t, category.top_priority_actions(t))
-    neg = docs.filter(F.col("sentiment") == "negative").select(
-        "content_id", F.to_json(F.struct("total_comments", "category_summaries", "top_priority_actions"))
-        .alias("neg_category_summary"))
-    pos = docs.filter(F.col("sentiment") == "positive").select(
-        "content_id", F.to_json(F.struct("total_comments", "category_summaries")).alias("pos_category_summary"))
-    cs = dashboard.course_stats(flows.enriched(spark, sf)).filter(~F.col("hidden"))
-    return cs.join(neg, "content_id", "left").join(pos, "content_id", "left")
+    """Course stats with their summary documents attached; the last course has none, so its
+    documents are empty."""
+    neg, pos, _ = _documents(spark, sf)
+    cs = dashboard.course_stats(flows.enriched(spark, sf)).filter(~F.col("hidden")).select("content_id", "total")
+    out = documents.attach(cs, *(d.filter(F.col("content_id") != "course_4") for d in (neg, pos)))
+    n = lambda c, p: F.coalesce(F.get_json_object(c, p).cast("long"), F.lit(0)).cast("long")
+    size = lambda c: L(F.coalesce(F.json_array_length(F.get_json_object(c, "$.category_summaries")), F.lit(0)))
+    return out.select("content_id", "total", n("neg_category_summary", "$.total_negative_comments").alias("negative_comments"),
+                      size("neg_category_summary").alias("negative_categories"),
+                      n("pos_category_summary", "$.total_positive_comments").alias("positive_comments"),
+                      size("pos_category_summary").alias("positive_categories"))
+
+
+_USAGE4 = """SELECT content_id, substr(sentiment, 1, 3) || '_comment' AS prompt_kind, usage_input AS i, usage_output AS o FROM analysis
+  UNION ALL
+  SELECT content_id, substr(sentiment, 1, 3) || '_summary', total, count(*) FROM groups GROUP BY content_id, sentiment, total"""
+
+
+def _usage_rows(spark, sf) -> DataFrame:
+    """Usage of all four prompt kinds: one call per comment, one per course and sentiment."""
+    a = flows.analysis(spark, sf)
+    made = category.category_groups(a).groupBy("content_id", "sentiment").agg(F.max("total").alias("i"), F.count(F.lit(1)).alias("o"))
+    usage = F.struct(F.col("i").alias("input"), F.col("o").alias("output"), F.lit(0).cast("long").alias("thinking"), (F.col("i") + F.col("o")).alias("total"))
+    return a.select("content_id", enrich.prompt_kind(F.col("sentiment")).alias("prompt_kind"), "usage").unionByName(
+        made.select("content_id", enrich.prompt_kind(F.col("sentiment"), "summary").alias("prompt_kind"), usage.alias("usage")))
 
 
-@register("append_usage", None)
+@register("append_usage", with_ctes(f"""
+SELECT * FROM (SELECT content_id, prompt_kind, CAST(sum(i) AS BIGINT) AS input_tokens, CAST(sum(o) AS BIGINT) AS output_tokens,
+       CAST(0 AS BIGINT) AS thinking_tokens, CAST(sum(i + o) AS BIGINT) AS total_tokens, grouping(content_id, prompt_kind) AS gid
+FROM ({_USAGE4}) u GROUP BY ROLLUP (content_id, prompt_kind)) CROSS JOIN (VALUES ('run-1'), ('run-2')) r(run_id)
+WHERE total_tokens > 0""", "analysis", "groups"))
 def q_append_usage(spark, sf):
-    """K6: this run's token usage appended to a usage table, read back."""
+    """K6 + A14 with all four prompt kinds: the usage of two runs appended to one table."""
     path = _scratch(spark, "usage")
-    sinks.append_usage(flows.analysis(spark, sf), path, run_id="run-1")
+    for run in ("run-1", "run-2"):
+        sinks.append_usage(_usage_rows(spark, sf), path, run_id=run)
     return spark.read.parquet(path)
 
 
-@register("dashboard_payload", None)
+_PAYLOAD_SQL = """
+SELECT 'total' AS part, '' AS key, 'total_comments' AS field, format('{:,}', CAST(count(*) AS BIGINT)) AS value FROM enriched
+UNION ALL SELECT 'total', '', 'overall_' || s || '_percent',
+  printf('%.1f', CAST(count_if(sentiment = s) AS DOUBLE) / CAST(greatest(1, count(*)) AS DOUBLE) * 100.0::DOUBLE)
+  FROM enriched CROSS JOIN (VALUES ('positive'), ('negative'), ('neutral')) v(s) GROUP BY s
+UNION ALL SELECT 'total', '', 'total_course_count', CAST(count_if(NOT hidden) AS VARCHAR) FROM cs
+UNION ALL SELECT 'course', content_id, 'total_comments', format('{:,}', total) FROM cs WHERE NOT hidden
+UNION ALL SELECT 'course', content_id, 'alert_label', alert_label FROM cs WHERE NOT hidden
+UNION ALL SELECT 'course', content_id, 'issues', CAST(count(DISTINCT issue) AS VARCHAR) FROM (
+  SELECT content_id, issue, row_number() OVER (PARTITION BY content_id ORDER BY count(*) DESC, min(ordinal)) AS rk FROM enriched
+  WHERE sentiment = 'negative' AND issue <> 'Other Issue' AND issue <> '' GROUP BY content_id, issue) WHERE rk <= 5
+  AND content_id IN (SELECT content_id FROM cs WHERE NOT hidden) GROUP BY content_id
+UNION ALL SELECT 'bucket', content_id || '/' || lang_name, 'negative_comments', CAST(count(DISTINCT trim(comment)) AS VARCHAR)
+  FROM lfacts WHERE sentiment = 'negative' GROUP BY 2"""
+
+
+@register("dashboard_payload", (lambda base: base[:-len("SELECT 1")].rstrip() + ",\n" + CTES_CS + _PAYLOAD_SQL)(with_ctes("SELECT 1", "enriched", "lfacts")))
 def q_dashboard_payload(spark, sf):
-    """K5 (+P21): the whole metrics bundle as one JSON value."""
-    # both fact tables come from one scored table and feed several aggregates each
+    """K5 (+P21, A10): the payload rows read back from their JSON: totals, courses, buckets."""
     enr, facts = flows.dashboard_facts(spark, sf)
-    return dashboard.dashboard_payload(enr, facts)
+    neg, pos, _ = _documents(spark, sf)
+    total = dashboard.dashboard_payload(enr, facts)
+    courses = documents.attach(dashboard.course_payload(enr, facts), neg, pos)
+    buckets = dashboard.bucket_payload(facts, enr)
+    field = lambda name, path=None: F.struct(F.lit(name).alias("field"), F.get_json_object("payload", f"$.{path or name}").alias("value"))
+    n_of = lambda name: F.struct(F.lit(name).alias("field"), F.json_array_length(F.get_json_object("payload", f"$.{name}")).cast("string").alias("value"))
+    rows = [
+        total.select(F.lit("total").alias("part"), F.lit("").alias("key"), F.explode(F.array(
+            field("total_comments"), field("total_course_count"), *[field(f"overall_{s}_percent") for s in ("positive", "negative", "neutral")])).alias("f")),
+        courses.select(F.lit("course").alias("part"), F.col("content_id").alias("key"), F.explode(F.array(
+            field("total_comments"), field("alert_label"), n_of("issues"))).alias("f")).filter("f.value <> '0' or f.field <> 'issues'"),
+        buckets.select(F.lit("bucket").alias("part"), F.concat_ws("/", "content_id", "lang_name").alias("key"), F.explode(F.array(
+            n_of("negative_comments"))).alias("f")).filter("f.value <> '0'"),
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).select("part", "key", "f.field", "f.value")
+
+
+@register("write_split", with_ctes("SELECT content_id, content_name, comment, comment_date, word_count, ordinal, bucket FROM clean", "clean"))
+def q_write_split(spark, sf):
+    """K1: short / full files per course (CSV), read back."""
+    path = _scratch(spark, "split-csv")
+    s = flows.split(spark, sf)
+    sinks.write_split(s, path)
+    schema = T.StructType([f for f in TAGGED_FILE_SCHEMA.fields if f.name in ("content_name", "comment", "comment_date", "ordinal")])
+    df = src.scan_course_files(spark, path, schema, recursive=True)
+    return df.select(F.col("source_course").alias("content_id"), F.coalesce("content_name", F.lit("")).alias("content_name"),
+                     F.coalesce("comment", F.lit("")).alias("comment"), F.coalesce("comment_date", F.lit("")).alias("comment_date"),
+                     L(tx.word_count(F.col("comment"))).alias("word_count"), "ordinal",
+                     F.regexp_extract(F.col("_metadata.file_path"), "bucket=([^/]+)/", 1).alias("bucket"))
 
 
-@register("write_split", None)
-def q_write_split(spark, sf):
-    """K1: short / full files per course, read back."""
-    path = _scratch(spark, "split-parquet")
-    sinks.write_parquet(flows.split(spark, sf).filter(F.col("bucket") != "skipped"), path, ["bucket", "content_id"])
-    return spark.read.parquet(path)
+def _report_lines_sql(bucket: str, label: str) -> str:
+    return f"""SELECT content_id || '.csv: ' || CAST(count(*) AS VARCHAR) AS line, CAST(1 AS BIGINT) AS part, content_id AS k FROM split
+WHERE bucket = '{bucket}' GROUP BY content_id
+UNION ALL SELECT 'Total: ' || CAST(count(*) AS VARCHAR), 3, '' FROM split WHERE bucket = '{bucket}'
+UNION ALL SELECT * FROM (VALUES ('{label} count summary:', 0, ''), ('{"-" * 40}', 0, '~'), ('{"-" * 40}', 2, '')) v"""
 
 
-@register("report_lines", None)
+@register("report_lines", with_ctes(f"""
+SELECT 'full' AS report, * FROM ({_report_lines_sql('full', 'Comments (> 3 words)')}) a
+UNION ALL SELECT 'short', * FROM ({_report_lines_sql('short', 'Comments (<= 3 words)')}) b""", "split"))
 def q_report_lines(spark, sf):
-    """K7: the count report lines of the full bucket."""
-    c = flows.split(spark, sf).filter(F.col("bucket") == "full").groupBy("content_id").agg(
-        F.count(F.lit(1)).alias("n"))
-    return sinks.count_report_lines(c, "Comments (> 3 words)")
+    """K7: the count report lines of the full and the short bucket."""
+    s = flows.split(spark, sf)
+    out = []
+    for bucket, label in (("full", "Comments (> 3 words)"), ("short", "Comments (<= 3 words)")):
+        c = s.filter(F.col("bucket") == bucket).groupBy("content_id").agg(F.count(F.lit(1)).alias("n"))
+        out.append(sinks.count_report_lines(c, label).select(F.lit(bucket).alias("report"), "line", L("part").alias("part"), "k"))
+    return out[0].unionByName(out[1])
 
 
 def queries() -> dict[str, Builder]:

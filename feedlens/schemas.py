@@ -21,12 +21,6 @@ TAGGED_FILE_SCHEMA = T.StructType(RAW_COMMENT_SCHEMA.fields + [
 
 LANG_CANDIDATE = T.StructType([T.StructField("langCode", S), T.StructField("langScore", D)])
 
-ANALYSIS_STRUCT = T.StructType([
-    T.StructField("category", S), T.StructField("root_cause", S),
-    T.StructField("actions", T.ArrayType(S)), T.StructField("owner", S), T.StructField("priority", S),
-    T.StructField("error", S), T.StructField("raw_output", S),
-])
-
 USAGE_STRUCT = T.StructType([
     T.StructField("input", L), T.StructField("output", L),
     T.StructField("thinking", L), T.StructField("total", L),

@@ -63,9 +63,9 @@ def write_analysis_json(analysis: DataFrame, path: str, mode: str = "overwrite")
      .partitionBy("sentiment", "content_id").json(path))
 
 
-def write_summary_json(summary: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """K4: one summary document per course and sentiment."""
-    summary.repartition("sentiment", "content_id").write.mode(mode).partitionBy("sentiment").json(path)
+def write_summary_json(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K4: one summary document per course, in a folder of the course."""
+    documents.repartition("content_id").write.mode(mode).partitionBy("content_id").json(path)
 
 
 def append_usage(analysis: DataFrame, path: str, run_id: str) -> None:

@@ -82,23 +82,36 @@ def scan_analysis_json(spark: SparkSession, path: str, schema: T.StructType = AN
             .json(path).withColumn("source_file", F.col("_metadata.file_name")))
 
 
-def scan_category_summaries(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """``<course>_category_summary.json`` documents; the course key is the file name
-    minus the suffix; unreadable documents land in ``_corrupt_record``."""
+def scan_category_summaries(spark: SparkSession, path: str, schema: T.StructType, by_folder: bool = False) -> DataFrame:
+    """Category summary documents; unreadable ones land in ``_corrupt_record``.
+
+    The course key is the file name minus its suffix (``<course>_category_summary.json``), or
+    with ``by_folder`` the folder that K4 writes (``content_id=<course>``).
+    """
     full = T.StructType(schema.fields + [T.StructField("_corrupt_record", T.StringType())])
     df = (spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_corrupt_record")
-          .option("pathGlobFilter", "*_category_summary.json").json(path))
-    return df.withColumn("summary_course",
-                         F.regexp_replace(F.col("_metadata.file_name"), "_category_summary\\.json$", ""))
+          .option("columnNameOfCorruptRecord", "_corrupt_record").option("recursiveFileLookup", by_folder)
+          .option("pathGlobFilter", "*.json" if by_folder else "*_category_summary.json").json(path))
+    file = F.col("_metadata.file_path" if by_folder else "_metadata.file_name")
+    course = (F.url_decode(F.regexp_extract(file, "content_id=([^/]*)/", 1)) if by_folder
+              else F.regexp_replace(file, "_category_summary\\.json$", ""))
+    return df.withColumn("summary_course", course)
+
+
+def split_rejects(df: DataFrame, reason: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
+    """The rows to go on with, and the reject table with the reason of each."""
+    return df.filter(F.col(reason).isNull()).drop(reason), df.filter(F.col(reason).isNotNull())
 
 
-def row_limit(df: DataFrame, n: int, by: str = "content_id", order: str = "ordinal") -> DataFrame:
-    """First ``n`` rows per course in input order (trial runs).
+def row_limit(df: DataFrame, n: int, by: str = "content_id", order: str = "ordinal", files: int | None = None) -> DataFrame:
+    """First ``n`` rows per course in input order, of the first ``files`` courses if given
+    (trial runs).
 
     A per-group top-n: Spark plans it with a partial WindowGroupLimit before the shuffle,
     so no group is ever gathered whole in one task.
     """
     from pyspark.sql import Window
+    if files is not None:
+        df = df.join(df.select(by).distinct().orderBy(by).limit(files), by, "left_semi")
     w = Window.partitionBy(by).orderBy(F.col(order))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
