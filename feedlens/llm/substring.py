@@ -171,12 +171,15 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE
     copies = able.select(*key, "words_sha256").join(first, "words_sha256").filter("doc_id > first_id")
     copies = stored(copies.select(*key, F.lit(True).alias("copy")).distinct(), "substring-copies")
     values = stored(able.join(copies, key, "left_anti").select(*key, F.explode("values").alias("value")), "substring-index")
-    index = values.groupBy("value").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("value")
+    # stored, like the least documents below: a join of two plain shuffles can be split where a key is hot
+    index = stored(values.groupBy("value").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).filter("a < b").select("value"),
+                   "substring-shared")
     shared = values.join(index, "value").groupBy(*key).agg(F.collect_set("value").alias("shared"))
     held = stored(_candidates(docs.join(shared, key), window, phrase), "substring-windows")
     windows = held.select(*key, F.explode(F.arrays_zip("starts", "digests")).alias("w")).select(
         *key, F.col("w.starts").alias("start"), F.col("w.digests").alias("digest"))
-    least = windows.groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    least = windows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    least = stored(least.filter("first_id < last_id").select("digest", "first_id"), "substring-least")
     repeated = windows.join(least, "digest").filter("doc_id > first_id").groupBy(*key).agg(F.collect_set("start").alias("starts"))
     removed = _removals(held.select(*key, "text").join(repeated, key), window).dropDuplicates(key)
     whole = F.coalesce("copy", F.lit(False))
