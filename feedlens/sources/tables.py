@@ -37,6 +37,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows over ``spark.feedlens.inputPartitions`` tasks, if the caller sets it.
+
+    For inputs that cannot be split (one large row group); unset, nothing is shuffled.
+    """
+    n = df.sparkSession.conf.get("spark.feedlens.inputPartitions", None)
+    return df.repartition(int(n)) if n else df
+
+
 def actual_sentiment(quality: Column, toxic: Column) -> Column:
     """Ground truth from the labels table: toxic -> negative, quality 1/0 -> positive/neutral."""
     return (F.when(toxic == 1, "negative")
@@ -54,6 +63,7 @@ def comment_date_of(ordinal: Column) -> Column:
 def raw_comments(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> DataFrame:
     """Raw comment rows derived from ``documents`` (whole texts, all rows)."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = spread(docs)
     cols = [
         F.concat(F.lit("course_"), (F.col("doc_id") % N_COURSES).cast("string")).alias("content_id"),
         F.concat(F.lit("Course "), (F.col("doc_id") % N_COURSES).cast("string")).alias("content_name"),
