@@ -1124,6 +1124,59 @@ def q_report_lines(spark, sf):
     return out[0].unionByName(out[1])
 
 
+_DET = """summary AS (SELECT count(DISTINCT content_id) AS files, count(*) AS n, count_if(predicted_language = 'ERROR') AS failed,
+  avg(latency) AS ml, count(*) / sum(latency) AS tp FROM lang_in)"""
+
+
+@register("report_detection", with_ctes("SELECT 1", "lang_in")[:-len("SELECT 1")].rstrip() + ",\n" + _DET + """
+SELECT * FROM (VALUES ('--- DETECTION ---', CAST(0 AS BIGINT), ''), ('Language Breakdown:', 4, ''), ('Overall Benchmark Results:', 6, '')) v(line, part, k)
+UNION ALL SELECT 'Total Comments Processed: ' || n, 1, '' FROM summary
+UNION ALL SELECT 'Blank/Failed Detections: ' || failed || ' (' || printf('%.2f', failed * 100.0::DOUBLE / n) || '%)', 2, '' FROM summary
+UNION ALL SELECT 'Successful Detections: ' || (n - failed) || ' (' || printf('%.2f', (n - failed) * 100.0::DOUBLE / n) || '%)', 3, '' FROM summary
+UNION ALL SELECT '  • Total Files Processed: ' || files, 7, '' FROM summary
+UNION ALL SELECT '  • Total Samples Processed: ' || n, 8, '' FROM summary
+UNION ALL SELECT '  • Overall Average Latency: ' || printf('%.4f', ml) || ' sec/sample', 9, '' FROM summary
+UNION ALL SELECT '  • Overall Throughput: ' || printf('%.2f', tp) || ' samples/sec', 10, '' FROM summary
+UNION ALL SELECT '  ' || predicted_language || ': ' || count(*) || ' (' || printf('%.2f', count(*) * 100.0::DOUBLE / any_value(s.n)) || '%)', 5,
+  lpad(CAST(1000000000000000 - count(*) AS VARCHAR), 16, '0') || predicted_language
+  FROM lang_in CROSS JOIN summary s WHERE predicted_language <> 'ERROR' GROUP BY predicted_language""")
+def q_report_detection(spark, sf):
+    """K7: the detection report."""
+    from ..session import materialize
+    d = materialize(flows.detection_input(spark, sf).select("content_id", "predicted_language", "latency"), "detection")
+    out = sinks.detection_report_lines(language.detection_summary(d), language.detected_language_counts(d))
+    return out.withColumn("part", L("part"))
+
+
+@register("report_usage", with_ctes(f"""
+SELECT line, CAST(part AS BIGINT) AS part, k FROM (
+  SELECT unnest(['  ' || coalesce(content_id || ' ' || prompt_kind, 'GRAND TOTAL'), '    input:    ' || format('{{:,}}', i), '    output:   ' || format('{{:,}}', o),
+                 '    thinking: 0', '    total:    ' || format('{{:,}}', i + o)]) AS line,
+         CASE WHEN content_id IS NULL THEN 2 ELSE 1 END AS part,
+         coalesce(content_id || '/' || prompt_kind, '') || '#' || unnest(['0', '1', '2', '3', '4']) AS k
+  FROM (SELECT content_id, prompt_kind, CAST(sum(i) AS BIGINT) AS i, CAST(sum(o) AS BIGINT) AS o FROM ({_USAGE4}) u
+        GROUP BY GROUPING SETS ((content_id, prompt_kind), ())))
+UNION ALL SELECT * FROM (VALUES ('Token Usage Summary', 0, ''), ('{"=" * 52}', 3, '')) v""", "analysis", "groups"))
+def q_report_usage(spark, sf):
+    """K7: the token usage report, four prompt kinds."""
+    return sinks.usage_report_lines(enrich.token_usage(_usage_rows(spark, sf))).withColumn("part", L("part"))
+
+
+@register("report_evaluation", with_ctes("""
+SELECT * FROM (VALUES ('Sentiment Analysis Classification Report', CAST(0 AS BIGINT), ''), ('Confusion Matrix:', 2, '')) v(line, part, k)
+UNION ALL SELECT 'Overall Accuracy: ' || printf('%.4f', avg(CASE WHEN true_label = predicted_sentiment THEN 1.0 ELSE 0.0 END)::DOUBLE), 1, '' FROM tagged_l
+UNION ALL SELECT 'Labels: ' || string_agg(l, ', ' ORDER BY l), 3, '' FROM (SELECT true_label AS l FROM tagged_l UNION SELECT predicted_sentiment FROM tagged_l)
+UNION ALL SELECT '[' || string_agg(CAST(n AS VARCHAR), ' ' ORDER BY p) || ']', 4, t FROM (
+  SELECT a.l AS t, b.l AS p, count(x.ordinal) AS n
+  FROM (SELECT true_label AS l FROM tagged_l UNION SELECT predicted_sentiment FROM tagged_l) a
+  CROSS JOIN (SELECT true_label AS l FROM tagged_l UNION SELECT predicted_sentiment FROM tagged_l) b
+  LEFT JOIN tagged_l x ON x.true_label = a.l AND x.predicted_sentiment = b.l GROUP BY a.l, b.l) GROUP BY t""", "tagged_l"))
+def q_report_evaluation(spark, sf):
+    """K7: accuracy and confusion matrix as report lines."""
+    ev = _ev(spark, sf)
+    return sinks.evaluation_report_lines(evaluate.accuracy(ev), evaluate.confusion_matrix(ev)).withColumn("part", L("part"))
+
+
 def queries() -> dict[str, Builder]:
     return {k: v[0] for k, v in REGISTRY.items()}
 

@@ -86,3 +86,56 @@ def count_report_lines(counts: DataFrame, label: str) -> DataFrame:
     head = counts.sparkSession.createDataFrame(
         [(f"{label} count summary:", 0, ""), ("-" * 40, 0, "~"), ("-" * 40, 2, "")], "line string, part int, k string")
     return head.unionByName(body).unionByName(total)
+
+
+def _lines(rows: DataFrame, part: int, key, line) -> DataFrame:
+    return rows.select(line.alias("line"), F.lit(part).alias("part"), key.alias("k"))
+
+
+def _fixed_lines(like: DataFrame, lines: list[tuple[str, int]]) -> DataFrame:
+    return like.sparkSession.createDataFrame([(t, p, "") for t, p in lines], "line string, part int, k string")
+
+
+def detection_report_lines(summary: DataFrame, counts: DataFrame, failed_codes: tuple[str, ...] = ("ERROR",)) -> DataFrame:
+    """K7: the detection report.  ``summary`` is the one-row A13 table, ``counts`` the rows per code;
+    codes are listed by count (the key sorts them), failed ones left out."""
+    text = F.format_string
+    n = F.col("total_samples")
+    out = _fixed_lines(summary, [("--- DETECTION ---", 0), ("Language Breakdown:", 4), ("Overall Benchmark Results:", 6)])
+    for part, line in (
+        (1, F.concat(F.lit("Total Comments Processed: "), n.cast("string"))),
+        (2, text("Blank/Failed Detections: %d (%s%%)", "failed", F.format_number("failed_pct", 2))),
+        (3, text("Successful Detections: %d (%s%%)", "successful", F.format_number("success_pct", 2))),
+        (7, F.concat(F.lit("  • Total Files Processed: "), F.col("files").cast("string"))),
+        (8, F.concat(F.lit("  • Total Samples Processed: "), n.cast("string"))),
+        (9, F.concat(F.lit("  • Overall Average Latency: "), text("%.4f", "mean_latency"), F.lit(" sec/sample"))),
+        (10, F.concat(F.lit("  • Overall Throughput: "), text("%.2f", "throughput"), F.lit(" samples/sec"))),
+    ):
+        out = out.unionByName(_lines(summary, part, F.lit(""), line))
+    share = F.format_number(F.col("n") * 100.0 / F.col("total_samples"), 2)
+    codes = counts.filter(~F.col("predicted_language").isin(*failed_codes)).crossJoin(F.broadcast(summary.select("total_samples")))
+    key = F.concat(F.lpad((F.lit(10 ** 15) - F.col("n")).cast("string"), 16, "0"), F.col("predicted_language"))
+    return out.unionByName(_lines(codes, 5, key, text("  %s: %d (%s%%)", "predicted_language", "n", share)))
+
+
+def usage_report_lines(usage: DataFrame) -> DataFrame:
+    """K7: the token usage report from the A14 rollup: a block per course and prompt kind, the grand total."""
+    kinds = ("input", "output", "thinking", "total")
+    name = F.when(F.col("content_id").isNull(), "  GRAND TOTAL").otherwise(F.concat_ws(" ", F.lit(" "), "content_id", "prompt_kind"))
+    body = [name, *[F.concat(F.rpad(F.lit(f"    {k}:"), 14, " "), F.format_number(f"{k}_tokens", 0)) for k in kinds]]
+    rows = usage.filter("prompt_kind is not null or content_id is null").select(
+        F.when(F.col("content_id").isNull(), 2).otherwise(1).alias("part"), F.concat_ws("/", "content_id", "prompt_kind").alias("c"),
+        F.posexplode(F.array(*body)).alias("i", "line"))
+    rows = rows.select("line", "part", F.concat(F.col("c"), F.lit("#"), F.col("i").cast("string")).alias("k"))
+    return _fixed_lines(usage, [("Token Usage Summary", 0), ("=" * 52, 3)]).unionByName(rows)
+
+
+def evaluation_report_lines(accuracy: DataFrame, matrix: DataFrame) -> DataFrame:
+    """K7: overall accuracy and the confusion matrix, a line per true label."""
+    cells = matrix.groupBy("true_label").agg(F.array_sort(F.collect_list(F.struct("predicted_label", "count"))).alias("c"))
+    row = F.concat(F.lit("["), F.array_join(F.transform("c", lambda x: x["count"].cast("string")), " "), F.lit("]"))
+    labels = matrix.agg(F.array_join(F.array_sort(F.collect_set("true_label")), ", ").alias("l"))
+    return (_fixed_lines(accuracy, [("Sentiment Analysis Classification Report", 0), ("Confusion Matrix:", 2)])
+            .unionByName(_lines(accuracy, 1, F.lit(""), F.format_string("Overall Accuracy: %.4f", "accuracy")))
+            .unionByName(_lines(labels, 3, F.lit(""), F.concat(F.lit("Labels: "), F.col("l"))))
+            .unionByName(_lines(cells, 4, F.col("true_label"), row)))
