@@ -230,7 +230,8 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_dis
     groups = groups.withColumnRenamed("node", "code").join(distinct, "code")
     least = groups.groupBy("component").agg(F.min("first_id").alias("component_id"))
     groups = groups.join(least, "component").select("code", "component_id")
-    names = distinct.join(groups, "code", "left").select("code", F.coalesce("component_id", "first_id").alias("component_id"))
+    # stored, so that the last join is of two plain shuffles and can be split at a code with many copies
+    names = stored(distinct.join(groups, "code", "left").select("code", F.coalesce("component_id", "first_id").alias("component_id")), "names")
     return codes.join(names, "code").select(
         "doc_id", F.lpad(F.lower(F.hex("code")), 16, "0").alias("fingerprint"), "component_id")
 
