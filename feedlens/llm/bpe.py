@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import annotate, table
+from .common import annotate, fresh, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 CACHE = 150_000
@@ -219,14 +219,17 @@ def loaded(path: str, pattern: str) -> Bpe:
 
 
 def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> DataFrame:
-    """``docs`` with _n_tokens, _ids_sha256, _decoded_sha256 and, if asked for, _ids (array<int>)."""
+    """``docs`` with _n_tokens, _ids_sha256, _decoded_sha256 and, if asked for, _ids (array<int>);
+    underscores are added to a name that a column of ``docs`` has."""
+    names = fresh(docs, "_n_tokens", "_ids_sha256", "_decoded_sha256", "_ids")
 
     def compute(texts):
         n, ids, ids_sha, decoded_sha = loaded(path, pattern).encode([t.decode() for t in texts])
         more = [[np.fromstring(i, np.int32, sep=",") if i else np.zeros(0, np.int32) for i in ids]] if with_ids else []
         return [n, ids_sha, decoded_sha, *more]
 
-    return annotate(docs, compute, "_n_tokens long, _ids_sha256 string, _decoded_sha256 string" + ", _ids array<int>" * with_ids)
+    kinds = ["long", "string", "string", "array<int>"][: 3 + with_ids]
+    return annotate(docs, compute, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids: str = "_ids") -> DataFrame:

@@ -157,7 +157,8 @@ def _covered() -> F.Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents in which no window of a benchmark item occurs."""
-    return matches(docs, benchmark, window).filter(F.size("_spans") == 0).select(*docs.columns)
+    plain = docs.toDF(*("text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)))  # no clash with the spans
+    return matches(plain, benchmark, window).filter(F.size("_spans") == 0).select(*plain.columns).toDF(*docs.columns)
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

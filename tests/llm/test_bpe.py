@@ -34,6 +34,8 @@ def test_encodes_as_tiktoken_and_decodes_back(spark, tik):
         assert (r._n_tokens, r._ids, r._ids_sha256, r._decoded_sha256) == _want(tik, r.text)
         assert bytes(r._decoded) == (r.text or "").encode()
     assert bpe.encode(docs.limit(0), PATH, PATTERN).count() == 0
+    clash = bpe.encode(docs.selectExpr("doc_id as _ids", "text"), PATH, PATTERN)
+    assert clash.columns == ["_ids", "text", "_n_tokens", "_ids_sha256", "_decoded_sha256", "_ids_"] and clash.count() == len(TEXTS)
 
 
 def test_segments_of_a_long_text_join_to_the_same_ids(tik, monkeypatch):

@@ -66,6 +66,8 @@ def test_empty_tables(spark):
     empty = spark.createDataFrame([], "item_id long, text string")
     some = spark.createDataFrame(docs[:3], "doc_id long, text string")
     assert dc.decontaminate(some, empty).count() == 3
+    clash = some.selectExpr("doc_id", "text", "1 as _spans", "2 as c0", "3 as _n_words_k")
+    assert dc.decontaminate(clash, spark.createDataFrame(items, "item_id long, text string")).columns == clash.columns
     assert dc.decontaminate(some.limit(0), empty).count() == 0
 
 
