@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 from .common import annotate, fresh, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE = 150_000
-RUN_CHARS = 1_000_000
+CACHE = 100_000
+RUN_CHARS = 800_000
 SEGMENT = 1_000_000
 LONG_PIECE = 200
 
@@ -82,7 +82,7 @@ class Bpe:
             self.first[b] = self.ranks[bytes([b])]
         merges = [(self.ranks[t[:k]], self.ranks[t[k:]], rank) for t, rank in self.ranks.items()
                   for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "256MB"})
         self.db.register("m", pa.table(dict(zip("lrm", (pa.array(c, pa.int32()) for c in zip(*merges))))))
         self.db.register("t", pa.table({"id": pa.array(self.ranks.values(), pa.int32()), "bytes": [t.hex() for t in self.ranks]}))
         self.db.execute("CREATE TABLE merges AS SELECT l, r, m AS merged FROM m")

@@ -75,6 +75,27 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+#: Texts that a Python worker turns into objects at a time, and the bytes of the Arrow batches
+#: that carry them, whatever the size of a partition.
+SLICE_ROWS = 1024
+BATCH_BYTES = "16m"
+_DEFAULT_BATCH_BYTES = ("67108864b", "64m", "64MB")
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches of long texts small, unless the session has chosen a bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, _DEFAULT_BATCH_BYTES[0]) in _DEFAULT_BATCH_BYTES:
+        spark.conf.set(key, BATCH_BYTES)
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``SLICE_ROWS``."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(at, SLICE_ROWS)
+
+
 def annotate(docs: DataFrame, compute: Callable[[list[bytes]], Iterator[list]], added: str, text: str = "text") -> DataFrame:
     """``docs`` with the columns of the DDL string ``added``, worked out row by row from the texts.
 
@@ -88,10 +109,11 @@ def annotate(docs: DataFrame, compute: Callable[[list[bytes]], Iterator[list]],
     names = schema.names
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             made = compute(utf8(b.column(at)))
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, k) for c, k in zip(made, kinds))], names=names)
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)
 
 

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import annotate, sha256_hex, stored, table, text_of, utf8
+from .common import annotate, sha256_hex, sliced, stored, table, text_of, utf8
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -113,7 +113,7 @@ def _counts(docs: DataFrame, block: Windows) -> dict[int, int]:
 
     def run(batches):
         total = np.zeros(len(block.keys), np.int64)
-        for b in batches:
+        for b in sliced(batches):
             for text in utf8(b.column(0)):
                 _, index = block.met(block.number(text), block.keys)
                 if len(index):

@@ -42,6 +42,7 @@ PRIOR = 0.01
 EPOCHS = 5
 RATE, L1, L2 = 0.3, 6.0, 1.0
 START = 7
+KNOWN_FEATURES = 100_000
 # Abusive words, our own list in four languages.
 ABUSE = """
 asshole bastard bitch brainless clown crap cretin creep degenerate dickhead disgusting dumb dumbass filth freak fuck fucker fucking garbage idiot idiotic
@@ -193,17 +194,17 @@ class Scorer:
         used = np.flatnonzero(weights[:-1])
         self.slots = dict(zip(used.tolist(), weights[used].tolist()))
         self.constant = float(weights[-1])
+        self.known: dict[bytes, float] = {}
 
     def __call__(self, texts: list[bytes]) -> list[float]:
-        known: dict[bytes, float] = {}
-        out = []
+        known, out = self.known, []
         for text in texts:
             total = self.constant
             for f in features(*measure(text)):
                 w = known.get(f)
                 if w is None:
                     w = self.slots.get(slot(f), 0.0)
-                    if len(known) < 200_000:
+                    if len(known) < KNOWN_FEATURES:
                         known[f] = w
                 total += w
             out.append(total)

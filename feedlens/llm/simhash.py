@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table, text_of
+from .common import bounded_batches, sliced, stored, table, text_of
 from .graph import components
 
 SHINGLE_WORDS = 4
@@ -75,10 +75,11 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
     """(doc_id, code): the fingerprint of each whole text as a signed long."""
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             codes = np.array([fingerprint(t, shingle_words) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes, pa.int64())], names=["doc_id", "code"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), text_of().cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, code long")
 

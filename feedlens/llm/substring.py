@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import sha256_hex, stored, table, text_of, utf8
+from .common import bounded_batches, sha256_hex, sliced, stored, table, text_of, utf8
 
 WINDOW = 50
 PHRASE = 10
@@ -97,7 +97,7 @@ def _summaries(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     and the distinct values of the windows."""
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             n, sha, values = [], [], []
             for text in utf8(b.column(2)):
                 words = Words(text)
@@ -114,7 +114,7 @@ def _candidates(held: DataFrame, window: int, phrase: int) -> DataFrame:
     """``held`` (doc_id, tag, text, shared) with its windows of a shared value: start and digest."""
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             starts, digests = [], []
             for text, shared in zip(utf8(b.column(2)), b.column(3).to_pylist()):
                 words = Words(text)
@@ -132,7 +132,7 @@ def _removals(repeated: DataFrame, window: int) -> DataFrame:
     """What is left of each text of (doc_id, tag, text, starts) without its repeated windows."""
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             made = [kept_text(t, s, window) for t, s in zip(utf8(b.column(2)), b.column(3).to_pylist())]
             columns = [pa.array([m[0] for m in made], pa.int64()), pa.array([hashlib.sha256(m[1]).hexdigest() for m in made]),
                        pa.array([[{"start": s, "end": e} for s, e in m[2]] for m in made],
@@ -163,6 +163,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE
     """(doc_id, n_words, n_removed, kept_sha256, factors) for every document; factors are the
     removed word spans (start, end)."""
     key = ["doc_id", "tag"]  # ids may be repeated; the tag tells different texts of one id apart
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     docs = docs.select("doc_id", F.xxhash64("text").alias("tag"), "text")
     every = stored(_summaries(docs, window, phrase), "substring-words")
