@@ -38,12 +38,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows over ``spark.feedlens.inputPartitions`` tasks, if the caller sets it.
+    """Rewrite the rows as ``spark.feedlens.inputPartitions`` files, if the caller sets it.
 
-    For inputs that cannot be split (one large row group); unset, nothing is shuffled.
+    For inputs that cannot be split (one large row group).  The rewritten table also keeps
+    Catalyst from moving the text work below the exchange, back into the single scan task.
+    Unset, as it should be for inputs with many row groups, nothing is shuffled or copied.
     """
     n = df.sparkSession.conf.get("spark.feedlens.inputPartitions", None)
-    return df.repartition(int(n)) if n else df
+    if not n:
+        return df
+    from ..session import materialize
+    return materialize(df.repartition(int(n)), "spread")
 
 
 def actual_sentiment(quality: Column, toxic: Column) -> Column:
