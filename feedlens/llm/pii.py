@@ -1,21 +1,22 @@
 """PII by information-theoretic sanitisation, in DataFrame operations.
 
 Base entities (emails, ip addresses, payment cards, phone numbers) are found by pattern and
-check sum.  Sanitising them alone leaves terms beside them that give them away.  Over the
+check sum.  Sanitising them alone leaves terms in the text that give them away.  Over the
 whole corpus, each distinct text counted once,
 
     disclosure(term; entity) = PMI(term; entity) / IC(entity)
                              = log2(N n(e,t) / (n(e) n(t))) / log2(N / n(e)),
 
-the share of the entity's information that the term reveals.  A term of at least four
-letters near an entity is disclosing from ``threshold`` on, if it is seen with the entity in
-``support`` distinct texts or more.  It is then a span in each document where it stands near
-that entity: generalised to its class, or removed from ``remove_at`` on.
+the share of the entity's information that the term reveals.  A term is a word (letters and
+combining marks, no digit beside them) of any length, and a text holds it wherever it stands.
+It is disclosing from ``threshold`` on, if ``support`` distinct texts or more hold it together
+with the entity.  Each of its places in each document that holds both is then a span:
+generalised to its class, or removed from ``remove_at`` on.
 
-Texts are scanned twice: for the entities and their neighbourhood, and for how many texts
-hold the terms in question.  Counts are combined before each shuffle, an entity or term that
-is everywhere is one row per task, and no text is shuffled: documents meet only by their
-narrow spans.
+Texts are scanned twice: for the entities and the words of the texts that hold one, and for
+how many texts hold the terms in question.  Counts are combined before each shuffle, an entity
+or term that is everywhere is one row per task, and no text is shuffled: documents meet only
+by narrow rows of words and spans.
 
 Defined results: a null text counts as empty; repeated rows give the same spans each; a text
 without base entities is left as it is; an empty table gives no rows; other columns are not
@@ -53,44 +54,50 @@ def base_spans(context: bool) -> str:
     return f"array_sort(concat({', '.join(kinds)}))"
 
 
-_WORD = r"(?<=[^\p{L}\p{N}])\p{L}{4,}+(?=[^\p{L}\p{N}])"
-
-
-def _terms(side: str, origin: str) -> str:
-    """SQL for the terms in one side of an entity's neighbourhood with their places in the text."""
-    found = matches("term", len(KINDS), _WORD, text=side)
-    return f"transform({found}, t -> struct(lower(t.value) as term, {origin} + t.start as start, {origin} + t.end as end))"
+_WORD = r"(?<![\p{L}\p{M}\p{N}])[\p{L}\p{M}]++(?![\p{L}\p{M}\p{N}])"
+_ENTITIES = "array_distinct(transform(base, b -> concat(b.kind, ':', lower(b.value))))"
 
 
 def entities(docs: DataFrame) -> DataFrame:
-    """(doc_id, tag, base, near) for every row: its base spans and the terms near each entity."""
+    """(doc_id, tag, base, words) for every row: its base spans and, if there are any, all words of the text with their places."""
     rows = docs.select("doc_id", text_of().alias("text")).select("doc_id", "text", F.xxhash64("text").alias("tag"))
-    rows = rows.select("doc_id", "tag", F.expr(base_spans(True)).alias("found"))
-    # a padding blank stands where the neighbourhood ends at the text's end or at another entity
-    left = _terms("f.left", "f.start - length(f.left)")
-    right = _terms("f.right", "f.end")
-    near = (f"flatten(transform(found, f -> transform(concat({left}, {right}), t ->"
-            f" struct(concat(f.kind, ':', lower(f.value)) as entity, t.term as term, t.start as start, t.end as end))))")
+    rows = rows.select("doc_id", "tag", "text", F.expr(base_spans(True)).alias("found"))
     plain = "transform(found, f -> struct(f.start as start, f.rank as rank, f.end as end, f.kind as kind, f.value as value))"
-    return rows.select("doc_id", "tag", F.expr(plain).alias("base"), F.expr(near).alias("near"))
+    words = f"transform({matches('term', len(KINDS), _WORD, 'size(found) > 0')}, t -> struct(lower(t.value) as term, t.start as start, t.end as end))"
+    return rows.select("doc_id", "tag", F.expr(plain).alias("base"), F.expr(words).alias("words"))
+
+
+def _held(found: DataFrame) -> DataFrame:
+    """(tag, entity): which distinct texts hold an entity."""
+    return found.select("tag", F.explode(F.expr(_ENTITIES)).alias("entity")).distinct()
+
+
+def _worded(found: DataFrame) -> DataFrame:
+    """(tag, term) of the texts with an entity, repeated for repeated texts."""
+    return found.select("tag", F.explode(F.expr("array_distinct(transform(words, w -> w.term))")).alias("term"))
 
 
 def disclosures(docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
     """(entity, term, disclosure) of the disclosing pairs in the corpus."""
-    near = found.filter(F.size("near") > 0).select("tag", F.explode("near").alias("n")).select("tag", "n.entity", "n.term").distinct()
-    held = found.select("tag", F.explode(F.expr("array_distinct(transform(base, b -> concat(b.kind, ':', lower(b.value))))")).alias("entity"))
-    n_e = held.distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     n = F.broadcast(found.agg(F.countDistinct("tag").alias("n")))  # one row
+    n_e = _held(found).groupBy("entity").agg(F.count("*").alias("n_e")).join(n).filter((F.col("n_e") >= support) & (F.col("n") > F.col("n_e")))
     # a pair reaches the threshold only if its term is in at most n_et * (N / n_e)**(1 - threshold)
-    # texts; near entities alone, common words are in more, and need no count over the corpus
-    beside = near.select("tag", "term").distinct().groupBy("term").agg(F.count("*").alias("n_beside"))
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_et")).filter(F.col("n_et") >= support)
-    most = F.col("n_et") * F.pow(F.col("n") / F.col("n_e"), F.lit(1 - threshold)) * (1 + 1e-9)
-    pairs = pairs.join(n_e, "entity").join(beside, "term").join(n).filter((F.col("n") > F.col("n_e")) & (F.col("n_beside") <= most))
-    pairs = stored(pairs.drop("n_beside"), "pii-pairs")
+    # texts, where n_et is at most n_e; in texts with an entity alone, common words are in more,
+    # and are not paired with the entity
+    slack = F.pow(F.col("n") / F.col("n_e"), F.lit(1 - threshold)) * (1 + 1e-9)
+    held = stored(_held(found).join(n_e.withColumn("slack", slack), "entity"), "pii-held")
+    most = F.broadcast(held.agg(F.max(F.col("n_e") * F.col("slack")).alias("most")))  # one row
+    beside = _worded(found).distinct().groupBy("term").agg(F.count("*").alias("n_beside")).filter(F.col("n_beside") >= support)
+    beside = stored(beside.join(most).filter(F.col("n_beside") <= F.col("most")).drop("most"), "pii-beside")
+    told = found.join(held.select("tag").distinct(), "tag", "left_semi")
+    met = _worded(told).join(beside, "term").distinct().join(held, "tag").filter(F.col("n_beside") <= F.col("n_e") * F.col("slack"))
+    pairs = met.groupBy("entity", "term").agg(F.count("*").alias("n_et"), *(F.max(c).alias(c) for c in ("n_e", "n", "n_beside", "slack")))
+    pairs = pairs.filter((F.col("n_et") >= support) & (F.col("n_beside") <= F.col("n_et") * F.col("slack")))
+    pairs = stored(pairs.drop("n_beside", "slack"), "pii-pairs")
     # which distinct texts hold a term: only terms in question are kept, so few rows are shuffled
     words = docs.select(text_of().alias("text")).select(
-        F.xxhash64("text").alias("tag"), F.explode(F.expr(r"array_distinct(split(lower(text), r'[^\p{L}]+'))")).alias("term"))
+        F.xxhash64("text").alias("tag"), F.explode(F.expr(f"array_distinct(regexp_extract_all(text, r'{_WORD}', 0))")).alias("term"))
+    words = words.withColumn("term", F.lower("term"))
     n_t = (words.join(pairs.select("term").distinct(), "term", "left_semi").distinct()
            .groupBy("term").agg(F.count("*").alias("n_t")))
     share = F.log2(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log2(F.col("n") / F.col("n_e"))
@@ -101,15 +108,19 @@ def find(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT,
     """(doc_id, tag, base, spans) for every row of ``docs``; ``spans`` adds the disclosing terms (kind
     term, or gone for those to remove) that overlap no base span."""
     found = stored(entities(docs), "pii-entities")
-    told = disclosures(docs, found, threshold, support)
-    near = found.select("doc_id", "tag", F.explode("near").alias("n")).select("doc_id", "tag", "n.*").distinct()
+    told = stored(disclosures(docs, found, threshold, support), "pii-told")
+    # by terms first: an entity that is everywhere does not meet all its terms in every text
+    marks = _worded(found).join(told, "term").distinct().join(_held(found), ["tag", "entity"])
+    marks = stored(marks.groupBy("tag", "term").agg(F.max("disclosure").alias("disclosure")), "pii-marks")
+    places = found.select("doc_id", "tag", F.explode("words").alias("w")).select("doc_id", "tag", "w.*")
     kind = F.when(F.col("disclosure") >= remove_at, "gone").otherwise("term")
-    added = near.join(told, ["entity", "term"]).groupBy("doc_id", "tag", "term", "start", "end").agg(F.max("disclosure").alias("disclosure"))
-    added = added.groupBy("doc_id", "tag").agg(F.collect_list(F.struct(
+    added = places.join(marks, ["tag", "term"]).distinct().groupBy("doc_id", "tag").agg(F.collect_list(F.struct(
         "start", F.lit(len(KINDS)).alias("rank"), "end", kind.alias("kind"), F.col("term").alias("value"))).alias("added"))
+    added = added.select(F.col("doc_id").alias("added_id"), F.col("tag").alias("added_tag"), "added")
+    same = F.col("doc_id").eqNullSafe(F.col("added_id")) & (F.col("tag") == F.col("added_tag"))
     free = "filter(added, a -> not exists(base, b -> b.start < a.end and a.start < b.end))"
     every = f"if(added is null, base, array_sort(concat(base, {free})))"
-    return found.drop("near").join(added, ["doc_id", "tag"], "left").select("doc_id", "tag", "base", F.expr(every).alias("spans"))
+    return found.drop("words").join(added, same, "left").select("doc_id", "tag", "base", F.expr(every).alias("spans"))
 
 
 def sanitise(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT, remove_at: float = REMOVE_AT) -> DataFrame:

@@ -74,3 +74,22 @@ def test_query_equals_brute_force_on_the_given_tables(spark):
         assert r.base_sha256 == digest(want)
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(w.startswith(k) for w in want) for k in PII)
         assert set(want) <= set(filter(None, r.spans.split(",")))
+
+
+def _spans(spark, told):
+    """The text of each span of the told texts, in a corpus of other texts."""
+    docs = spark.createDataFrame(told + [(100 + i, f"ordinary words number w{i} speak about weather and gardens") for i in range(60)], "doc_id long, text string")
+    rows = pii.find(docs, remove_at=2.0).select("doc_id", F.expr(listed("spans")).alias("s")).collect()
+    texts = dict(told)
+    return {r.doc_id: [texts[r.doc_id][int(s.split(":")[1]):int(s.split(":")[2])] for s in r.s.split(",") if s] for r in rows if r.doc_id in texts}
+
+
+def test_terms_count_over_the_whole_text_and_are_marked_everywhere(spark):
+    far = " ".join(f"{w} and gardens" for w in ("weather", "words", "ordinary") * 20)
+    told = [(i, f"Quillfeather, Ng and \u0928\u093f\u0936\u093e. {far} {'abcdefgh'[i]} q.f@mail.example {far} Quillfeather") for i in range(4)]
+    told += [(8, "Quillfeather alone"), (None, told[0][1])]
+    got = _spans(spark, told)
+    assert got[8] == []
+    for i in (0, 1, 2, 3, None):
+        assert got[i].count("Quillfeather") == 2 and "q.f@mail.example" in got[i]
+        assert {"Ng", "\u0928\u093f\u0936\u093e"} <= set(got[i]) and not {"gardens", "weather", "and"} & set(got[i])
