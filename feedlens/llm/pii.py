@@ -42,14 +42,14 @@ _LUHN = (f"element_at(transform(array({_DIGITS}), d -> length(d) between 14 and
          " if(i % 2 = 1, 1, 2) * int(substring(d, -i, 1)) - if(i % 2 = 0 and int(substring(d, -i, 1)) > 4, 9, 0)) % 10 = 0), 1)")
 
 
-def base_spans(context: bool) -> str:
+def base_spans() -> str:
     """SQL for the sorted base spans of ``text``."""
     digit = "text rlike '[0-9]'"
     kinds = [
-        matches("email", 0, r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "contains(text, '@')", context=context),
-        matches("ip", 1, r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", digit, f"s.value rlike '^{_OCTET}(?:[.]{_OCTET}){{3}}$'", context=context),
-        matches("card", 2, r"[0-9](?:[\x20-]?[0-9])++", digit, _LUHN, context=context),
-        matches("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", "contains(text, '+')", f"length({_DIGITS}) between 10 and 15", context=context),
+        matches("email", 0, r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "contains(text, '@')"),
+        matches("ip", 1, r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}", digit, f"s.value rlike '^{_OCTET}(?:[.]{_OCTET}){{3}}$'"),
+        matches("card", 2, r"[0-9](?:[\x20-]?[0-9])++", digit, _LUHN),
+        matches("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", "contains(text, '+')", f"length({_DIGITS}) between 10 and 15"),
     ]
     return f"array_sort(concat({', '.join(kinds)}))"
 
@@ -61,10 +61,9 @@ _ENTITIES = "array_distinct(transform(base, b -> concat(b.kind, ':', lower(b.val
 def entities(docs: DataFrame) -> DataFrame:
     """(doc_id, tag, base, words) for every row: its base spans and, if there are any, all words of the text with their places."""
     rows = docs.select("doc_id", text_of().alias("text")).select("doc_id", "text", F.xxhash64("text").alias("tag"))
-    rows = rows.select("doc_id", "tag", "text", F.expr(base_spans(True)).alias("found"))
-    plain = "transform(found, f -> struct(f.start as start, f.rank as rank, f.end as end, f.kind as kind, f.value as value))"
-    words = f"transform({matches('term', len(KINDS), _WORD, 'size(found) > 0')}, t -> struct(lower(t.value) as term, t.start as start, t.end as end))"
-    return rows.select("doc_id", "tag", F.expr(plain).alias("base"), F.expr(words).alias("words"))
+    rows = rows.select("doc_id", "tag", "text", F.expr(base_spans()).alias("base"))
+    words = f"transform({matches('term', len(KINDS), _WORD, 'size(base) > 0')}, t -> struct(lower(t.value) as term, t.start as start, t.end as end))"
+    return rows.select("doc_id", "tag", "base", F.expr(words).alias("words"))
 
 
 def _held(found: DataFrame) -> DataFrame:

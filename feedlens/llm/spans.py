@@ -15,17 +15,12 @@ from pyspark.sql import functions as F
 from .common import fresh, let, prefix_sums, text_of
 
 SPAN = "struct<start: bigint, rank: int, end: bigint, kind: string, value: string>"
-#: Spans with the text up to NEAR characters before and after.
-CONTEXT_SPAN = "struct<start: bigint, rank: int, end: bigint, kind: string, value: string, left: string, right: string>"
-NEAR = 60
 
 
-def matches(kind: str, rank: int, pattern: str, needs: str = "true", valid: str = "true", context: bool = False, text: str = "text") -> str:
+def matches(kind: str, rank: int, pattern: str, needs: str = "true", valid: str = "true", text: str = "text") -> str:
     """SQL for the spans of one kind: of texts that fulfil ``needs``, the matches ``s`` that fulfil ``valid``."""
-    near = (f", if(length(pc[i]) > {NEAR}, right(pc[i], {NEAR}), concat(' ', pc[i])) as left,"
-            f" if(length(pc[i + 1]) > {NEAR}, left(pc[i + 1], {NEAR}), concat(pc[i + 1], ' ')) as right") if context else ""
-    empty = f"cast(array() as array<{CONTEXT_SPAN if context else SPAN}>)"
-    place = f"transform(mt, (v, i) -> struct(st[i] + ln[i] as start, {rank} as rank, st[i] + ln[i] + length(v) as end, '{kind}' as kind, v as value{near}))"
+    empty = f"cast(array() as array<{SPAN}>)"
+    place = f"transform(mt, (v, i) -> struct(st[i] + ln[i] as start, {rank} as rank, st[i] + ln[i] + length(v) as end, '{kind}' as kind, v as value))"
     steps = "transform(mt, (v, i) -> cast(ln[i] + length(v) as bigint))"
     found = let("pc", f"split({text}, r'{pattern}', -1)", let("ln", "transform(pc, x -> length(x))", let("st", prefix_sums(steps), f"filter({place}, s -> {valid})")))
     found = let("mt", f"regexp_extract_all({text}, r'{pattern}', 0)", f"if(size(mt) = 0, {empty}, {found})")

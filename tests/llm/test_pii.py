@@ -93,3 +93,8 @@ def test_terms_count_over_the_whole_text_and_are_marked_everywhere(spark):
     for i in (0, 1, 2, 3, None):
         assert got[i].count("Quillfeather") == 2 and "q.f@mail.example" in got[i]
         assert {"Ng", "\u0928\u093f\u0936\u093e"} <= set(got[i]) and not {"gardens", "weather", "and"} & set(got[i])
+
+
+def test_a_number_that_is_no_entity_does_not_hide_a_term(spark):
+    got = _spans(spark, [(i, f"Holder {'abcdefgh'[i]} Quillfeather, born 1980, card 4111 1111 1111 1111 (gardens)") for i in range(4)])
+    assert all({"Quillfeather", "born", "4111 1111 1111 1111"} <= set(got[i]) and "gardens" not in got[i] for i in range(4))
