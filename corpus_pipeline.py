@@ -4,12 +4,14 @@ Every stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the la
 columns of ``documents``; each stage works on all that the one before it kept:
 
 1. quality: documents that the weak-label classifier rejects go;
-2. simhash: of each group of near copies (4-word shingles, 4 bits) the one with the least id stays;
+2. simhash: of each group of near copies (4-word shingles, 4 bits) the one with the least id,
+   then text hash, stays;
 3. decontaminate: documents in which a benchmark window (10 words) occurs go;
 4. pii: personal data becomes its class, disclosing terms are generalised or removed;
 5. tokens: each text becomes its byte-level BPE ids, checked by decoding them.
 
-Documents without an id take no part in near-dedup and stay; of repeated rows one stays.
+Documents without an id take no part in near-dedup and stay; of repeated rows (same
+id and text) one stays.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql.window import Window
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from feedlens.llm import bpe, decontaminate, pii, quality, simhash  # noqa: E402
-from feedlens.llm.common import fresh, stored, table  # noqa: E402
+from feedlens.llm.common import fresh, stored, table, text_of  # noqa: E402
 from feedlens.session import ship_package  # noqa: E402
 
 
@@ -35,12 +37,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    groups = simhash.near_duplicates(docs.select("doc_id", "text").filter("doc_id is not null"))
-    first, row = fresh(docs, "first_of_group", "row_of_id")
-    chosen = groups.groupBy("component_id").agg(F.min("doc_id").alias(first)).select(first)
-    kept = docs.join(chosen, F.col("doc_id") == F.col(first), "left_semi")
-    # repeated rows of one id: after the join they are together and sorted already
-    kept = kept.withColumn(row, F.row_number().over(Window.partitionBy("doc_id").orderBy("doc_id"))).filter(F.col(row) == 1)
+    first = simhash.first_of_groups(docs.select("doc_id", "text").filter("doc_id is not null"))
+    tag, row, first_id, first_tag = fresh(docs, "text_tag", "row_of_text", "first_id", "first_tag")
+    first = first.toDF(first_id, first_tag)
+    # repeated rows first, a row for each task at most is shuffled; then texts and choice meet by the same keys
+    repeats = Window.partitionBy("doc_id", tag).orderBy(F.xxhash64(*docs.columns))
+    one = docs.filter("doc_id is not null").withColumn(tag, F.xxhash64(text_of()))
+    one = one.withColumn(row, F.row_number().over(repeats)).filter(F.col(row) == 1)
+    kept = one.join(first, (F.col("doc_id") == F.col(first_id)) & (F.col(tag) == F.col(first_tag)), "left_semi")
     return kept.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
 
 

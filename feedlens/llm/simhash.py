@@ -72,16 +72,16 @@ def fingerprint(text: bytes, k: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, code): the fingerprint of each whole text as a signed long."""
+    """(doc_id, tag, code): the hash of each whole text, and its fingerprint as a signed long."""
 
     def run(batches):
         for b in sliced(batches):
-            codes = np.array([fingerprint(t, shingle_words) for t in b.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(codes, pa.int64())], names=["doc_id", "code"])
+            codes = np.array([fingerprint(t, shingle_words) for t in b.column(2).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(codes, pa.int64())], names=["doc_id", "tag", "code"])
 
     bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), text_of().cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, code long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text_of()).alias("tag"), text_of().cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, tag long, code long")
 
 
 def _agreements(codes: DataFrame) -> tuple[int, np.ndarray]:
@@ -225,7 +225,7 @@ def _any(conditions: list[Column]) -> Column:
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE,
                     n_parts: int = N_PARTS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (least doc_id reachable by links)."""
-    codes = stored(fingerprints(docs, shingle_words), "fingerprints")
+    codes = stored(fingerprints(docs, shingle_words).drop("tag"), "fingerprints")
     distinct = stored(codes.groupBy("code").agg(F.min("doc_id").alias("first_id")), "codes")
     groups = components(fingerprint_links(distinct, max_distance, n_parts, hot_bucket))
     groups = groups.withColumnRenamed("node", "code").join(distinct, "code")
@@ -237,6 +237,16 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_dis
         "doc_id", F.lpad(F.lower(F.hex("code")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def first_of_groups(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE,
+                    n_parts: int = N_PARTS, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """first_id, first_tag: the least (doc_id, xxhash64 of the text) of each component."""
+    codes = fingerprints(docs, shingle_words)
+    distinct = stored(codes.groupBy("code").agg(F.min(F.struct("doc_id", "tag")).alias("first")), "codes")
+    groups = components(fingerprint_links(distinct, max_distance, n_parts, hot_bucket)).withColumnRenamed("node", "code")
+    least = distinct.join(groups, "code", "left").groupBy(F.coalesce("component", "code").alias("component")).agg(F.min("first").alias("first"))
+    return least.select(F.col("first.doc_id").alias("first_id"), F.col("first.tag").alias("first_tag"))
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -81,3 +81,10 @@ def test_nulls_repeated_rows_clashing_columns_and_empty_tables(spark):
 def test_run_returns_the_last_stage(spark):
     out = cp.run(spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "ids_sha256", "round_trip"] and 0 < out.count() < 200
+
+
+def test_one_id_with_different_texts_loses_none(spark):
+    a, b, c = ("the quick brown fox walks over green hills " * 4, "numbers of a far country are counted by hand " * 4, "rain falls on gardens at night without end " * 4)
+    docs = spark.createDataFrame([(2, a, "x"), (1, a, "x"), (1, b, "x"), (3, c, "x"), (3, c, "x"), (3, b, "x"), (1, c, "y")], "doc_id long, text string, first_id string")
+    out = cp.drop_near_copies(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(tuple(r) for r in out.collect()) == sorted([(1, a, "x"), (1, b, "x"), (1, c, "y")])
