@@ -230,8 +230,10 @@ def train(docs: DataFrame, labels: DataFrame | None = None, train_docs: int = TR
     total = annotated or sum(n for _, n in counted)
     share = min(1 << 30, (train_docs << 30) // total + 1)
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) < share
-    if annotated:  # about train_docs ids, twice that at most
-        docs = docs.join(F.broadcast(labels.filter(drawn).limit(2 * train_docs)), "doc_id").select("doc_id", "text", "toxic", "poor")
+    if annotated:  # about train_docs ids that docs holds, twice that at most, in the order of their hashes
+        there = labels.filter(drawn).join(docs.select("doc_id").filter(drawn), "doc_id", "left_semi")
+        there = there.orderBy(F.xxhash64("doc_id", F.lit("bound")), "doc_id").limit(2 * train_docs)
+        docs = docs.join(F.broadcast(there), "doc_id").select("doc_id", "text", "toxic", "poor")
     else:
         docs = docs.filter(drawn).limit(2 * train_docs).select("doc_id", "text", F.lit(-1).alias("toxic"), F.lit(-1).alias("poor"))
 

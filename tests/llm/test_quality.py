@@ -77,3 +77,12 @@ def test_query_covers_every_document_and_repeats(spark):
     again = sorted(map(tuple, q.op6_quality(spark, "/root/testdata/sf0.001").collect()))
     assert first == again and len(first) == 200
     assert first[0][1] == pytest.approx(again[0][1])
+
+
+def test_labels_of_absent_documents_do_not_crowd_out_the_others(spark, monkeypatch):
+    rng, seen = random.Random(8), []
+    docs = spark.createDataFrame([(i, _prose(rng)) for i in range(300)], "doc_id long, text string")
+    labels = spark.range(200_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    monkeypatch.setattr(q, "fit", lambda rows: seen.append(len(rows)) or np.zeros(10))
+    q.train(docs, labels, train_docs=100)
+    assert seen and 60 <= seen[0] <= 150
