@@ -1,6 +1,6 @@
-"""Substring dedup by relative Lempel-Ziv factors of at least ``window`` words.
+"""Substring dedup by repeated windows of ``window`` words, in place of a relative Lempel-Ziv parse.
 
-Every document is parsed against all documents with smaller ids.  A factor is a maximal run
+Every document is compared with all documents with smaller ids.  A factor is a maximal run
 of its words in which every window of ``window`` words also starts in an earlier document;
 factors shorter than a window do not count, and the words of the others are removed.  The
 windows are judged on the input, so removing one passage never hides another.
