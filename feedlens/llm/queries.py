@@ -6,6 +6,7 @@ from . import urlfilter
 from .bpe import op3_bpe
 from .decontaminate import op7_decontaminate
 from .pii import op2_pii
+from .prefixbpe import op11_prefixbpe
 from .quality import op6_quality
 from .secrets import op10_secrets
 from .sharding import op9_sharding
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_substring": op8_substring,
     "op9_sharding": op9_sharding,
     "op10_secrets": op10_secrets,
+    "op11_prefixbpe": op11_prefixbpe,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_urlfilter": urlfilter.oracle()}
