@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from . import urlfilter
 from .bpe import op3_bpe
+from .conversation import op13_conversation
 from .decontaminate import op7_decontaminate
+from .merkle import op12_merkle
 from .pii import op2_pii
 from .prefixbpe import op11_prefixbpe
 from .quality import op6_quality
@@ -27,6 +29,8 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_secrets": op10_secrets,
     "op11_prefixbpe": op11_prefixbpe,
+    "op12_merkle": op12_merkle,
+    "op13_conversation": op13_conversation,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_urlfilter": urlfilter.oracle()}
