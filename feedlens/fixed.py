@@ -260,3 +260,5 @@ STOPWORDS_DEFAULT = [
 # --------------------------------------------------------------------------------------
 ANALYSIS_RECORD_FIELD = "Gemini Analysis"
 ANALYSIS_SENTIMENT_FIELD = "predicted sentiment"
+ANALYSIS_FIELDS = {"issue": "Issue Category", "strength": "Strength Category", "root_cause": "Root Cause", "actions": "Recommended Actions",
+                   "owner": "Owner", "priority": "Priority"}

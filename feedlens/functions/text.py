@@ -102,6 +102,11 @@ def norm_comment_simple(col) -> Column:
     return collapse_ws(F.lower(F.coalesce(_c(col), F.lit(""))))
 
 
+def text_key(col) -> Column:
+    """The SHA-256 digest of a text, 32 bytes: equal for equal texts, and taken as telling all others apart."""
+    return F.unhex(F.sha2(_c(col), 256))
+
+
 def tokens(col) -> Column:
     """Lower-cased word tokens of the whole text (array<string>)."""
     return F.regexp_extract_all(F.lower(F.coalesce(_c(col), F.lit(""))), F.lit(WORD_TOKEN), 0)

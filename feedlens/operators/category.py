@@ -20,6 +20,7 @@ from ..fixed import (AMPLIFY_TOP, BLOCKING_PATTERN, CATEGORY_KEYWORDS, FALLBACK_
                      SAMPLE_ACTIONS, SAMPLE_COMMENTS, TIER_MAJOR_SHARE, TIER_MIN_COUNT, TOP_PRIORITY_ACTIONS,
                      TOP_STRENGTH_AREAS, URGENCY_MEDIUM_SHARE)
 from ..functions.text import collapse_ws, extract_words, word_count
+from .ranks import ranked
 from .taxonomy import join_taxonomy, priority_rank
 
 GROUP = ["content_id", "sentiment", "category"]
@@ -128,6 +129,13 @@ def category_groups(analysis: DataFrame) -> DataFrame:
                     "blocking_count", "low_signal_count"))
 
 
+def group_members(analysis: DataFrame) -> DataFrame:
+    """The comments of each (course, sentiment, category) in input order: (ordinal, rank) with gapless ranks
+    from one range sort of narrow rows, so a group of any size spreads over many tasks."""
+    rows = analysis.select("content_id", "sentiment", summary_category(F.col("category")).alias("category"), "ordinal")
+    return ranked(rows, GROUP, [F.asc("ordinal")])
+
+
 def sample_comments(analysis: DataFrame, k: int = SAMPLE_COMMENTS) -> DataFrame:
     """First k comments per category in input order (rank <= k pushed below the
     shuffle by WindowGroupLimit)."""

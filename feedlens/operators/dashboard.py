@@ -2,6 +2,8 @@
 
 The upstream code walks nested dictionaries per course; here everything is a fact
 table plus aggregates, and nesting happens only once, at export (``dashboard_payload``).
+Comments match by the SHA-256 digest of their normalised text (``norm_key``, 32 bytes):
+no text is shuffled or sorted to find its partner.
 
 Flow:
     tagged full comments --J1 (last-wins analysis per (course, sentiment, norm))--> enriched
@@ -22,8 +24,10 @@ from pyspark.sql import functions as F
 
 from ..fixed import (ALERT_HIGH_SHARE, ALERT_MEDIUM_SHARE, BAR_SCALE, COURSE_TOP_CATEGORIES, COURSE_TOP_LANGUAGES,
                      TOP_ISSUES, TOP_ISSUES_LENIENT, TOP_STRENGTHS)
-from ..functions.text import norm_comment, norm_comment_simple, utrim
+from ..fixed import ANALYSIS_FIELDS
+from ..functions.text import norm_comment, norm_comment_simple, text_key, utrim
 from .language import lang_badge, lang_code_key, lang_name, lang_order, skew
+from .ranks import ranked, spread_left_join
 from .sentiment import sentiment_key
 
 OTHER_ISSUE = "Other Issue"
@@ -49,14 +53,19 @@ LENIENT = Profile("lenient", lenient=True, top_issues=TOP_ISSUES_LENIENT, bucket
 
 
 # ----------------------------------------------------------------------------- J1 / D1
+def keyed(rows: DataFrame, profile: Profile = STRICT) -> DataFrame:
+    """``rows`` with ``norm_key``, the digest of the normalised comment, unless they bring it along."""
+    if "norm_key" in rows.columns:
+        return rows
+    norm = F.col("norm") if "norm" in rows.columns else profile.norm(F.col("comment"))
+    return rows.withColumn("norm_key", text_key(norm))
+
+
 def analysis_lookup(analysis: DataFrame, profile: Profile = STRICT) -> DataFrame:
-    """The ordinal of the last analysis per (course, sentiment, norm); a record without a
-    category (failed analysis) never overwrites.  A long maximum is a hash aggregate: the
-    text is shuffled as a key, never sorted."""
-    a = analysis.filter(F.col("category").isNotNull() & F.col("error").isNull())
-    if "norm" not in a.columns:
-        a = a.withColumn("norm", profile.norm(F.col("comment")))
-    return a.groupBy("content_id", "sentiment", "norm").agg(F.max("ordinal").alias("analysis_ordinal"))
+    """The ordinal of the last analysis per (course, sentiment, comment key); a record without a
+    category (failed analysis) never overwrites.  A long maximum is a hash aggregate."""
+    a = keyed(analysis.filter(F.col("category").isNotNull() & F.col("error").isNull()), profile)
+    return a.groupBy("content_id", "sentiment", "norm_key").agg(F.max("ordinal").alias("analysis_ordinal"))
 
 
 def enrich(tagged_full: DataFrame, analysis: DataFrame, profile: Profile = STRICT) -> DataFrame:
@@ -65,53 +74,57 @@ def enrich(tagged_full: DataFrame, analysis: DataFrame, profile: Profile = STRIC
     Negative -> issue from the negative analysis (default 'Other Issue'); positive ->
     strength from the positive analysis (default ''); neutral -> neither.
     """
-    t = tagged_full.withColumn("sentiment", sentiment_key(F.col("predicted_sentiment")))
+    t = keyed(tagged_full.withColumn("sentiment", sentiment_key(F.col("predicted_sentiment"))), profile)
     if "norm" not in t.columns:
         t = t.withColumn("norm", profile.norm(F.col("comment")))
-    t = t.select("content_id", "content_name", "ordinal", "comment", "comment_date", "sentiment", "norm")
-    # the text key finds an ordinal; the record itself comes by that number
+    t = t.select("content_id", "content_name", "ordinal", "comment", "comment_date", "sentiment", "norm", "norm_key")
+    # the key finds an ordinal; the record itself comes by that number, and comments without one stay apart
     record = analysis.select(F.col("ordinal").alias("analysis_ordinal"),
                              F.struct("category", "root_cause", "owner", "priority", "actions").alias("a"))
-    j = (t.join(analysis_lookup(analysis, profile), ["content_id", "sentiment", "norm"], "left")
-         .join(record, "analysis_ordinal", "left"))
+    j = t.join(analysis_lookup(analysis, profile), ["content_id", "sentiment", "norm_key"], "left")
+    j = spread_left_join(j, record, "analysis_ordinal", "ordinal")
     issue = F.when(F.col("sentiment") == "negative", F.coalesce(F.col("a.category"), F.lit(OTHER_ISSUE))) \
         .otherwise(F.lit(OTHER_ISSUE))
     strength = F.when(F.col("sentiment") == "positive", F.coalesce(F.col("a.category"), F.lit(""))) \
         .otherwise(F.lit(""))
-    return j.select("content_id", "content_name", "ordinal", "comment", "comment_date", "sentiment", "norm",
+    return j.select("content_id", "content_name", "ordinal", "comment", "comment_date", "sentiment", "norm", "norm_key",
                     issue.alias("issue"), strength.alias("strength"),
                     F.col("a.root_cause").alias("root_cause"), F.col("a.owner").alias("owner"),
-                    F.col("a.priority").alias("priority"), F.col("a.actions").alias("actions"))
+                    F.col("a.priority").alias("priority"), F.col("a.actions").alias("actions"), F.col("a").isNotNull().alias("analysed"))
 
 
 def comment_map(enriched: DataFrame) -> DataFrame:
-    """Per (course, norm) the last row wins (upstream map writes)."""
-    last = enriched.groupBy("content_id", "norm").agg(F.max("ordinal").alias("last_ordinal"))
-    return last.join(_records(enriched), "last_ordinal").drop("last_ordinal")
+    """Per (course, normalised comment) the last row wins (upstream map writes)."""
+    last = keyed(enriched).groupBy("content_id", "norm_key").agg(F.max("ordinal").alias("last_ordinal"))
+    texts = enriched.select(F.col("ordinal").alias("last_ordinal"), "norm")
+    return last.join(_records(enriched), "last_ordinal").join(texts, "last_ordinal").select("content_id", "norm", "m")
 
 
 def _records(enriched: DataFrame) -> DataFrame:
+    """What a comment tells by its ordinal; its whole analysis record is null where there is none."""
+    category = F.when(F.col("sentiment") == "negative", F.col("issue")).otherwise(F.col("strength"))
+    record = F.lit(None).cast("struct<category:string,root_cause:string,owner:string,priority:string,actions:array<string>>")
+    if "analysed" in enriched.columns:
+        record = F.when(F.col("analysed"), F.struct(category.alias("category"), "root_cause", "owner", "priority", "actions"))
     return enriched.select(F.col("ordinal").alias("last_ordinal"),
-                           F.struct("sentiment", "issue", "strength", F.col("comment_date").alias("date")).alias("m"))
+                           F.struct("sentiment", "issue", "strength", F.col("comment_date").alias("date"), record.alias("record")).alias("m"))
 
 
 def language_facts(lang: DataFrame, enriched: DataFrame, profile: Profile = STRICT) -> DataFrame:
     """J2 (strict: inner, unmatched rows skipped) / J3 (lenient: left, unmatched rows are
     neutral with 'Other Issue', date from the language row)."""
     default = "unknown" if profile.lenient else "hinglish"
-    l = lang.withColumn("lang_code", lang_code_key(F.col("predicted_language"), default))
-    if "norm" not in l.columns:
-        l = l.withColumn("norm", profile.norm(F.col("comment")))
-    l = l.select("content_id", "ordinal", "comment", "comment_date", "lang_code", "norm")
+    l = keyed(lang.withColumn("lang_code", lang_code_key(F.col("predicted_language"), default)), profile)
+    l = l.select("content_id", "ordinal", "comment", "comment_date", "lang_code", "norm_key")
     how = "left" if profile.lenient else "inner"
-    last = enriched.groupBy("content_id", "norm").agg(F.max("ordinal").alias("last_ordinal"))
-    j = l.join(last, ["content_id", "norm"], how).drop("norm").join(_records(enriched), "last_ordinal", "left")
+    last = keyed(enriched, profile).groupBy("content_id", "norm_key").agg(F.max("ordinal").alias("last_ordinal"))
+    j = spread_left_join(l.join(last, ["content_id", "norm_key"], how).drop("norm_key"), _records(enriched), "last_ordinal", "ordinal")
     j = j.select("content_id", "ordinal", "lang_code", F.col("comment"),
                  F.coalesce(F.col("m.sentiment"), F.lit("neutral")).alias("sentiment"),
                  F.coalesce(F.col("m.issue"), F.lit(OTHER_ISSUE)).alias("issue"),
                  F.coalesce(F.col("m.strength"), F.lit("")).alias("strength"),
                  F.when(F.col("m").isNull(), F.col("comment_date")).otherwise(F.col("m.date")).alias("date"),
-                 F.col("m").isNotNull().alias("matched"))
+                 F.col("m").isNotNull().alias("matched"), F.col("m.record").alias("record"))
     return lang_name(j, "lang_code", profile.lenient, "lang_name")
 
 
@@ -134,36 +147,41 @@ def bar_width(share: Column) -> Column:
 
 
 # ----------------------------------------------------------------------------- A4 / W7
-def course_stats(enriched: DataFrame) -> DataFrame:
-    """A4 + W7: per course totals, counts, widths, alert; courses by total desc.
+def course_totals(enriched: DataFrame) -> DataFrame:
+    """A4: per course totals, counts, widths, alert, from one pass over the facts.
 
-    Name = first non-empty content_name in input order.  Hidden courses (T7: exactly
-    one neutral comment) are flagged, not dropped, so totals elsewhere stay whole.
+    Name = first non-empty content_name in input order: counts and first rows are taken per (course,
+    name), of which a course has a few, and the window sees only these.  Hidden courses (T7:
+    exactly one neutral comment) are flagged, not dropped, so totals elsewhere stay whole.
     """
     s = F.col("sentiment")
-    g = (enriched.groupBy("content_id")
-         .agg(F.min(F.when(F.col("content_name") != "", F.col("ordinal"))).alias("named_ordinal"),
-              F.count(F.lit(1)).alias("total"),
-              F.count_if(s == "positive").alias("positive_count"),
-              F.count_if(s == "negative").alias("negative_count"),
-              F.count_if((s != "positive") & (s != "negative")).alias("neutral_count"),
-              F.min("ordinal").alias("first_ordinal")))
-    # one row per course meets its first named row by the ordinal
-    named = enriched.select(F.col("ordinal").alias("named_ordinal"), F.col("content_name").alias("name"))
-    g = g.join(named, "named_ordinal", "left")
+    named = (enriched.groupBy("content_id", "content_name")
+             .agg(F.count(F.lit(1)).alias("total"),
+                  F.count_if(s == "positive").alias("positive_count"),
+                  F.count_if(s == "negative").alias("negative_count"),
+                  F.count_if((s != "positive") & (s != "negative")).alias("neutral_count"),
+                  F.min("ordinal").alias("first_ordinal")))
+    every = Window.partitionBy("content_id")
+    first = every.orderBy(F.col("content_name").isNull() | (F.col("content_name") == ""), "first_ordinal")
+    g = named.select("content_id", *(F.sum(c).over(every).alias(c) for c in ("total", "positive_count", "negative_count", "neutral_count")),
+                     F.min("first_ordinal").over(every).alias("first_ordinal"), F.col("content_name").alias("name"), F.row_number().over(first).alias("r"))
+    g = g.filter("r = 1")
     tot = F.greatest(F.lit(1), F.col("total")).cast("double")
-    out = g.select("content_id", F.coalesce(F.col("name"), F.col("content_id")).alias("name"), "total",
-                   "positive_count", "negative_count", "neutral_count",
-                   bar_width(F.col("positive_count") / tot).alias("positive_width"),
-                   bar_width(F.col("negative_count") / tot).alias("negative_width"),
-                   bar_width(F.col("neutral_count") / tot).alias("neutral_width"),
-                   *alert(F.col("negative_count") / tot),
-                   ((F.col("total") <= 1) & (F.col("positive_count") == 0) & (F.col("negative_count") == 0))
-                   .alias("hidden"),
-                   "first_ordinal")
-    # Order among visible courses; a course-level table (one row per course).
-    w = Window.partitionBy("hidden").orderBy(F.desc("total"), F.asc("first_ordinal"))
-    return out.withColumn("course_rank", F.when(~F.col("hidden"), F.row_number().over(w))).drop("first_ordinal")
+    return g.select("content_id", F.when(F.col("name") != "", F.col("name")).otherwise(F.col("content_id")).alias("name"), "total",
+                    "positive_count", "negative_count", "neutral_count",
+                    bar_width(F.col("positive_count") / tot).alias("positive_width"),
+                    bar_width(F.col("negative_count") / tot).alias("negative_width"),
+                    bar_width(F.col("neutral_count") / tot).alias("neutral_width"),
+                    *alert(F.col("negative_count") / tot),
+                    ((F.col("total") <= 1) & (F.col("positive_count") == 0) & (F.col("negative_count") == 0))
+                    .alias("hidden"),
+                    "first_ordinal")
+
+
+def course_stats(enriched: DataFrame) -> DataFrame:
+    """A4 + W7: course totals with the rank of the visible courses by total desc, numbered by a range sort."""
+    out = ranked(course_totals(enriched), ["hidden"], [F.desc("total"), F.asc("first_ordinal")], "course_rank")
+    return out.withColumn("course_rank", F.when(~F.col("hidden"), F.col("course_rank"))).drop("first_ordinal")
 
 
 # ----------------------------------------------------------------------------- A5, W1-W3
@@ -203,7 +221,7 @@ def top_categories(enriched: DataFrame, kind: str, n: int) -> DataFrame:
 
 def course_top_categories(enriched: DataFrame, n: int = COURSE_TOP_CATEGORIES) -> DataFrame:
     """Top n issues and strengths per visible course."""
-    visible = course_stats(enriched).filter(~F.col("hidden")).select("content_id")
+    visible = course_totals(enriched).filter(~F.col("hidden")).select("content_id")
     c = (category_facts(enriched).groupBy("content_id", "kind", "name")
          .agg(F.count(F.lit(1)).alias("count"), F.min("ordinal").alias("first_ordinal")))
     w = Window.partitionBy("content_id", "kind").orderBy(F.desc("count"), F.asc("first_ordinal"))
@@ -292,17 +310,23 @@ def bucket_categories(facts: DataFrame, issue_limit: int | None = None) -> DataF
     return out.select("content_id", "lang_name", "kind", "rank", "name", "count")
 
 
-def bucket_comments(facts: DataFrame) -> DataFrame:
-    """Per bucket and sentiment one row per exact (stripped) comment text, latest date
-    wins (ties: input order), listed by date desc."""
-    f = facts.withColumn("comment_text", utrim(F.col("comment")))
-    w = Window.partitionBy("content_id", "lang_name", "sentiment", "comment_text") \
-        .orderBy(F.desc("date"), F.asc("ordinal"))
-    d = f.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
-    analysis = F.when(F.col("sentiment") == "negative", F.col("issue")) \
+def bucket_winners(facts: DataFrame) -> DataFrame:
+    """Per bucket and sentiment the (date, ordinal) of one row per exact (stripped) comment text: the
+    latest date wins, ties go to the first.  Texts are told apart by their digests, so all rows are narrow."""
+    key = ["content_id", "lang_name", "sentiment"]
+    narrow = facts.select(*key, text_key(utrim(F.col("comment"))).alias("text_key"), "ordinal", "date")
+    last = narrow.groupBy(*key, "text_key").agg(F.max(F.struct("date", (-F.col("ordinal")).alias("o"))).alias("last"))
+    return last.select(*key, "last.date", (-F.col("last.o")).alias("ordinal"))
+
+
+def bucket_comments(facts: DataFrame, winners: DataFrame | None = None) -> DataFrame:
+    """The deduplicated comments of each bucket and sentiment with their analysis; texts come by ordinal."""
+    found = (bucket_winners(facts) if winners is None else winners).drop("date", "content_id", "lang_name", "sentiment")
+    category = F.when(F.col("sentiment") == "negative", F.col("issue")) \
         .when(F.col("sentiment") == "positive", F.col("strength")).otherwise(F.lit(""))
-    return d.select("content_id", "lang_name", "sentiment", "ordinal", "date", F.col("comment_text").alias("comment"),
-                    analysis.alias("analysis"))
+    more = [c for c in ("record", "rank") if c in facts.columns + found.columns]
+    return facts.join(found, "ordinal").select("content_id", "lang_name", "sentiment", "ordinal", "date", utrim(F.col("comment")).alias("comment"),
+                                               category.alias("analysis"), *more)
 
 
 # ----------------------------------------------------------------------------- A3 / K5
@@ -313,7 +337,7 @@ def overall(enriched: DataFrame) -> DataFrame:
                      F.count_if(s == "positive").alias("positive_count"),
                      F.count_if(s == "negative").alias("negative_count"),
                      F.count_if((s != "positive") & (s != "negative")).alias("neutral_count"))
-    visible = course_stats(enriched).agg(F.count_if(~F.col("hidden")).alias("course_count"))
+    visible = course_totals(enriched).agg(F.count_if(~F.col("hidden")).alias("course_count"))
     tot = F.greatest(F.lit(1), F.col("total_comments")).cast("double")
     return g.crossJoin(F.broadcast(visible)).select(
         "total_comments", "course_count", "positive_count", "negative_count", "neutral_count",
@@ -351,27 +375,42 @@ def course_payload(enriched: DataFrame, facts: DataFrame, profile: Profile = STR
 
 
 def bucket_payload(facts: DataFrame, enriched: DataFrame, profile: Profile = STRICT) -> DataFrame:
-    """K5 / A10, buckets: one JSON value per course and language with its counts, ranked issues and
-    strengths and the deduplicated comments of each sentiment, latest first.
-
-    A bucket's comment lists are its value, as upstream; to read comments at scale use the
-    rows of ``bucket_comments`` instead.
-    """
+    """K5 / A10, buckets: one JSON value per course and language with its counts and its ranked issues and
+    strengths; its comments are the rows of ``bucket_rows``."""
     key = ["content_id", "lang_name"]
     cats = bucket_categories(facts, profile.bucket_issue_limit)
-    lists = bucket_comments(facts).select(*key, "sentiment", F.struct(
-        F.col("date"), (-F.col("ordinal")).alias("o"), F.struct("comment", "date", F.col("lang_name").alias("language"), "sentiment", "analysis").alias("c")).alias("c"))
-    per = [F.transform(F.sort_array(F.collect_list(F.when(F.col("sentiment") == s, F.col("c"))), asc=False), lambda x: x["c"]).alias(f"{s}_comments")
-           for s in ("negative", "positive", "neutral")]
-    names = course_stats(enriched).select("content_id", F.col("name").alias("course"))
+    names = course_totals(enriched).select("content_id", F.col("name").alias("course"))
     out = flat_buckets(facts).join(names, "content_id", "left")
-    for part in (_pairs(cats, key, "issue", "issues"), _pairs(cats, key, "strength", "strengths"), lists.groupBy(*key).agg(*per)):
+    for part in (_pairs(cats, key, "issue", "issues"), _pairs(cats, key, "strength", "strengths")):
         out = out.join(part, key, "left")
     none = F.array().cast("array<struct<name:string,count:bigint>>")
     return out.select(*key, F.to_json(F.struct(
         "course", F.col("content_id").alias("course_id"), F.col("lang_name").alias("lang"), "pos", "neg", "neu",
-        F.coalesce("issues", none).alias("issues"), *([] if profile.lenient else [F.coalesce("strengths", none).alias("strengths")]),
-        "negative_comments", "positive_comments", "neutral_comments")).alias("payload"))
+        F.coalesce("issues", none).alias("issues"),
+        *([] if profile.lenient else [F.coalesce("strengths", none).alias("strengths")]))).alias("payload"))
+
+
+def analysis_json(record: Column, sentiment: Column) -> Column:
+    """A comment's analysis record under its names on disk, as JSON; ``{}`` where there is none."""
+    fields = [F.when(sentiment == "negative", record["category"]).alias(ANALYSIS_FIELDS["issue"]),
+              F.when(sentiment == "positive", record["category"]).alias(ANALYSIS_FIELDS["strength"]),
+              *(record[c].alias(ANALYSIS_FIELDS[c]) for c in ("root_cause", "actions", "owner", "priority"))]
+    return F.coalesce(F.when(record.isNotNull(), F.to_json(F.struct(*fields))), F.lit("{}"))
+
+
+def bucket_rows(facts: DataFrame) -> DataFrame:
+    """K5 / A10, comments: (content_id, lang_name, sentiment, rank, payload), one JSON row per deduplicated
+    comment of a bucket, ranked latest first (ties: input order), with its whole analysis record.
+
+    Ranks come from a range sort of narrow rows, so a bucket with most of the comments spreads over many
+    tasks; ``sinks.write_bucket_rows`` stores the rows in order, and a page of a list is a range of ranks.
+    """
+    winners = ranked(bucket_winners(facts), ["content_id", "lang_name", "sentiment"], [F.desc("date"), F.asc("ordinal")])
+    rows = bucket_comments(facts, winners)
+    known = F.to_json(F.struct("comment", "date", F.col("lang_name").alias("language"), "sentiment"))
+    # the record is JSON already: it joins the comment's fields as it is
+    whole = F.concat(F.substring(known, F.lit(1), F.length(known) - 1), F.lit(',"analysis":'), analysis_json(F.col("record"), F.col("sentiment")), F.lit("}"))
+    return rows.select("content_id", "lang_name", "sentiment", "rank", whole.alias("payload"))
 
 
 def dashboard_payload(enriched: DataFrame, facts: DataFrame, profile: Profile = STRICT) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import fixed
 from ..fixed import ANALYSIS_RECORD_FIELD, ANALYSIS_SENTIMENT_FIELD, BLOCKING_PATTERN, TOP_ISSUES, TOP_ISSUES_LENIENT, TOP_STRENGTHS
 from ..functions import text as tx
 from ..operators import category, clean, dashboard, documents, enrich, evaluate, language, sentiment, words
@@ -784,7 +785,7 @@ SELECT content_id, lang_name, sentiment, ordinal, date, {s_trim('comment')} AS c
                                ORDER BY date DESC, ordinal) AS rk FROM lfacts) WHERE rk = 1""", "lfacts"))
 def q_dedup_latest(spark, sf):
     """One row per exact comment per bucket and sentiment, latest date first."""
-    return dashboard.bucket_comments(flows.language_facts(spark, sf))
+    return dashboard.bucket_comments(flows.language_facts(spark, sf)).drop("record")
 
 
 @register("sample_comments", with_ctes("""
@@ -1065,13 +1066,14 @@ UNION ALL SELECT 'course', content_id, 'issues', CAST(count(DISTINCT issue) AS V
   SELECT content_id, issue, row_number() OVER (PARTITION BY content_id ORDER BY count(*) DESC, min(ordinal)) AS rk FROM enriched
   WHERE sentiment = 'negative' AND issue <> 'Other Issue' AND issue <> '' GROUP BY content_id, issue) WHERE rk <= 5
   AND content_id IN (SELECT content_id FROM cs WHERE NOT hidden) GROUP BY content_id
-UNION ALL SELECT 'bucket', content_id || '/' || lang_name, 'negative_comments', CAST(count(DISTINCT trim(comment)) AS VARCHAR)
-  FROM lfacts WHERE sentiment = 'negative' GROUP BY 2"""
+UNION ALL SELECT 'bucket', content_id || '/' || lang_name, 'pos', CAST(count_if(sentiment = 'positive') AS VARCHAR) FROM lfacts GROUP BY 2
+UNION ALL SELECT 'bucket', content_id || '/' || lang_name, 'strengths', CAST(count(DISTINCT strength) AS VARCHAR)
+  FROM lfacts WHERE sentiment = 'positive' AND strength <> '' GROUP BY 2"""
 
 
 @register("dashboard_payload", (lambda base: base[:-len("SELECT 1")].rstrip() + ",\n" + CTES_CS + _PAYLOAD_SQL)(with_ctes("SELECT 1", "enriched", "lfacts")))
 def q_dashboard_payload(spark, sf):
-    """K5 (+P21, A10): the payload rows read back from their JSON: totals, courses, buckets."""
+    """K5 (+P21, A10): the payload rows read back from their JSON: totals, courses, buckets (their comments: bucket_rows)."""
     enr, facts = flows.dashboard_facts(spark, sf)
     neg, pos, _ = _documents(spark, sf)
     total = dashboard.dashboard_payload(enr, facts)
@@ -1085,11 +1087,48 @@ def q_dashboard_payload(spark, sf):
         courses.select(F.lit("course").alias("part"), F.col("content_id").alias("key"), F.explode(F.array(
             field("total_comments"), field("alert_label"), n_of("issues"))).alias("f")).filter("f.value <> '0' or f.field <> 'issues'"),
         buckets.select(F.lit("bucket").alias("part"), F.concat_ws("/", "content_id", "lang_name").alias("key"), F.explode(F.array(
-            n_of("negative_comments"))).alias("f")).filter("f.value <> '0'"),
+            field("pos"), n_of("strengths"))).alias("f")).filter("f.value <> '0' or f.field <> 'strengths'"),
     ]
     return rows[0].unionByName(rows[1]).unionByName(rows[2]).select("part", "key", "f.field", "f.value")
 
 
+# the analysis record of a comment is the one of the last analysis of its (course, sentiment, text), by the last comment of its text
+_BUCKET_ROWS = f""",
+a_rec AS (SELECT * FROM (SELECT content_id, sentiment, {s_norm('comment')} AS norm, category, root_cause, owner, priority, actions,
+            row_number() OVER (PARTITION BY content_id, sentiment, {s_norm('comment')} ORDER BY ordinal DESC) AS rk FROM analysis) WHERE rk = 1),
+deduped AS (SELECT * FROM (SELECT *, {s_trim('comment')} AS text, row_number() OVER (PARTITION BY content_id, lang_name, sentiment, {s_trim('comment')}
+            ORDER BY date DESC, ordinal) AS rk FROM lfacts) WHERE rk = 1)
+SELECT d.content_id, d.lang_name, d.sentiment, row_number() OVER (PARTITION BY d.content_id, d.lang_name, d.sentiment ORDER BY d.date DESC, d.ordinal) AS rank,
+       d.text AS comment, d.date, CASE d.sentiment WHEN 'negative' THEN a.category END AS issue, CASE d.sentiment WHEN 'positive' THEN a.category END AS strength,
+       a.root_cause, a.owner, a.priority, array_to_string(a.actions, ' | ') AS actions
+FROM deduped d LEFT JOIN a_rec a ON d.sentiment <> 'neutral' AND a.content_id = d.content_id AND a.sentiment = d.sentiment
+  AND a.norm = {s_norm('d.comment')}"""
+
+
+@register("bucket_rows", with_ctes("SELECT 1", "analysis", "lfacts")[:-len("SELECT 1")].rstrip() + _BUCKET_ROWS)
+def q_bucket_rows(spark, sf):
+    """K5 / A10: every deduplicated comment of every bucket as a ranked JSON row, written in order, read back from its JSON."""
+    path = _scratch(spark, "bucket-rows")
+    _, facts = flows.dashboard_facts(spark, sf)
+    sinks.write_bucket_rows(dashboard.bucket_rows(facts), path)
+    names = fixed.ANALYSIS_FIELDS
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("comment", "date", "language", "sentiment")] + [T.StructField("analysis", T.StructType(
+        [T.StructField(names[c], T.StringType()) for c in ("issue", "strength", "root_cause", "owner", "priority")]
+        + [T.StructField(names["actions"], T.ArrayType(T.StringType()))]))])
+    rows = src.scan_bucket_rows(spark, path).withColumn("p", F.from_json("payload", schema))
+    part = lambda c: F.col(f"p.analysis.`{names[c]}`")
+    return rows.select("content_id", "lang_name", "sentiment", "rank", "p.comment", "p.date", *(part(c).alias(c) for c in ("issue", "strength", "root_cause", "owner", "priority")),
+                       F.array_join(part("actions"), " | ").alias("actions"))
+
+
+@register("category_members", with_ctes("""
+SELECT content_id, sentiment, coalesce(category, 'Other') AS category, ordinal,
+       row_number() OVER (PARTITION BY content_id, sentiment, coalesce(category, 'Other') ORDER BY ordinal) AS rank FROM analysis""", "analysis"))
+def q_category_members(spark, sf):
+    """All comments of every (course, sentiment, category) in input order, with gapless ranks."""
+    return category.group_members(flows.analysis(spark, sf)).select("content_id", "sentiment", "category", "ordinal", "rank")
+
+
 @register("write_split", with_ctes("SELECT content_id, content_name, comment, comment_date, word_count, ordinal, bucket FROM clean", "clean"))
 def q_write_split(spark, sf):
     """K1: short / full files per course (CSV), read back."""

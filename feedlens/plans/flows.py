@@ -10,11 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import text_key
 from ..operators import category, clean, dashboard, language, sentiment
 from ..operators.taxonomy import join_taxonomy
 from ..session import materialize
 from ..sources.tables import mapped_category_no, mapped_latency, mapped_sentiment, raw_comments
 
+EDIT = " edited"
 RESUME_CUTOFF = "2024-03-01"   # the earlier run saw comments dated before this day
 
 
@@ -73,18 +75,19 @@ def scored_full(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = d
                 with_language: bool = False) -> DataFrame:
     """The dashboard fact table, computed in one row-wise pass and written once.
 
-    Full comments + sentiment key + stored category (negative / positive rows only) + the
-    comment matching key (+ detected language).  It feeds two or three join branches, so it
+    Full comments + sentiment key + stored category (negative / positive rows only) + the digest
+    of the normalised comment (+ detected language, + the digest of the edited comment).  It feeds two or three join branches, so it
     is written to the shared folder as Parquet, and every branch reads the columns it needs.
     """
     t = tagged_input(spark, sf_dir).withColumn("sentiment", sentiment.sentiment_key(F.col("predicted_sentiment")))
     no = F.when(F.col("sentiment").isin("negative", "positive"), mapped_category_no(F.col("ordinal")))
     t = join_taxonomy(t.withColumn("category_no", no)).withColumn("error", F.lit(None).cast("string"))
-    t = t.withColumn("norm", profile.norm(F.col("comment")))
+    t = t.withColumn("_norm", profile.norm(F.col("comment"))).withColumn("norm_key", text_key(F.col("_norm")))
     if with_language:
+        t = t.withColumn("edited_key", text_key(F.concat("_norm", F.lit(EDIT))))
         prof = language.LENIENT_DETECTION if profile.lenient else language.STRICT_DETECTION
         t = language.detect_language(t, prof=prof)
-    return materialize(t, "facts")
+    return materialize(t.drop("_norm"), "facts")
 
 
 def _analysis_of(scored: DataFrame) -> DataFrame:
@@ -100,8 +103,8 @@ def language_side(scored: DataFrame) -> DataFrame:
     """The stored language rows (a mapped input): one comment in seventeen was edited after its
     detection, so it matches no comment of the analysis side."""
     edited = F.col("ordinal") % 17 == 0
-    return (scored.withColumn("norm", F.when(edited, F.concat("norm", F.lit(" edited"))).otherwise(F.col("norm")))
-            .withColumn("comment", F.when(edited, F.concat("comment", F.lit(" edited"))).otherwise(F.col("comment"))))
+    return (scored.withColumn("norm_key", F.when(edited, F.col("edited_key")).otherwise(F.col("norm_key")))
+            .withColumn("comment", F.when(edited, F.concat("comment", F.lit(EDIT))).otherwise(F.col("comment"))))
 
 
 def language_facts(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = dashboard.STRICT) -> DataFrame:

@@ -68,6 +68,13 @@ def write_summary_json(documents: DataFrame, path: str, mode: str = "overwrite")
     documents.repartition("content_id").write.mode(mode).partitionBy("content_id").json(path)
 
 
+def write_bucket_rows(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K5 / A10: the comments of all buckets in order of (bucket, sentiment, rank).  The rows are dealt out by
+    ranges of that order, so a bucket with most of them is written by several tasks, and a read of some ranks skips the other files."""
+    by = ["content_id", "lang_name", "sentiment", "rank"]
+    rows.repartitionByRange(*by).sortWithinPartitions(*by).write.mode(mode).parquet(path)
+
+
 def append_usage(analysis: DataFrame, path: str, run_id: str) -> None:
     """K6: append this run's token usage (per course x prompt kind) to a usage table."""
     write_parquet(token_usage(analysis).withColumn("run_id", F.lit(run_id)), path, mode="append")

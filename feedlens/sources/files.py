@@ -98,6 +98,11 @@ def scan_category_summaries(spark: SparkSession, path: str, schema: T.StructType
     return df.withColumn("summary_course", course)
 
 
+def scan_bucket_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The comments that ``sinks.write_bucket_rows`` wrote: content_id, lang_name, sentiment, rank, payload (JSON)."""
+    return spark.read.schema("content_id string, lang_name string, sentiment string, rank long, payload string").parquet(path)
+
+
 def split_rejects(df: DataFrame, reason: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
     """The rows to go on with, and the reject table with the reason of each."""
     return df.filter(F.col(reason).isNull()).drop(reason), df.filter(F.col(reason).isNotNull())
