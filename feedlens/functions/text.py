@@ -11,6 +11,9 @@ SQL oracles identical).
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,15 +78,51 @@ def _nfkc(s: pd.Series) -> pd.Series:
     return s.str.normalize("NFKC")
 
 
-# ASCII and the Latin-1 letters (U+00C0-U+00FF) are all unchanged by NFKC; only rows with
-# some other character go to the Python worker.
-NFKC_STABLE = "\\x00-\\x7f\\xc0-\\xff"
+def _ranges(points: list[int]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for c in points:
+        if out and out[-1][1] == c - 1:
+            out[-1] = (out[-1][0], c)
+        else:
+            out.append((c, c))
+    return out
+
+
+def _char_class(ranges: list[tuple[int, int]]) -> str:
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in ranges) + "]"
+
+
+#: Planes that hold characters which normalisation may change, and the least length of a run of
+#: characters which it cannot change that is looked at before all others.
+_LAST, _RUN = 0x30000, 48
+
+
+@lru_cache(maxsize=1)
+def nfkc_may_change() -> str:
+    """A pattern found in every text that NFKC changes, from the quick-check rule: a character that is not its
+    own normal form, one that may compose behind one that it composes with or behind a mark, or two marks
+    beside each other that may trade places.  Built from ``unicodedata``, which also does the normalising."""
+    first, second = {*range(0x1100, 0x1113), *range(0xAC00, 0xD7A4)}, {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}   # Hangul
+    points = [c for c in range(_LAST) if not 0xD800 <= c < 0xE000]
+    for c in points:
+        parts = unicodedata.decomposition(chr(c)).split()
+        if len(parts) == 2 and not parts[0].startswith("<") and unicodedata.normalize("NFC", chr(c)) == chr(c):
+            first.add(int(parts[0], 16))
+            second.add(int(parts[1], 16))
+    changes = [c for c in points if unicodedata.normalize("NFKC", chr(c)) != chr(c)]
+    marks = [c for c in points if unicodedata.combining(chr(c))]
+    touched = {*changes, *marks, *first, *second}
+    calm = [r for r in _ranges([c for c in points if c not in touched]) if r[1] - r[0] >= _RUN]
+    calm.sort(key=lambda r: r[0] - r[1])
+    mark, late = _char_class(_ranges(marks)), _char_class(_ranges(sorted(second)))
+    before = _char_class(_ranges(sorted({*first, *marks})))
+    return f"(?!{_char_class(calm)})(?:{_char_class(_ranges(changes))}|{before}{late}|{mark}{mark})"
 
 
 def nfkc(col) -> Column:
-    """NFKC normalisation; texts that cannot change pass the Python worker as nulls."""
+    """NFKC normalisation; texts that cannot change stay in the JVM and pass the Python worker as nulls."""
     c = _c(col)
-    return F.coalesce(_nfkc(F.when(c.rlike(f"[^{NFKC_STABLE}]"), c)), c)
+    return F.coalesce(_nfkc(F.when(c.rlike("[^\\x00-\\x7F]") & c.rlike(nfkc_may_change()), c)), c)
 
 
 def norm_comment(col, unicode_normalize: bool = True) -> Column:

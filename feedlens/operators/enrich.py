@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import is_blank, utrim
+from ..functions.text import is_blank, text_key, utrim
 from ..schemas import ANALYSIS_JSON_STRUCT
+from .ranks import spread_left_join
 
 
 # ----------------------------------------------------------------------------- E4
@@ -163,20 +164,24 @@ def join_resume(comments: DataFrame, earlier: DataFrame) -> DataFrame:
     """Comments with the earlier run's analysis on (course, exact comment text).
 
     The earlier side is first reduced to one row per key (last wins), so duplicate
-    comments never multiply rows.
+    comments never multiply rows.  Texts meet by their digests, records by their ordinals.
     """
-    last = earlier.groupBy("content_id", "comment").agg(F.max("ordinal").alias("earlier_ordinal"))
+    last = _texts(earlier).groupBy("content_id", "_text").agg(F.max("ordinal").alias("earlier_ordinal"))
     e = earlier.select(F.col("ordinal").alias("earlier_ordinal"), F.struct("category", "error").alias("earlier"))
-    return (comments.join(last, ["content_id", "comment"], "left").join(e, "earlier_ordinal", "left")
-            .drop("earlier_ordinal"))
+    j = _texts(comments).join(last, ["content_id", "_text"], "left")
+    return spread_left_join(j, e, "earlier_ordinal", "ordinal").select(*comments.columns, "earlier")
+
+
+def _texts(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_text", text_key(F.col("comment")))
 
 
 def pending_anti(comments: DataFrame, earlier: DataFrame, parity: bool = False) -> DataFrame:
     """Non-blank rows still without a successful analysis.  A stored error counts as
     pending (parity=True keeps upstream's 'any stored answer is done')."""
     done = earlier if parity else earlier.filter(F.col("error").isNull() & F.col("category").isNotNull())
-    return (comments.filter(~is_blank(F.col("comment")))
-            .join(done.select("content_id", "comment").distinct(), ["content_id", "comment"], "left_anti"))
+    left = _texts(comments.filter(~is_blank(F.col("comment"))))
+    return left.join(_texts(done).select("content_id", "_text").distinct(), ["content_id", "_text"], "left_anti").drop("_text")
 
 
 def pending_language(lang: DataFrame, parity: bool = False) -> DataFrame:

@@ -182,6 +182,22 @@ def q_norm_comment(spark, sf):
     return flows.full(spark, sf).select("ordinal", tx.norm_comment(F.col("comment")).alias("norm"))
 
 
+#: Full-width forms of the ASCII letters, which NFKC turns back.
+_WIDE = "".join(chr(c + 0xFEE0) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B)])
+
+
+@register("norm_comment_nfkc", with_ctes(f"SELECT ordinal, {s_norm('comment')} AS norm FROM full_t", "full_t"))
+def q_norm_comment_nfkc(spark, sf):
+    """P11 where NFKC has work to do: one comment in three comes in full-width letters, one with its é
+    as letter and accent; their keys are those of the plain texts."""
+    c = flows.full(spark, sf).select("ordinal", "comment")
+    plain = "".join(chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B)])
+    wide = F.translate("comment", plain, _WIDE)
+    decomposed = F.regexp_replace("comment", "é", "e\u0301")
+    text = F.when(F.col("ordinal") % 3 == 0, wide).when(F.col("ordinal") % 3 == 1, decomposed).otherwise(F.col("comment"))
+    return c.select("ordinal", tx.norm_comment(text).alias("norm"))
+
+
 @register("norm_comment_simple", with_ctes(f"SELECT ordinal, {s_norm_simple('comment')} AS norm FROM full_t",
                                            "full_t"))
 def q_norm_comment_simple(spark, sf):
@@ -1047,11 +1063,11 @@ SELECT * FROM (SELECT content_id, prompt_kind, CAST(sum(i) AS BIGINT) AS input_t
 FROM ({_USAGE4}) u GROUP BY ROLLUP (content_id, prompt_kind)) CROSS JOIN (VALUES ('run-1'), ('run-2')) r(run_id)
 WHERE total_tokens > 0""", "analysis", "groups"))
 def q_append_usage(spark, sf):
-    """K6 + A14 with all four prompt kinds: the usage of two runs appended to one table."""
+    """K6 + A14 with all four prompt kinds: the usage of two runs in one table, the second run written twice."""
     path = _scratch(spark, "usage")
-    for run in ("run-1", "run-2"):
+    for run in ("run-1", "run-2", "run-2"):
         sinks.append_usage(_usage_rows(spark, sf), path, run_id=run)
-    return spark.read.parquet(path)
+    return src.scan_usage(spark, path)
 
 
 _PAYLOAD_SQL = """

@@ -76,8 +76,14 @@ def write_bucket_rows(rows: DataFrame, path: str, mode: str = "overwrite") -> No
 
 
 def append_usage(analysis: DataFrame, path: str, run_id: str) -> None:
-    """K6: append this run's token usage (per course x prompt kind) to a usage table."""
-    write_parquet(token_usage(analysis).withColumn("run_id", F.lit(run_id)), path, mode="append")
+    """K6: this run's token usage (per course x prompt kind) as the folder of its run in a usage table.
+
+    The folder is replaced as a whole when the job commits, so a run that is repeated, or failed midway
+    and starts again, counts once; runs of other ids, also those that write at the same time, stay.
+    """
+    usage = token_usage(analysis).withColumn("run_id", F.lit(run_id))
+    # a few rows for each course: the rollup's tasks need not each leave a file
+    (usage.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
 
 
 def count_report_lines(counts: DataFrame, label: str) -> DataFrame:

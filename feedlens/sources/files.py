@@ -103,6 +103,12 @@ def scan_bucket_rows(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("content_id string, lang_name string, sentiment string, rank long, payload string").parquet(path)
 
 
+def scan_usage(spark: SparkSession, path: str) -> DataFrame:
+    """K6: the usage table of all runs; ``run_id`` stays text, whatever it looks like."""
+    kinds = ", ".join(f"{k}_tokens long" for k in ("input", "output", "thinking", "total"))
+    return spark.read.schema(f"content_id string, prompt_kind string, {kinds}, gid long, run_id string").parquet(path)
+
+
 def split_rejects(df: DataFrame, reason: str = "reject_reason") -> tuple[DataFrame, DataFrame]:
     """The rows to go on with, and the reject table with the reason of each."""
     return df.filter(F.col(reason).isNull()).drop(reason), df.filter(F.col(reason).isNotNull())

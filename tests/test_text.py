@@ -64,3 +64,30 @@ def test_format_number_half_even(spark):
     df = spark.createDataFrame([(0.25,), (12.35,)], "x double")
     got = [r[0] for r in df.select(F.format_number("x", 1)).collect()]
     assert got == [f"{0.25:.1f}", f"{12.35:.1f}"]
+
+
+def _goes_to_python(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    return [r[0] for r in df.select(F.col("s").rlike("[^\\x00-\\x7F]") & F.col("s").rlike(tx.nfkc_may_change())).collect()]
+
+
+def test_texts_of_four_scripts_stay_in_the_jvm(spark):
+    calm = ["Déjà vu, Straße — “quoted” naïve", "नमस्ते दुनिया, यह पाठ्यक्रम अच्छा है।", "안녕하세요 좋은 강의입니다", "本课程非常好。", "Отличный курс, спасибо!", "தமிழ் பாடம்", "plain"]
+    assert _goes_to_python(spark, calm) == [False] * len(calm)
+    import unicodedata
+    stirred = ["ｆｕｌｌ", "ﬁne", "e\u0301", "x²", "½ hour", "a\u0301\u0327", "가", "①", "\u212B", "\u095C", "q\u0307\u0323", "न\u093C", "\u1100\u1161\u11A8"]
+    assert all(unicodedata.normalize("NFKC", t) != t for t in stirred[:6] + stirred[7:]) and all(unicodedata.normalize("NFKC", t) == t for t in calm)
+    found = _goes_to_python(spark, stirred)
+    assert [f for f, t in zip(found, stirred) if unicodedata.normalize("NFKC", t) != t] == [True] * sum(unicodedata.normalize("NFKC", t) != t for t in stirred)
+
+
+def test_nfkc_equals_unicodedata_on_all_code_points(spark):
+    import unicodedata
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    marks = "".join(chr(c) for c in points if unicodedata.combining(chr(c)))
+    rows = [(i, "".join(chr(c) + "x" for c in points[i:i + 64])) for i in range(0, len(points), 64)]
+    rows += [(-1 - i, "a" + m + marks[(i * 7 + 3) % len(marks)] + "z" + m) for i, m in enumerate(marks)]
+    rows += [(-5000 - i, chr(c)) for i, c in enumerate(points) if c < 0x3400 or 0xF900 <= c < 0x10000]
+    df = spark.createDataFrame(rows, "id long, s string").repartition(8)
+    got = {r.id: r.n for r in df.select("id", tx.nfkc("s").alias("n")).collect()}
+    assert all(got[i] == unicodedata.normalize("NFKC", s) for i, s in rows)
