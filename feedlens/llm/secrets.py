@@ -4,15 +4,16 @@ Base secrets (assignments to a secret's name, access keys, hex runs) are found b
 The method adds tokens that no pattern knows, because they look drawn at random:
 
 1. Tokens of ``MIN_LENGTH`` characters or more from the alphabet of keys are candidates; the
-   encoding is inferred from their characters (hex, base32, letters, base64).
+   encoding is inferred from their characters (digits, hex, base32, letters, base36, base64).
 2. Each distinct token gets three statistics on its encoding's alphabet: chi-squared of the
    symbol counts against uniform, the number of runs above and below the middle symbol, and
    the serial correlation of neighbouring symbols.  A token that fails a randomness test at
    ``REJECT`` is no secret.
-3. Ordinary text isn't uniform: two of its symbols are equal more often.  How often, and how
-   much that varies, is measured on all shorter tokens of the corpus, for each encoding; the
-   spread shrinks with the root of the length.  Chi-squared against that gives a p-value: the
-   chance that an ordinary token of this length looks as uniform.
+3. Ordinary text isn't uniform: two of its symbols are equal more often.  The same three
+   statistics are measured on all shorter tokens of the corpus, for each encoding: their mean, and
+   how much they vary by chance (which shrinks with the length) and from token to token (with its
+   root).  Each test so gives a p-value, the chance that an ordinary token of this length looks
+   as random; the token's is the least of the three times their number.
 4. Benjamini-Hochberg at ``FDR`` within each encoding and class of lengths keeps the tokens
    that stand out; p-values are counted in steps of a fiftieth of a decade, so the control
    is an aggregate over at most ``STEPS`` counts for a class and never a sort of all tokens.
@@ -38,11 +39,15 @@ REFERENCE_LENGTH = 14
 REJECT = 1e-4
 FDR = 0.05
 STEPS = 1000
+#: An encoding with fewer ordinary tokens is judged by those of all encodings.
+LEAST_ORDINARY = 30
 KINDS = ("assign", "access", "hex")
 ALPHABETS = {
+    "digits": "0123456789",
     "hex": "0123456789abcdef",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "letters": "abcdefghijklmnopqrstuvwxyz",
+    "base36": "abcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
 }
 #: Least lengths of the classes of lengths within which discoveries are controlled.
@@ -76,13 +81,13 @@ def scanned(docs: DataFrame) -> DataFrame:
 def encoding_of(token: str) -> Column:
     """The smallest alphabet that holds the token."""
     t = F.col(token)
-    return (F.when(t.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "hex").when(t.rlike("^[A-Z2-7]+$") & t.rlike("[2-7]"), "base32")
-            .when(t.rlike("^[A-Za-z]+$"), "letters").otherwise("base64"))
+    return (F.when(t.rlike("^[0-9]+$"), "digits").when(t.rlike("^(?:[0-9a-f]+|[0-9A-F]+)$"), "hex").when(t.rlike("^[A-Z2-7]+$") & t.rlike("[2-7]"), "base32")
+            .when(t.rlike("^[A-Za-z]+$"), "letters").when(t.rlike("^(?:[a-z0-9]+|[A-Z0-9]+)$"), "base36").otherwise("base64"))
 
 
 def _coded(tokens: DataFrame) -> DataFrame:
     """``tokens`` with their encoding, its size k, length n and the symbols as numbers."""
-    folded = F.when(F.col("encoding").isin("hex", "letters"), F.lower("token")).otherwise(F.translate("token", "-_", "+/"))
+    folded = F.when(F.col("encoding").isin("hex", "letters", "base36"), F.lower("token")).otherwise(F.translate("token", "-_", "+/"))
     alphabet = F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair])[F.col("encoding")]
     out = tokens.withColumn("encoding", encoding_of("token")).withColumn("folded", folded).withColumn("alphabet", alphabet)
     codes = "transform(sequence(1, length(folded)), i -> locate(substring(folded, i, 1), alphabet) - 1)"
@@ -121,23 +126,47 @@ def battery(tokens: DataFrame) -> DataFrame:
     cube = (F.pow(F.col("chi2") / (k - 1), F.lit(1 / 3)) - (1 - 2 / (9 * (k - 1)))) / F.sqrt(2 / (9 * (k - 1)))
     both = lambda z: F.coalesce(F.least(F.lit(1.0), 2 * _upper_tail(F.abs(z))), F.lit(0.0))
     return t.select("token", "encoding", "n", "k", "chi2", _upper_tail(cube).alias("p_uniform"),
-                    both(runs).alias("p_runs"), both(serial).alias("p_serial"))
+                    both(runs).alias("p_runs"), both(serial).alias("p_serial"), runs.alias("z_runs"), serial.alias("z_serial"))
+
+
+#: How far a token is from a random one, free of its length: how often two of its symbols are equal (what
+#: chi-squared tells), and what runs and serial correlation are off, over the root of the length.
+EFFECTS = ("meet", "runs_off", "serial_off")
+
+
+def _effects(tested: DataFrame) -> DataFrame:
+    n, k = F.col("n").cast("double"), F.col("k").cast("double")
+    return tested.select("*", (((F.col("chi2") + n) / k - 1) / (n - 1)).alias("meet"),
+                         *((F.abs(F.col(f"z_{c}")) / F.sqrt(n)).alias(f"{c}_off") for c in ("runs", "serial")))
 
 
 def secrets(found: DataFrame, fdr: float = FDR) -> DataFrame:
     """The distinct candidate tokens (token, encoding, p) that the battery and the control keep."""
     tokens = found.select(F.explode("tokens.value").alias("token")).groupBy("token").agg(F.count("*").alias("times")).select("token")
-    # how often two symbols of an ordinary token are equal, for each encoding: a few rows
-    ordinary = _coded(found.select(F.explode("shorter").alias("token")).distinct())
-    ordinary = ordinary.select("encoding", "n", ((F.col("squares") - F.col("n")) / (F.col("n") * (F.col("n") - 1.0))).alias("meet"))
-    null = ordinary.groupBy("encoding").agg(F.avg("meet").alias("mean"), F.stddev("meet").alias("spread"), F.avg("n").alias("length"))
-    tested = battery(tokens).join(F.broadcast(null), "encoding", "left")
-    n, k = F.col("n").cast("double"), F.col("k").cast("double")
-    # chi-squared tells the same rate; an encoding without ordinary tokens takes twice that of a uniform one
-    meet = ((F.col("chi2") + n) / k - 1) / (n - 1)
-    mean = F.coalesce("mean", 2 / k)
-    spread = F.greatest(F.coalesce("spread", mean / 2), mean / 10) * F.sqrt(F.coalesce("length", F.lit(REFERENCE_LENGTH + 2.0)) / n)
-    p = F.greatest(_upper_tail((mean - meet) / spread), F.lit(1e-20))
+    # the same three statistics of ordinary tokens, for each encoding: a few rows
+    ordinary = _effects(battery(found.select(F.explode("shorter").alias("token")).distinct()))
+    chance = F.col("meet_mean") * (1 - F.col("meet_mean"))
+    stats = [*(f(c).alias(f"{c}_{name}") for c in EFFECTS for name, f in (("mean", F.avg), ("var", F.var_pop))),
+             F.avg("n").alias("length"), F.avg(2 / (F.col("n") * (F.col("n") - 1.0))).alias("pairs"), F.count("*").alias("size")]
+    fields = [c for e in EFFECTS for c in (f"{e}_mean", f"{e}_var")] + ["length"]
+    differ = F.greatest(F.col("meet_var") - chance * F.col("pairs"), F.lit(0.0))
+    null = ordinary.groupBy("encoding").agg(*stats).filter(F.col("size") >= LEAST_ORDINARY).select("encoding", *fields, differ.alias("differ"))
+    # what all words of the corpus do stands in for an encoding with too few of its own
+    words = ordinary.filter("encoding <> 'digits'").agg(*stats).select(*(F.col(c).alias(f"all_{c}") for c in fields), differ.alias("all_differ"))
+    tested = _effects(battery(tokens)).join(F.broadcast(null), "encoding", "left").join(F.broadcast(words))
+    own = F.col("meet_mean").isNotNull()
+    known = lambda c, default: F.when(own, F.col(c)).otherwise(F.coalesce(f"all_{c}", F.lit(default)))
+    n = F.col("n").cast("double")
+    shrink = known("length", REFERENCE_LENGTH + 2.0) / n
+    # in a small alphabet words meet at least twice as often as random symbols
+    mean = F.when(own, F.col("meet_mean")).otherwise(F.greatest(F.coalesce("all_meet_mean", F.lit(0.0)), 2 / F.col("k")))
+    vary = F.when(own, F.col("differ")).otherwise(F.coalesce(F.col("all_differ") / F.pow("all_meet_mean", F.lit(2)), F.lit(0.1)) * mean * mean)
+    spread = F.greatest(F.sqrt(mean * (1 - mean) * 2 / (n * (n - 1)) + vary * shrink), mean / 10 * F.sqrt(shrink))
+    each = [_upper_tail((mean - F.col("meet")) / spread)]
+    for c in EFFECTS[1:]:
+        wide = F.greatest(F.sqrt(known(f"{c}_var", 0.0) * shrink), F.lit(1e-3))
+        each.append(F.coalesce(_upper_tail((known(f"{c}_mean", 0.0) * F.sqrt(shrink) - F.col(c)) / wide), F.lit(1.0)))
+    p = F.greatest(F.least(F.lit(1.0), len(each) * F.least(*each)), F.lit(1e-20))
     bounds = F.array(*[F.lit(c) for c in CLASSES])
     tested = tested.select("token", "encoding", F.size(F.filter(bounds, lambda c: c <= F.col("n"))).alias("class"), p.alias("p"),
                            (F.least("p_uniform", "p_runs", "p_serial") >= REJECT).alias("random"))

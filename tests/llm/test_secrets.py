@@ -1,4 +1,5 @@
 import random
+import re
 import string
 import sys
 from pathlib import Path
@@ -63,6 +64,38 @@ def test_battery_rejects_what_is_not_random(spark):
     assert sum(p[t] < 0.01 for t in tokens[3:]) <= 4 and {r.encoding for r in rows if r.token in tokens[3:]} == {"hex"}
 
 
+def test_recall_by_length_where_the_corpus_has_few_ordinary_tokens(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rng, planted, kind = random.Random(3), [], {}
+    alphabets = {"mixed": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/", "lower": string.ascii_lowercase + string.digits}
+    for name, alphabet in alphabets.items():
+        for n in (28, 32, 40, 48, 64, 96, 128):
+            for _ in range(15):
+                key = 10 ** 9 + len(planted)
+                planted.append((key, "key '" + "".join(rng.choice(alphabet) for _ in range(n)) + "' here"))
+                kind[key] = name, n
+    got = sc.find(docs.unionByName(spark.createDataFrame(planted, "doc_id long, text string"))).filter("size(spans) > size(base)").select("doc_id").collect()
+    hits = [kind[r.doc_id] for r in got if r.doc_id in kind]
+    for n in (28, 32, 40, 48, 64, 96, 128):
+        assert sum(h[1] == n for h in hits) >= 0.9 * 45, n
+    assert sum(r.doc_id not in kind for r in got) <= 5
+
+
+def test_added_spans_are_the_kept_tokens_wherever_they_stand(spark):
+    rng = random.Random(11)
+    word = _words(rng)
+    rows = [(i, f"{word(6)}{i} and {word(5)}1 {word(4)}") for i in range(300)]
+    rows += [(1000 + i, "".join(rng.choice(string.ascii_letters + string.digits) for _ in range(n))) for i, n in enumerate([22, 26, 30, 36, 44, 50, 70, 100] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.token: r.p for r in sc.secrets(sc.scanned(docs)).collect()}
+    spans = {r.doc_id: {(s.value, s.start, s.end) for s in r.spans} for r in sc.find(docs).select("doc_id", "spans").collect()}
+    texts = dict(rows)
+    for d, t in texts.items():
+        tokens = {(m.group(), m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t)}
+        assert spans[d] == {x for x in tokens if x[0] in kept}
+    assert len(kept) >= 20 and all(any(k == t for t in texts.values()) for k in kept)
+
+
 def test_redacted_texts(spark):
     rows = [(1, 'x token = "04dbebab91ab85687d33eeaaf9ac699e1188f962" y', 9, "k"), (2, None, 1, None), (None, "secret=abcdefg.", 2, "k"), (3, "clean", 5, "k")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, spans string")
