@@ -13,10 +13,11 @@ It is disclosing from ``threshold`` on, if ``support`` distinct texts or more ho
 with the entity.  Each of its places in each document that holds both is then a span:
 generalised to its class, or removed from ``remove_at`` on.
 
-Texts are scanned twice: for the entities and the words of the texts that hold one, and for
-how many texts hold the terms in question.  Counts are combined before each shuffle, an entity
-or term that is everywhere is one row per task, and no text is shuffled: documents meet only
-by narrow rows of words and spans.
+Texts are scanned for the entities and the words of the texts that hold one, and for how many
+distinct texts hold each term.  Counts are combined before each shuffle: an entity or term that
+is everywhere is one row per task, and only the words of texts that occur more than once are
+told apart by their text.  Documents meet by narrow rows of words and spans; texts are shuffled at
+most once, where the tags of repeated texts are too many to broadcast.
 
 Defined results: a null text counts as empty; repeated rows give the same spans each; a text
 without base entities is left as it is; an empty table gives no rows; other columns are not
@@ -93,12 +94,14 @@ def disclosures(docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD,
     pairs = met.groupBy("entity", "term").agg(F.count("*").alias("n_et"), *(F.max(c).alias(c) for c in ("n_e", "n", "n_beside", "slack")))
     pairs = pairs.filter((F.col("n_et") >= support) & (F.col("n_beside") <= F.col("n_et") * F.col("slack")))
     pairs = stored(pairs.drop("n_beside", "slack"), "pii-pairs")
-    # which distinct texts hold a term: only terms in question are kept, so few rows are shuffled
-    words = docs.select(text_of().alias("text")).select(
-        F.xxhash64("text").alias("tag"), F.explode(F.expr(f"array_distinct(regexp_extract_all(text, r'{_WORD}', 0))")).alias("term"))
-    words = words.withColumn("term", F.lower("term"))
-    n_t = (words.join(pairs.select("term").distinct(), "term", "left_semi").distinct()
-           .groupBy("term").agg(F.count("*").alias("n_t")))
+    # how many distinct texts hold each term: what occurs once is counted in its task, and only repeated
+    # texts need their tags beside the terms
+    texts = docs.select(text_of().alias("text")).select(F.xxhash64("text").alias("tag"), "text")
+    again = texts.groupBy("tag").agg(F.count("*").alias("c")).filter("c > 1").select("tag", F.col("tag").alias("again"))
+    lowered = F.expr(f"array_distinct(transform(regexp_extract_all(text, r'{_WORD}', 0), w -> lower(w)))")
+    words = texts.join(again, "tag", "left").select("again", F.explode(lowered).alias("term"))
+    counts = words.groupBy("again", "term").agg(F.count("*").alias("c"))
+    n_t = counts.groupBy("term").agg(F.sum(F.when(F.col("again").isNull(), F.col("c")).otherwise(1)).alias("n_t"))
     share = F.log2(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / F.log2(F.col("n") / F.col("n_e"))
     return pairs.join(n_t, "term").select("entity", "term", share.alias("disclosure")).filter(F.col("disclosure") >= threshold)
 
