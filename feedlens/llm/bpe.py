@@ -7,7 +7,7 @@ until no piece has a pair left; an ordered aggregation then gives the ids, and a
 over the token table decodes them.  A piece that is itself a token is that token.
 
 Documents never leave their task and nothing is shuffled.  Encoded pieces are kept per Python
-worker in two generations of at most ``CACHE`` pieces, so frequent pieces are contracted once
+worker in two generations of at most ``CACHE``, so frequent pieces are contracted once
 and memory stays bounded.  Texts of over ``SEGMENT`` characters are taken in segments, cut
 where the pattern always starts a new piece.
 
@@ -36,8 +36,10 @@ from pyspark.sql import functions as F
 from .common import annotate, fresh, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-CACHE = 100_000
-RUN_CHARS = 800_000
+#: What each generation of encoded pieces may take, and what a piece takes beside its bytes and ids, roughly.
+CACHE = 80_000_000
+ENTRY_BYTES = 320
+RUN_CHARS = 4_000_000
 SEGMENT = 1_000_000
 LONG_PIECE = 200
 
@@ -58,7 +60,7 @@ WITH RECURSIVE contracted(piece, step, pos, tok) AS (
    WHERE pos <> pick % 65536 + 1)
 ),
 ended AS (SELECT piece, max(step) AS step FROM contracted GROUP BY piece)
-SELECT c.piece, string_agg(c.tok::VARCHAR, ',' ORDER BY c.pos) AS ids, count(*) AS n,
+SELECT c.piece, string_agg(c.tok::VARCHAR, ',' ORDER BY c.pos) AS ids,
        unhex(string_agg(t.bytes, '' ORDER BY c.pos)) AS decoded
 FROM contracted c JOIN ended USING (piece, step) JOIN tokens t ON t.id = c.tok
 GROUP BY c.piece ORDER BY c.piece
@@ -89,9 +91,10 @@ class Bpe:
         self.db.execute("CREATE TABLE tokens AS SELECT * FROM t")
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
+        self.room = CACHE
 
-    def contract(self, pieces: list[bytes]) -> list[tuple[bytes, int, bytes]]:
-        """(ids as text, their number, decoded bytes) of each piece, by the recursive query."""
+    def contract(self, pieces: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """(ids as text, decoded bytes) of each piece, by the recursive query."""
         if not pieces:
             return []
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -104,9 +107,9 @@ class Bpe:
         self.db.register("bytes_in", pa.table(rows))
         got = self.db.execute(ENCODE).fetchall()
         self.db.unregister("bytes_in")
-        return [(ids.encode(), n, decoded) for _, ids, n, decoded in got]
+        return [(ids.encode(), decoded) for _, ids, decoded in got]
 
-    def contract_long(self, piece: bytes) -> tuple[bytes, int, bytes]:
+    def contract_long(self, piece: bytes) -> tuple[bytes, bytes]:
         """The same contraction of one long piece, from a heap of (rank, position)."""
         n = len(piece)
         end, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
@@ -127,7 +130,7 @@ class Bpe:
                 heapq.heappush(heap, (r, before[a], stop))
         ids = [self.ranks[piece[a:end[a]]] for a in range(n) if alive[a]]
         decoded = self.decode([ids])[0]
-        return ",".join(map(str, ids)).encode(), len(ids), decoded
+        return ",".join(map(str, ids)).encode(), decoded
 
     def decode(self, rows: list[list[int]]) -> list[bytes]:
         """The bytes of each row of ids, by ordered aggregation over the token table."""
@@ -143,22 +146,26 @@ class Bpe:
 
     def learn(self, pieces: set[str]) -> None:
         """Make every one of ``pieces`` known in the young generation."""
-        if len(self.young) > CACHE:
-            self.young, self.old = {}, self.young
+        if self.room < 0:
+            self.young, self.old, self.room = {}, self.young, CACHE
         new = []
-        for p in pieces:
-            if p not in self.young:
-                if p in self.old:
-                    self.young[p] = self.old[p]
-                else:
-                    new.append(p)
+        for p in pieces.difference(self.young):
+            known = self.old.get(p)
+            if known:
+                self.keep(p, known)
+            else:
+                new.append(p)
         raw = [p.encode() for p in new]
         short = [i for i, p in enumerate(raw) if len(p) <= LONG_PIECE or p in self.ranks]
         for i, done in zip(short, self.contract([raw[i] for i in short])):
-            self.young[new[i]] = done
+            self.keep(new[i], done)
         for p, b in zip(new, raw):
             if p not in self.young:
-                self.young[p] = self.contract_long(b)
+                self.keep(p, self.contract_long(b))
+
+    def keep(self, piece: str, done: tuple[bytes, bytes]) -> None:
+        self.young[piece] = done
+        self.room -= ENTRY_BYTES + len(piece) + len(done[0]) + len(done[1])
 
     def segments(self, text: str) -> Iterator[list[str]]:
         """The pieces of a text, in lists of bounded size."""
@@ -179,15 +186,15 @@ class Bpe:
         state: dict[int, list] = {}
 
         def flush():
-            self.learn({p for _, pieces in waiting for p in pieces})
+            self.learn(set().union(*[pieces for _, pieces in waiting]))
             for k, pieces in waiting:
-                s, known = state[k], self.young
-                found = [known[p] for p in pieces]
+                s = state[k]
+                found = list(map(self.young.__getitem__, pieces))
                 if found:
                     ids = b",".join([f[0] for f in found])
                     s[2].update(b"," + ids if s[0] else ids)
-                    s[3].update(b"".join([f[2] for f in found]))
-                    s[0] += sum([f[1] for f in found])
+                    s[3].update(b"".join([f[1] for f in found]))
+                    s[0] += ids.count(b",") + 1
                     s[1].append(ids)
             waiting.clear()
 
