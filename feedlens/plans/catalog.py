@@ -21,6 +21,7 @@ from ..schemas import ANALYSIS_FILE_SCHEMA, RAW_COMMENT_SCHEMA, TAGGED_FILE_SCHE
 from ..session import scratch_path
 from ..sinks import files as sinks
 from ..sources import files as src
+from ..sources import splits
 from ..sources.tables import conversation_comments, raw_comments, read_table
 from . import flows
 from .oracle import q, s_norm, s_norm_simple, s_trim, with_ctes
@@ -59,6 +60,29 @@ def q_scan_comments(spark, sf):
     return src.scan_comments(spark, path)
 
 
+@register("scan_comments_split", with_ctes(
+    "SELECT content_id, content_name, replace(comment, ' a ', chr(10) || '\"a, ') AS comment, comment_date FROM raw", "raw"))
+def q_scan_comments_split(spark, sf):
+    """S1 at any file size: comments with line breaks and quotes as one CSV file, read by every task that gets a part of it."""
+    path = _scratch(spark, "raw-csv")
+    raw = raw_comments(spark, sf).withColumn("comment", F.replace("comment", F.lit(" a "), F.lit('\n"a, ')))
+    sinks.write_csv(raw.select(*RAW_COMMENT_SCHEMA.fieldNames()), path)
+    return splits.scan_comments_split(spark, path).drop(*splits.PLACE)
+
+
+@register("scan_analysis_arrays", with_ctes(
+    "SELECT content_id, ordinal, sentiment, category FROM analysis", "analysis"))
+def q_scan_analysis_arrays(spark, sf):
+    """S5 (+K3) in the upstream layout: one indented JSON array a course, each file read in parts."""
+    path = _scratch(spark, "analysis-arrays")
+    sinks.write_analysis_arrays(flows.analysis(spark, sf), path)
+    schema = T.StructType(ANALYSIS_FILE_SCHEMA.fields + [T.StructField("ordinal", T.LongType())])
+    df = splits.scan_analysis_split(spark, path, schema, glob="*.txt", recursive=True)
+    ga = F.col(f"`{ANALYSIS_RECORD_FIELD}`")
+    return df.select("content_id", "ordinal", F.col(f"`{ANALYSIS_SENTIMENT_FIELD}`").alias("sentiment"),
+                     F.coalesce(ga["Issue Category"], ga["Strength Category"]).alias("category"))
+
+
 @register("scan_course_files", with_ctes(
     "SELECT content_id, ordinal, comment, predicted_sentiment FROM full_t", "full_t"))
 def q_scan_course_files(spark, sf):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..fixed import ANALYSIS_RECORD_FIELD, ANALYSIS_SENTIMENT_FIELD
 from ..operators.enrich import token_usage
@@ -63,6 +64,18 @@ def write_analysis_json(analysis: DataFrame, path: str, mode: str = "overwrite")
      .partitionBy("sentiment", "content_id").json(path))
 
 
+def write_analysis_arrays(analysis: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """K3 in the upstream layout: one indented JSON array for each sentiment and course, in input order.  Such a file
+    is one task's output, whatever its size; ``write_analysis_json`` has no such bound."""
+    key = ["sentiment", "content_id"]
+    w = Window.partitionBy(*key).orderBy("ordinal")
+    rows = analysis_records(analysis).select(*key, F.to_json(F.struct(*[c for c in analysis_records(analysis).columns if c not in key[:1]]), {"pretty": "true"}).alias("record"), "ordinal")
+    first, last = F.lag("ordinal").over(w).isNull(), F.lead("ordinal").over(w).isNull()
+    text = F.concat(F.when(first, "[\n").otherwise(""), "record", F.when(last, "\n]").otherwise(","))
+    rows = rows.select(*key, "ordinal", text.alias("value")).sortWithinPartitions(*key, "ordinal")
+    rows.select(*key, "value").write.mode(mode).partitionBy(*key).text(path)
+
+
 def write_summary_json(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
     """K4: one summary document per course, in a folder of the course."""
     documents.repartition("content_id").write.mode(mode).partitionBy("content_id").json(path)
