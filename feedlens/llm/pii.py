@@ -98,6 +98,7 @@ def disclosures(docs: DataFrame, found: DataFrame, threshold: float = THRESHOLD,
     # texts need their tags beside the terms
     texts = docs.select(text_of().alias("text")).select(F.xxhash64("text").alias("tag"), "text")
     again = texts.groupBy("tag").agg(F.count("*").alias("c")).filter("c > 1").select("tag", F.col("tag").alias("again"))
+    again = stored(again, "pii-again")  # its size is known when the join is planned
     lowered = F.expr(f"array_distinct(transform(regexp_extract_all(text, r'{_WORD}', 0), w -> lower(w)))")
     words = texts.join(again, "tag", "left").select("again", F.explode(lowered).alias("term"))
     counts = words.groupBy("again", "term").agg(F.count("*").alias("c"))
