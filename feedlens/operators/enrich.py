@@ -14,6 +14,7 @@ without a successful result are sent to the hook again.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Iterator
 from string import Formatter
@@ -114,6 +115,67 @@ def enrich_partitions(df: DataFrame, fn: Callable[[str], dict], input_col: str,
     return src.mapInPandas(run, out_schema)
 
 
+class TokenBucket:
+    """At most ``rate`` calls a second on average, shared by the threads of a task; no more than ``burst`` at once."""
+
+    def __init__(self, rate: float, burst: int = 1, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.rate, self.burst, self.clock, self.sleep = rate, burst, clock, sleep
+        self.tokens, self.last, self.lock = float(burst), clock(), threading.Lock()
+
+    def __call__(self) -> None:
+        with self.lock:
+            now = self.clock()
+            self.tokens = min(self.burst, self.tokens + (now - self.last) * self.rate) - 1
+            self.last = now
+            wait = -self.tokens / self.rate
+        if wait > 0:
+            self.sleep(wait)
+
+
+def enrich_resumable(df: DataFrame, fn: Callable[[str], dict], key_col: str, input_col: str, result_schema: T.StructType, path: str,
+                     slices: int = 256, rate: float | None = None, threads: int = 1, max_tries: int = 5, base_delay: float = 2.0,
+                     other_delay: float = 1.0) -> DataFrame:
+    """E4 for services that must not be asked twice: ``fn(text) -> dict`` for every row, kept under ``path``.
+
+    Rows belong to one of ``slices`` by a hash of ``key_col``, each slice is one task, and its results are
+    there for good as soon as that task ends.  A lost task repeats its own slice; a run that starts again after any
+    failure skips the slices that are there.  ``path`` belongs to one input and one number of slices.
+
+    ``rate`` is the number of calls a second that the service allows to the whole cluster: each of the
+    session's slots gets an equal part of it.  Result: input columns, result fields, error, attempts, latency.
+    """
+    spark = df.sparkSession
+    slots = max(1, min(slices, spark.sparkContext.defaultParallelism))
+    share = rate / slots if rate else None
+    out = T.StructType([*df.schema.fields, T.StructField("slice", T.IntegerType()), *result_schema.fields, T.StructField("error", T.StringType()),
+                        T.StructField("attempts", T.IntegerType()), T.StructField("latency", T.DoubleType())])
+    names = [f.name for f in result_schema.fields]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from concurrent.futures import ThreadPoolExecutor
+        bucket = TokenBucket(share, threads) if share else lambda: None
+
+        def one(text):
+            bucket()
+            res, err, n, lat = call_with_retry(fn, text, max_tries, base_delay, other_delay)
+            return [(res or {}).get(k) for k in names] + [err, n, float(lat)]
+
+        with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+            for pdf in batches:
+                rows = list(pool.map(one, pdf[input_col].tolist()))
+                yield pd.concat([pdf, pd.DataFrame(rows, columns=[*names, "error", "attempts", "latency"], index=pdf.index)], axis=1)
+
+    # the folder exists from here on, so that it can be read whatever happens; at most ``slices`` numbers
+    spark.createDataFrame([], out).write.mode("append").partitionBy("slice").parquet(path)
+    there = spark.read.schema(out).parquet(path)
+    done = [r["slice"] for r in there.select("slice").distinct().collect()]
+    todo = df.withColumn("slice", F.pmod(F.xxhash64(key_col), F.lit(slices)).cast("int")).filter(~F.col("slice").isin(done))
+    # a task's only file is moved into place when the task ends, not when the job does
+    (todo.repartitionById(slices, "slice").mapInPandas(run, out).write.mode("append").partitionBy("slice")
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2").parquet(path))
+    return spark.read.schema(out).parquet(path).drop("slice")
+
+
 def model_udf(load: Callable[[], object], predict: Callable[[object, pd.Series], pd.Series],
               return_type: str = "string"):
     """A model hook for E1 / E2: an iterator pandas UDF that loads the model once per

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from .. import fixed
 from ..fixed import ANALYSIS_RECORD_FIELD, ANALYSIS_SENTIMENT_FIELD, BLOCKING_PATTERN, TOP_ISSUES, TOP_ISSUES_LENIENT, TOP_STRENGTHS
 from ..functions import text as tx
-from ..operators import category, clean, dashboard, documents, enrich, evaluate, language, sentiment, words
+from ..operators import category, clean, dashboard, documents, enrich, evaluate, language, models, sentiment, words
 from ..schemas import ANALYSIS_FILE_SCHEMA, RAW_COMMENT_SCHEMA, TAGGED_FILE_SCHEMA
 from ..session import scratch_path
 from ..sinks import files as sinks
@@ -24,7 +24,7 @@ from ..sources import files as src
 from ..sources import splits
 from ..sources.tables import conversation_comments, raw_comments, read_table
 from . import flows
-from .oracle import q, s_norm, s_norm_simple, s_trim, with_ctes
+from .oracle import q, s_norm, s_norm_simple, s_tokens, s_trim, with_ctes
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Builder, str | None]] = {}
@@ -966,10 +966,51 @@ def q_enrich_partitions(spark, sf):
     parallelism, retry, errors as data)."""
     t = sentiment.sentiment_filter(flows.tagged_input(spark, sf), "negative").select("content_id", "ordinal", "comment")
     schema = T.StructType([T.StructField("category_no", T.LongType()), T.StructField("category", T.StringType())])
-    out = enrich.enrich_partitions(t, _default_categoriser, "comment", schema, partitions=8, max_tries=2, other_delay=0.0)
+    out = enrich.enrich_partitions(t, _default_categoriser, "comment", schema, partitions=spark.sparkContext.defaultParallelism, max_tries=2, other_delay=0.0)
     return out.select("content_id", "ordinal", "category_no", "category", "error", L("attempts").alias("attempts"))
 
 
+_MODEL_SQL = f"""
+tok AS (SELECT ordinal, true_lang, unnest({s_tokens('comment')}) AS w FROM clean WHERE bucket = 'full'),
+vocab AS (SELECT w FROM tok GROUP BY w ORDER BY count(*) DESC, w LIMIT {models.VOCABULARY}),
+cnt AS (SELECT l.lang, v.w, (SELECT count(*) FROM vocab) AS size, coalesce(c.n, 0) AS n
+        FROM (SELECT DISTINCT true_lang AS lang FROM clean WHERE bucket = 'full') l CROSS JOIN vocab v
+        LEFT JOIN (SELECT true_lang, w, count(*) AS n FROM tok GROUP BY 1, 2) c ON c.true_lang = l.lang AND c.w = v.w),
+wt AS (SELECT lang, w, ln((n + 1)::DOUBLE / (sum(n) OVER (PARTITION BY lang) + size)::DOUBLE) AS lw FROM cnt),
+prior AS (SELECT true_lang AS lang, ln(count(*)::DOUBLE / sum(count(*)) OVER ()::DOUBLE) AS lp FROM clean WHERE bucket = 'full' GROUP BY 1),
+score AS (SELECT t.ordinal, wt.lang, sum(wt.lw) AS s FROM tok t JOIN wt USING (w) GROUP BY 1, 2)
+SELECT ordinal, language FROM (
+  SELECT c.ordinal, p.lang AS language, row_number() OVER (PARTITION BY c.ordinal ORDER BY p.lp + coalesce(s.s, 0.0::DOUBLE) DESC, p.lang) AS rk
+  FROM clean c CROSS JOIN prior p LEFT JOIN score s ON s.ordinal = c.ordinal AND s.lang = p.lang WHERE c.bucket = 'full') WHERE rk = 1"""
+_MODEL_SQL = with_ctes("SELECT 1", "clean")[:-len("SELECT 1")].rstrip() + "," + _MODEL_SQL
+
+
+def _full_words(spark, sf) -> tuple[DataFrame, models.WordModel]:
+    """Full comments as the model reads them, and a language model trained on them."""
+    full = clean.clean_comments(raw_comments(spark, sf)).filter(F.col("bucket") == "full")
+    return full.select("ordinal", models.word_text("comment").alias("words")), models.train(full, "true_lang", "comment")
+
+
+@register("model_language", _MODEL_SQL)
+def q_model_language(spark, sf):
+    """E2 by a local model: naive Bayes over words, trained on the comments, loaded once a task."""
+    rows, model = _full_words(spark, sf)
+    label = enrich.model_udf(lambda: model, lambda m, words: m.predict(words))
+    return rows.select("ordinal", label("words").alias("language"))
+
+
+@register("enrich_resumable", _MODEL_SQL.replace("SELECT ordinal, language FROM (", "SELECT ordinal, language, CAST(NULL AS VARCHAR) AS error, CAST(1 AS BIGINT) AS attempts FROM ("))
+def q_enrich_resumable(spark, sf):
+    """E4 with the local model as its client: asked row by row, kept slice by slice; the second call finds all slices there."""
+    rows, model = _full_words(spark, sf)
+    path = _scratch(spark, "enriched")
+    schema = T.StructType([T.StructField("language", T.StringType())])
+    ask = lambda words: {"language": model.label(words)}
+    for _ in range(2):
+        out = enrich.enrich_resumable(rows, ask, "ordinal", "words", schema, path, slices=32, max_tries=1)
+    return out.select("ordinal", "language", "error", L("attempts").alias("attempts"))
+
+
 def _documents(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
     from ..session import materialize
     t = materialize(flows.tiered(spark, sf), "tiered")        # a row per course, sentiment and category
