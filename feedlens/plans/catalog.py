@@ -23,7 +23,7 @@ from ..sinks import files as sinks
 from ..sources import files as src
 from ..sources import splits
 from ..sources.tables import conversation_comments, raw_comments, read_table
-from . import flows
+from . import flows, staged
 from .oracle import q, s_norm, s_norm_simple, s_tokens, s_trim, with_ctes
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -1050,6 +1050,16 @@ def q_category_summary(spark, sf):
     return _flat_documents(neg, pos)
 
 
+@register("library_summary", with_ctes(_DOC_SQL.replace("tiered", "tiered_own"), "tiered_own"))
+def q_library_summary(spark, sf):
+    """E1 to E3 to A6 to E5 end to end: summary documents from raw text by the library's own labels, in stages; the second
+    run finds them all finished."""
+    folder = _scratch(spark, "library")
+    for _ in range(2):
+        made = staged.run(spark, staged.library_stages(spark, sf), folder, keep=("negative", "positive"))
+    return _flat_documents(made["negative"], made["positive"])
+
+
 @register("scan_category_summaries", with_ctes(f"""
 SELECT content_id, category, count, tier, n_actions FROM ({_DOC_SQL}) d WHERE sentiment = 'negative'""", "tiered"))
 def q_scan_category_summaries(spark, sf):

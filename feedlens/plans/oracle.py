@@ -9,6 +9,8 @@ changes, so the oracle's comment key leaves it out.
 
 from __future__ import annotations
 
+import re
+
 from ..fixed import (CATEGORY_KEYWORDS, LANG_NAMES_LENIENT, LANG_NAMES_STRICT, LANG_ORDER, LANG_ORDER_LENIENT,
                      LANGUAGE_PROFILES, NEGATIVE_TAXONOMY, POSITIVE_TAXONOMY, SENTIMENT_LEXICON, STOPWORDS_DEFAULT,
                      STOPWORDS_EXTRA, BLOCKING_PATTERN, LOW_SIGNAL_PHRASES)
@@ -287,6 +289,16 @@ CTES: dict[str, tuple[str, list[str]]] = {
 }
 
 
+def _own(sql: str) -> str:
+    """The same step on the library's own labels in place of the stored ones."""
+    return re.sub(r"\b(negpos|cat_best|categorized|groups|groups_meta|tiered)\b", r"\1_own", re.sub(r"\banalysis\b", "categorized", sql))
+
+
+CTES["negpos_own"] = ("SELECT *, predicted_sentiment AS sentiment FROM full_t WHERE predicted_sentiment IN ('negative', 'positive')", ["full_t"])
+for _name in ("cat_best", "categorized", "groups", "groups_meta", "tiered"):
+    CTES[f"{_name}_own"] = (_own(CTES[_name][0]), [_own(d) for d in CTES[_name][1]])
+
+
 def with_ctes(final: str, *names: str) -> str:
     """``WITH`` clause holding every CTE the final query needs (dependency order)."""
     order: list[str] = []

@@ -76,10 +76,25 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    _MADE.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Folders of the tables that ``materialize`` wrote and nobody has deleted yet.
+_MADE: list[str] = []
+
+
+def release_made(spark: SparkSession) -> int:
+    """Delete every table that ``materialize`` has written so far, once the results that read them
+    have been used; their number."""
+    made = [p for p in _MADE if p.startswith(checkpoint_dir(spark))]
+    for path in made:
+        release(spark, path)
+        _MADE.remove(path)
+    return len(made)
+
+
 def release(spark: SparkSession, path: str) -> None:
     """Delete a folder below the shared folder once nothing reads it any more."""
     if not path.startswith(checkpoint_dir(spark)):
