@@ -25,6 +25,7 @@ sees a bad document rejects none; other columns pass through.
 from __future__ import annotations
 
 import operator
+from collections import Counter
 
 import numpy as np
 import xxhash
@@ -41,7 +42,9 @@ ROUNDS = 200
 PRIOR = 0.01
 EPOCHS = 5
 RATE, L1, L2 = 0.3, 6.0, 1.0
-START = 7
+START = 6
+#: How many distinct words begin alike: steps that are features of their own.
+ALIKE = (2, 4)
 KNOWN_FEATURES = 100_000
 # Abusive words, our own list in four languages.
 ABUSE = """
@@ -55,10 +58,11 @@ basura cabron cabrón escoria estupido estúpido gilipollas imbecil imbécil mie
 _ABUSE = {w.encode() for w in ABUSE}
 _UPPER, _LOWER = bytes(range(65, 91)), bytes(range(97, 123))
 
-#: name -> (at most: keep, at least: reject); a measurement in between abstains.
+#: name -> (at most: keep, at least: reject); a measurement in between abstains.  Few words of abuse speak for a text
+#: once, not twice: the labeller of much abuse never votes to keep.
 LABELLERS = {
     "abuse": (0.0, 1.0),
-    "abuse_often": (0.0, 3.0),
+    "abuse_often": (-1.0, 3.0),
     "marks": (0.03, 0.10),
     "symbols": (0.0, 0.10),
     "odd_words": (0.05, 0.30),
@@ -113,13 +117,16 @@ def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) ->
 
     The last column holds the annotators' votes.  An abstention says nothing.  The first guess
     is that any vote to reject is right; labellers are taken to be better than chance, and
-    annotators to miss less than heuristics, by a prior of ``PRIOR`` of the documents.
+    annotators to miss less than heuristics and to accuse hardly ever, by a prior of ``PRIOR`` of the documents:
+    lists of words know one language better than another, and a document that none of them sees may still be bad.
     """
     bad = np.where((patterns == 1).any(axis=1), 0.9, 0.02)
     cast = np.stack([(patterns == v) for v in (0, 1)], axis=2).astype(float)
     prior = np.empty((2, patterns.shape[1], 2))
-    prior[0], prior[1], prior[1, -1] = (0.99, 0.01), (0.7, 0.3), (0.1, 0.9)
+    prior[0], prior[1], prior[0, -1], prior[1, -1] = (0.99, 0.01), (0.7, 0.3), (0.9995, 0.0005), (0.1, 0.9)
     prior *= PRIOR * counts.sum() + 2
+    # what is known of annotators counts as much as all their votes
+    prior[:, -1] *= max(1.0, counts @ cast[:, -1].sum(axis=1) / (PRIOR * counts.sum() + 2))
     for _ in range(rounds):
         weights = np.stack([counts * (1 - bad), counts * bad])
         share = (weights.sum(axis=1) + 0.5) / (counts.sum() + 1)
@@ -144,13 +151,16 @@ def posteriors(votes: list[tuple[int, ...]], counts: list[int]) -> dict[tuple[in
 
 
 def features(measured: list[float], distinct: set[bytes]) -> list[bytes]:
-    """Names of what is hashed: the words, the starts of longer ones, and each measurement in steps of its two limits."""
+    """Names of what is hashed: the words, the starts of longer ones (and whether several words share one), and each
+    measurement in steps of its two limits."""
     shape = []
     for (name, (low, high)), m in zip(LABELLERS.items(), measured):
         low = max(low, 0.0)
         step = -1 if m != m else min(6, int(4 * (m - low) / (high - low))) if m > low else 0
         shape.append(f"\0{name}={step}".encode())
-    return [*distinct, *{b"^" + w[:START] for w in distinct if len(w) > START}, *shape]
+    starts = Counter([w[:START] for w in distinct if len(w) > START])
+    alike = [b"%d^%s" % (step, w) for w, n in starts.items() if n > 1 for step in ALIKE if n >= step]
+    return [*distinct, *[b"^" + w for w in starts], *alike, *shape]
 
 
 def slot(feature: bytes) -> int:
