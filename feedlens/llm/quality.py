@@ -40,7 +40,7 @@ HASH_BITS = 18
 CUT = 0.5
 ROUNDS = 200
 PRIOR = 0.01
-EPOCHS = 5
+EPOCHS = 3
 RATE, L1, L2 = 0.3, 6.0, 1.0
 START = 6
 #: How many distinct words begin alike: steps that are features of their own.
