@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from ..fixed import (AMPLIFY_TOP, BLOCKING_PATTERN, CATEGORY_KEYWORDS, FALLBACK_CATEGORY_NO, LOW_SIGNAL_PHRASES, LOW_SIGNAL_SHARE,
                      SAMPLE_ACTIONS, SAMPLE_COMMENTS, TIER_MAJOR_SHARE, TIER_MIN_COUNT, TOP_PRIORITY_ACTIONS,
                      TOP_STRENGTH_AREAS, URGENCY_MEDIUM_SHARE)
-from ..functions.text import collapse_ws, extract_words, word_count
+from ..functions.text import WS, WS_CHARS, collapse_ws, extract_words
+from ..session import materialize
 from .ranks import ranked
 from .taxonomy import join_taxonomy, priority_rank
 
@@ -101,32 +102,35 @@ def category_groups(analysis: DataFrame) -> DataFrame:
     """A6 + A7: per (course, sentiment, category): count, first-seen metadata, share,
     rank; plus blocking and low-signal counts for W11/W12.
 
-    One hash aggregation of counts; the first record's metadata comes by its ordinal, so
-    no sort of the records is needed.
+    The analysis is read once: counts and first rows are taken per group and metadata (one of a few for stored
+    categories), and that table is stored; a group's metadata is that of its first row.
     """
-    low_signal = ((word_count(F.col("comment")) <= 1)
-                  | ~F.col("comment").rlike("[\\p{L}\\p{N}]")
-                  | collapse_ws(F.lower(F.col("comment"))).isin(*LOW_SIGNAL_PHRASES))
-    base = analysis.withColumn("category", summary_category(F.col("category")))
-    g = (base.groupBy(*GROUP)
-         .agg(F.count(F.lit(1)).alias("count"),
-              F.min("ordinal").alias("first_ordinal"),
-              F.count_if(F.col("comment").rlike("(?iu)" + BLOCKING_PATTERN)).alias("blocking_count"),
-              F.count_if(low_signal).alias("low_signal_count")))
-    meta = analysis.select(F.col("ordinal").alias("first_ordinal"), F.struct(
-        F.coalesce("root_cause", F.lit("")).alias("root_cause"), F.coalesce("owner", F.lit("")).alias("owner"),
-        F.coalesce("priority", F.lit("")).alias("priority"),
-        F.coalesce("actions", F.array().cast("array<string>")).alias("actions")).alias("meta"))
-    g = g.join(meta, "first_ordinal")
+    meta = {"root_cause": F.lit(""), "owner": F.lit(""), "priority": F.lit(""), "actions": F.array().cast("array<string>")}
+    base = analysis.withColumns({"category": summary_category(F.col("category")), **{c: F.coalesce(c, none) for c, none in meta.items()}})
+    parts = base.groupBy(*GROUP, *meta).agg(
+        F.count(F.lit(1)).alias("count"), F.min("ordinal").alias("first_ordinal"),
+        F.count_if(F.col("comment").rlike("(?iu)" + BLOCKING_PATTERN)).alias("blocking_count"),
+        F.count_if(low_signal(F.col("comment"))).alias("low_signal_count"))
+    parts = materialize(parts, "groups")
+    g = parts.groupBy(*GROUP).agg(F.min("first_ordinal").alias("first_ordinal"), *(F.sum(c).alias(c) for c in ("count", "blocking_count", "low_signal_count")))
+    g = g.join(parts.select("first_ordinal", *meta), "first_ordinal")
     w = Window.partitionBy("content_id", "sentiment")
     rk = Window.partitionBy("content_id", "sentiment").orderBy(F.desc("count"), F.asc("first_ordinal"))
     return (g.withColumn("total", F.sum("count").over(w))
             .withColumn("share", F.col("count") / F.greatest(F.lit(1), F.col("total")).cast("double"))
             .withColumn("rank", F.row_number().over(rk))
-            .select(*GROUP, "count", "total", "share", "rank", "first_ordinal",
-                    F.col("meta.root_cause").alias("root_cause"), F.col("meta.owner").alias("owner"),
-                    F.col("meta.priority").alias("priority"), F.col("meta.actions").alias("actions"),
-                    "blocking_count", "low_signal_count"))
+            .select(*GROUP, "count", "total", "share", "rank", "first_ordinal", *meta, "blocking_count", "low_signal_count"))
+
+
+_SEVERAL_WORDS = f"[^{WS_CHARS}]{WS}+[^{WS_CHARS}]"
+_PHRASE = f"(?iu)^{WS}*(?:{'|'.join(p.replace(' ', WS + '+') for p in LOW_SIGNAL_PHRASES)}){WS}*$"
+
+
+def low_signal(comment: Column) -> Column:
+    """A comment of one word at most, without a letter or digit, or one of the phrases that say nothing.  The first
+    two and the guard of the third stop within the first words of a long text."""
+    phrase = comment.rlike(_PHRASE) & collapse_ws(F.lower(comment)).isin(*LOW_SIGNAL_PHRASES)
+    return ~comment.rlike(_SEVERAL_WORDS) | ~comment.rlike("[\\p{L}\\p{N}]") | phrase
 
 
 def group_members(analysis: DataFrame) -> DataFrame:
