@@ -31,6 +31,7 @@ from .ranks import ranked, spread_left_join
 from .sentiment import sentiment_key
 
 OTHER_ISSUE = "Other Issue"
+OVERALL = 4         # grouping_id of the rows of ``category_counts`` over all courses
 
 
 @dataclass(frozen=True)
@@ -204,9 +205,10 @@ def category_counts(enriched: DataFrame) -> DataFrame:
                  F.grouping_id().alias("gid")))
 
 
-def top_categories(enriched: DataFrame, kind: str, n: int) -> DataFrame:
-    """Top n categories overall, share of *all* counted categories of that kind."""
-    c = (category_facts(enriched).filter(F.col("kind") == kind)
+def top_categories(enriched: DataFrame, kind: str, n: int, counts: DataFrame | None = None) -> DataFrame:
+    """Top n categories overall, share of *all* counted categories of that kind; from ``category_counts`` if given."""
+    c = (counts.filter((F.col("kind") == kind) & (F.col("gid") == OVERALL)).select("name", "count", "first_ordinal") if counts is not None
+         else category_facts(enriched).filter(F.col("kind") == kind)
          .groupBy("name").agg(F.count(F.lit(1)).alias("count"), F.min("ordinal").alias("first_ordinal")))
     total = c.agg(F.sum("count").alias("kind_total"))
     w = Window.orderBy(F.desc("count"), F.asc("first_ordinal"))
@@ -219,10 +221,11 @@ def top_categories(enriched: DataFrame, kind: str, n: int) -> DataFrame:
                     .alias("percent")))
 
 
-def course_top_categories(enriched: DataFrame, n: int = COURSE_TOP_CATEGORIES) -> DataFrame:
-    """Top n issues and strengths per visible course."""
-    visible = course_totals(enriched).filter(~F.col("hidden")).select("content_id")
-    c = (category_facts(enriched).groupBy("content_id", "kind", "name")
+def course_top_categories(enriched: DataFrame, n: int = COURSE_TOP_CATEGORIES, courses: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Top n issues and strengths per visible course; from the course table and ``category_counts`` if given."""
+    visible = (course_totals(enriched) if courses is None else courses).filter(~F.col("hidden")).select("content_id")
+    c = (counts.filter("gid = 0") if counts is not None
+         else category_facts(enriched).groupBy("content_id", "kind", "name")
          .agg(F.count(F.lit(1)).alias("count"), F.min("ordinal").alias("first_ordinal")))
     w = Window.partitionBy("content_id", "kind").orderBy(F.desc("count"), F.asc("first_ordinal"))
     return (c.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
@@ -330,16 +333,14 @@ def bucket_comments(facts: DataFrame, winners: DataFrame | None = None) -> DataF
 
 
 # ----------------------------------------------------------------------------- A3 / K5
-def overall(enriched: DataFrame) -> DataFrame:
-    """A3 + A19 on the enriched facts: one row."""
-    s = F.col("sentiment")
-    g = enriched.agg(F.count(F.lit(1)).alias("total_comments"),
-                     F.count_if(s == "positive").alias("positive_count"),
-                     F.count_if(s == "negative").alias("negative_count"),
-                     F.count_if((s != "positive") & (s != "negative")).alias("neutral_count"))
-    visible = course_totals(enriched).agg(F.count_if(~F.col("hidden")).alias("course_count"))
+def overall(enriched: DataFrame, courses: DataFrame | None = None) -> DataFrame:
+    """A3 + A19: one row, summed over the course table."""
+    per = course_totals(enriched) if courses is None else courses
+    kinds = ("positive_count", "negative_count", "neutral_count")
+    g = per.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("total_comments"), F.count_if(~F.col("hidden")).alias("course_count"),
+                *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in kinds))
     tot = F.greatest(F.lit(1), F.col("total_comments")).cast("double")
-    return g.crossJoin(F.broadcast(visible)).select(
+    return g.select(
         "total_comments", "course_count", "positive_count", "negative_count", "neutral_count",
         (F.col("positive_count") / tot * 100.0).alias("positive_percent"),
         (F.col("negative_count") / tot * 100.0).alias("negative_percent"),
@@ -353,16 +354,16 @@ def _pairs(rows: DataFrame, keys: list[str], kind: str, out: str) -> DataFrame:
     return ranked.withColumn(out, F.transform(out, lambda x: x.dropFields("rank")))
 
 
-def course_payload(enriched: DataFrame, facts: DataFrame, profile: Profile = STRICT) -> DataFrame:
+def course_payload(enriched: DataFrame, facts: DataFrame, profile: Profile = STRICT, courses: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """K5, courses: one JSON value per visible course (content_id, payload), in the upstream fields
     but for the summary documents (``documents.attach``).  No course is gathered with another."""
-    cs = course_stats(enriched).filter(~F.col("hidden"))
+    cs = (course_stats(enriched) if courses is None else courses).filter(~F.col("hidden"))
     counted = language_rows_counted(facts, profile)
     tops = course_top_languages(counted, lenient=profile.lenient).groupBy("content_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "badge"))), lambda x: x["badge"]).alias("languages"))
     by_lang = language_sentiment(counted).filter("gid = 0").groupBy("content_id").agg(F.map_from_entries(F.collect_list(F.struct(
         "lang_name", F.struct("positive_count", "negative_count", "neutral_count")))).alias("course_lang_sentiment"))
-    cats = course_top_categories(enriched)
+    cats = course_top_categories(enriched, courses=cs, counts=counts)
     for part in (tops, by_lang, _pairs(cats, ["content_id"], "issue", "issues"), _pairs(cats, ["content_id"], "strength", "strengths")):
         cs = cs.join(part, "content_id", "left")
     none = F.array().cast("array<struct<name:string,count:bigint>>")
@@ -374,12 +375,12 @@ def course_payload(enriched: DataFrame, facts: DataFrame, profile: Profile = STR
         F.col("total").alias("sort_key"))).alias("payload"))
 
 
-def bucket_payload(facts: DataFrame, enriched: DataFrame, profile: Profile = STRICT) -> DataFrame:
+def bucket_payload(facts: DataFrame, enriched: DataFrame, profile: Profile = STRICT, courses: DataFrame | None = None) -> DataFrame:
     """K5 / A10, buckets: one JSON value per course and language with its counts and its ranked issues and
     strengths; its comments are the rows of ``bucket_rows``."""
     key = ["content_id", "lang_name"]
     cats = bucket_categories(facts, profile.bucket_issue_limit)
-    names = course_totals(enriched).select("content_id", F.col("name").alias("course"))
+    names = (course_totals(enriched) if courses is None else courses).select("content_id", F.col("name").alias("course"))
     out = flat_buckets(facts).join(names, "content_id", "left")
     for part in (_pairs(cats, key, "issue", "issues"), _pairs(cats, key, "strength", "strengths")):
         out = out.join(part, key, "left")
@@ -413,15 +414,15 @@ def bucket_rows(facts: DataFrame) -> DataFrame:
     return rows.select("content_id", "lang_name", "sentiment", "rank", whole.alias("payload"))
 
 
-def dashboard_payload(enriched: DataFrame, facts: DataFrame, profile: Profile = STRICT) -> DataFrame:
+def dashboard_payload(enriched: DataFrame, facts: DataFrame, profile: Profile = STRICT, courses: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
     """K5, totals: the corpus-wide part of the metrics bundle as one JSON value (one row).
 
     Courses and buckets are values of their own (``course_payload``, ``bucket_payload``);
     here are totals, languages, top categories and the list of course names.
     """
-    ov = overall(enriched)
-    cs = course_stats(enriched).filter(~F.col("hidden"))
-    courses = cs.agg(F.transform(F.array_sort(F.collect_list(F.struct(
+    stats = course_stats(enriched) if courses is None else courses
+    ov = overall(enriched, stats)
+    listed = stats.filter(~F.col("hidden")).agg(F.transform(F.array_sort(F.collect_list(F.struct(
         "course_rank", "name", F.format_number("total", 0).alias("count")))),
         lambda x: x.dropFields("course_rank")).alias("course_list"))
     langs = language_summary(language_rows_counted(facts, profile), profile.lenient).agg(
@@ -432,16 +433,16 @@ def dashboard_payload(enriched: DataFrame, facts: DataFrame, profile: Profile =
             pct_text(F.col("negative_pct"), 0).alias("negative_pct"),
             pct_text(F.col("neutral_pct"), 0).alias("neutral_pct")))),
             lambda x: x.dropFields("display_rank")).alias("languages"))
-    ti = top_categories(enriched, "issue", profile.top_issues).agg(
+    ti = top_categories(enriched, "issue", profile.top_issues, counts).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "name", F.format_number("count", 0).alias("count"),
                                                          pct_text(F.col("percent"), 1).alias("percent")))),
                     lambda x: x.dropFields("rank")).alias("top_issues"))
-    ts = top_categories(enriched, "strength", TOP_STRENGTHS).agg(
+    ts = top_categories(enriched, "strength", TOP_STRENGTHS, counts).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("rank", "name", F.format_number("count", 0).alias("count"),
                                                          pct_text(F.col("percent"), 1).alias("percent")))),
                     lambda x: x.dropFields("rank")).alias("top_strengths"))
     parts = ov
-    for p in (courses, langs, ti, ts):
+    for p in (listed, langs, ti, ts):
         parts = parts.crossJoin(F.broadcast(p))
     return parts.select(F.to_json(F.struct(
         F.format_number(F.col("total_comments"), 0).alias("total_comments"),

@@ -18,7 +18,7 @@ from ..fixed import ANALYSIS_RECORD_FIELD, ANALYSIS_SENTIMENT_FIELD, BLOCKING_PA
 from ..functions import text as tx
 from ..operators import category, clean, dashboard, documents, enrich, evaluate, language, models, sentiment, words
 from ..schemas import ANALYSIS_FILE_SCHEMA, RAW_COMMENT_SCHEMA, TAGGED_FILE_SCHEMA
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sinks import files as sinks
 from ..sources import files as src
 from ..sources import splits
@@ -1012,8 +1012,11 @@ def q_enrich_resumable(spark, sf):
 
 
 def _documents(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    from ..session import materialize
-    t = materialize(flows.tiered(spark, sf), "tiered")        # a row per course, sentiment and category
+    return _documents_of(flows.tiered(spark, sf))
+
+
+def _documents_of(tiered: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    t = materialize(tiered, "tiered")        # a row per course, sentiment and category
     return documents.negative_documents(t, category.top_priority_actions(t)), documents.positive_documents(t), t
 
 
@@ -1165,11 +1168,14 @@ UNION ALL SELECT 'bucket', content_id || '/' || lang_name, 'strengths', CAST(cou
 @register("dashboard_payload", (lambda base: base[:-len("SELECT 1")].rstrip() + ",\n" + CTES_CS + _PAYLOAD_SQL)(with_ctes("SELECT 1", "enriched", "lfacts")))
 def q_dashboard_payload(spark, sf):
     """K5 (+P21, A10): the payload rows read back from their JSON: totals, courses, buckets (their comments: bucket_rows)."""
-    enr, facts = flows.dashboard_facts(spark, sf)
-    neg, pos, _ = _documents(spark, sf)
-    total = dashboard.dashboard_payload(enr, facts)
-    courses = documents.attach(dashboard.course_payload(enr, facts), neg, pos)
-    buckets = dashboard.bucket_payload(facts, enr)
+    scored = flows.scored_full(spark, sf, with_language=True)
+    enr, facts = flows.dashboard_facts(spark, sf, scored=scored)
+    neg, pos, _ = _documents_of(category.tiers(category.category_groups(flows.analysis_of(scored))))
+    # one table of courses and one of category counts serve all parts
+    stats, counts = materialize(dashboard.course_stats(enr), "courses"), materialize(dashboard.category_counts(enr), "categories")
+    total = dashboard.dashboard_payload(enr, facts, courses=stats, counts=counts)
+    courses = documents.attach(dashboard.course_payload(enr, facts, courses=stats, counts=counts), neg, pos)
+    buckets = dashboard.bucket_payload(facts, enr, courses=stats)
     field = lambda name, path=None: F.struct(F.lit(name).alias("field"), F.get_json_object("payload", f"$.{path or name}").alias("value"))
     n_of = lambda name: F.struct(F.lit(name).alias("field"), F.json_array_length(F.get_json_object("payload", f"$.{name}")).cast("string").alias("value"))
     rows = [

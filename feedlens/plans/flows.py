@@ -90,13 +90,13 @@ def scored_full(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = d
     return materialize(t.drop("_norm"), "facts")
 
 
-def _analysis_of(scored: DataFrame) -> DataFrame:
+def analysis_of(scored: DataFrame) -> DataFrame:
     return scored.filter(F.col("sentiment").isin("negative", "positive"))
 
 
 def enriched(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = dashboard.STRICT) -> DataFrame:
     s = scored_full(spark, sf_dir, profile)
-    return dashboard.enrich(s, _analysis_of(s), profile)
+    return dashboard.enrich(s, analysis_of(s), profile)
 
 
 def language_side(scored: DataFrame) -> DataFrame:
@@ -109,16 +109,16 @@ def language_side(scored: DataFrame) -> DataFrame:
 
 def language_facts(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = dashboard.STRICT) -> DataFrame:
     s = scored_full(spark, sf_dir, profile, with_language=True)
-    enr = dashboard.enrich(s, _analysis_of(s), profile)
+    enr = dashboard.enrich(s, analysis_of(s), profile)
     return dashboard.language_facts(language_side(s), enr, profile)
 
 
-def dashboard_facts(spark: SparkSession, sf_dir: str,
-                    profile: dashboard.Profile = dashboard.STRICT) -> tuple[DataFrame, DataFrame]:
+def dashboard_facts(spark: SparkSession, sf_dir: str, profile: dashboard.Profile = dashboard.STRICT,
+                    scored: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(enriched, language facts) from one scored table, both materialised: the dashboard
     bundle reads each of them in several aggregates."""
-    s = scored_full(spark, sf_dir, profile, with_language=True)
-    enr = materialize(dashboard.enrich(s, _analysis_of(s), profile))
+    s = scored_full(spark, sf_dir, profile, with_language=True) if scored is None else scored
+    enr = materialize(dashboard.enrich(s, analysis_of(s), profile))
     return enr, materialize(dashboard.language_facts(language_side(s), enr, profile))
 
 
