@@ -168,9 +168,9 @@ def repair(classes: str) -> tuple[int, list[str], int]:
 BLANK = " \t\n\x0b\x0c\r"
 
 
-def ordered(rows: DataFrame) -> DataFrame:
-    """``rows`` (conv_id, turn, role, text) with ``at``, a number of their own that orders them within
-    their conversation, ``block``, fault, initial and class; stored."""
+def ordered(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (conv_id, turn, role, text) with ``at``, a number of their own that orders them within their
+    conversation; and without their texts (conv_id, at, block, fault, initial, kind).  Both stored."""
     rows = rows.select("conv_id", "turn", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")))
     rows = stored(rows.withColumn("same", F.monotonically_increasing_id()), "conv-rows")
     keys = ["conv_id", "turn", "role", F.xxhash64("text"), "same"]
@@ -178,18 +178,17 @@ def ordered(rows: DataFrame) -> DataFrame:
     placed = stored(placed.withColumn("at", F.monotonically_increasing_id()), "conv-places")
     drop_stored(rows)
     firsts = placed.groupBy("conv_id", "role", F.sha2("text", 256).alias("digest")).agg(F.min("at").alias("first")).select("first")
-    # by number: no two rows share one, so a much repeated row makes no hot key
-    out = placed.join(firsts, F.col("at") == F.col("first"), "left")
     meant, initial = F.rtrim("text", F.lit(BLANK)), F.substring("role", 1, 1)
-    fault = (F.when(meant == "", "blank").when(F.col("first").isNull(), "duplicate")
-             .when(~F.substring(meant, -1, 1).isin(".", "!", "?"), "truncated").otherwise(""))
-    out = out.withColumn("fault", fault).withColumn("initial", F.when(initial.isin("s", "u", "a"), initial).otherwise("x"))
-    kind = F.when(F.col("fault").isin("blank", "duplicate"), "-").when(F.col("fault") == "truncated", F.upper("initial")).otherwise(F.col("initial"))
+    fault = F.when(meant == "", "blank").when(~F.substring(meant, -1, 1).isin(".", "!", "?"), "truncated").otherwise("")
+    known = F.when(initial.isin("s", "u", "a"), initial).otherwise("x")
     # the rows of a block lie beside each other in one task of the sort
     block = F.floor(F.col("at") / BLOCK).cast("long")
-    out = stored(out.drop("first").withColumn("kind", kind).withColumn("block", block), "conv-ordered")
-    drop_stored(placed)
-    return out
+    out = placed.select("conv_id", "at", block.alias("block"), fault.alias("fault"), known.alias("initial"))
+    # by number: no two rows share one, so a much repeated row makes no hot key
+    out = out.join(firsts, F.col("at") == F.col("first"), "left")
+    out = out.withColumn("fault", F.when((F.col("fault") != "blank") & F.col("first").isNull(), "duplicate").otherwise(F.col("fault"))).drop("first")
+    kind = F.when(F.col("fault").isin("blank", "duplicate"), "-").when(F.col("fault") == "truncated", F.upper("initial")).otherwise(F.col("initial"))
+    return placed, stored(out.withColumn("kind", kind), "conv-kinds")
 
 
 def blocks_of(rows: DataFrame) -> DataFrame:
@@ -249,7 +248,7 @@ def _edit(classes: str, initials: str, enter: int, leave: int) -> tuple[int, int
 
 
 def solved(rows: DataFrame) -> DataFrame:
-    """One row for each block of ``ordered`` rows: conv_id, block, place (its number in the conversation), ats, initials, counts,
+    """One row for each block of the rows that ``ordered`` classed: conv_id, block, place (its number in the conversation), ats, initials, counts,
     illegal, cost, edits (for each row), states (before each row) and tail (rows inserted behind the last block); stored."""
     blocks = stored(blocks_of(rows), "conv-blocks")
     steps = _with(blocks.select("conv_id", "block", "classes"), ["classes"], "step array<long>", _measure)
@@ -323,8 +322,8 @@ def digests(fixed: DataFrame) -> DataFrame:
 
 def fixed(conversations: DataFrame) -> DataFrame:
     """``conversations`` (conv_id, turn, role, text) repaired: the rows of ``repaired``."""
-    rows = ordered(conversations)
-    return repaired(rows, solved(rows))
+    rows, kinds = ordered(conversations)
+    return repaired(rows, solved(kinds))
 
 
 def damaged(rows: DataFrame) -> DataFrame:
@@ -346,8 +345,8 @@ def fate() -> Column:
 def op13_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest audit and repaired digest of every damaged conversation."""
     given = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    rows = ordered(damaged(given))
-    done = solved(rows)
+    rows, kinds = ordered(damaged(given))
+    done = solved(kinds)
     # a turn's rows share their fate, so one row for each turn tells the gaps
     turns = given.select("conv_id", "turn", F.when(fate() != 0, F.col("turn")).alias("left")).groupBy("conv_id", "turn", "left").agg(F.count("*"))
     gaps = F.max("left") - F.min("left") + 1 - F.count("left")
