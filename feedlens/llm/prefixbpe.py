@@ -21,6 +21,7 @@ to a new name that a column already has; null ids decode to null, unknown ids to
 
 from __future__ import annotations
 
+import atexit
 import gc
 import hashlib
 import json
@@ -303,6 +304,7 @@ def loaded(path: str) -> PrefixBpe:
         _LOADED[path] = PrefixBpe(path)
         gc.collect()
         gc.freeze()  # the automaton stays: later collections need not visit it
+        atexit.register(gc.unfreeze)
     return _LOADED[path]
 
 

@@ -171,14 +171,15 @@ def fit(rows: list[tuple[np.ndarray, float]], epochs: int = EPOCHS) -> np.ndarra
     """Weights (the last is the constant) of a logistic scorer from (slots, soft label) rows.
 
     Follow-the-regularised-leader with a step size for each slot; the L1 term leaves slots
-    without steady evidence at zero.
+    without steady evidence at zero.  The constant is free of it, so few rows still tell how rare
+    bad documents are.
     """
     size = 1 << HASH_BITS
     total, square = np.zeros(size + 1), np.zeros(size + 1)
 
     def weights(at):
-        t = total[at]
-        return np.where(np.abs(t) <= L1, 0.0, -(t - np.sign(t) * L1) / ((1 + np.sqrt(square[at])) / RATE + L2))
+        t, least = total[at], np.where(at == size, 0.0, L1)
+        return np.where(np.abs(t) <= least, 0.0, -(t - np.sign(t) * least) / ((1 + np.sqrt(square[at])) / RATE + L2))
 
     order = np.random.default_rng(0)
     labels = np.array([y for _, y in rows])
