@@ -20,6 +20,8 @@ def ranked(rows: DataFrame, keys: list[str], order: list[Column], out: str = "ra
     """``rows`` with ``out``: 1, 2, ... within each group of ``keys`` (null is a group like any other) by ``order``,
     stored in that order.  ``order`` should tell rows apart; rows that it does not get ranks in any order."""
     by = [*map(F.col, keys), *order]
+    # stored: a range sort looks at its input twice, for the ranges and for the rows
+    rows = materialize(rows, "unranked")
     placed = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id())
     placed = materialize(placed, "ranked").withColumn("_task", F.shiftright("_at", 33)).withColumn("_row", F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_at")
     parts = placed.groupBy(*keys, "_task").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))

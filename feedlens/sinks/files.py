@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from ..fixed import ANALYSIS_RECORD_FIELD, ANALYSIS_SENTIMENT_FIELD
 from ..operators.enrich import token_usage
+from ..session import materialize
 
 
 def _csv(df: DataFrame, mode: str = "overwrite"):
@@ -85,6 +86,8 @@ def write_bucket_rows(rows: DataFrame, path: str, mode: str = "overwrite") -> No
     """K5 / A10: the comments of all buckets in order of (bucket, sentiment, rank).  The rows are dealt out by
     ranges of that order, so a bucket with most of them is written by several tasks, and a read of some ranks skips the other files."""
     by = ["content_id", "lang_name", "sentiment", "rank"]
+    # stored: a range sort looks at its input twice, for the ranges and for the rows
+    rows = materialize(rows, "bucket-rows")
     rows.repartitionByRange(*by).sortWithinPartitions(*by).write.mode(mode).parquet(path)
 
 
