@@ -37,7 +37,7 @@ from .common import annotate, fresh, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: What each generation of encoded pieces may take, and what a piece takes beside its bytes and ids, roughly.
-CACHE = 80_000_000
+CACHE = 40_000_000
 ENTRY_BYTES = 320
 RUN_CHARS = 4_000_000
 SEGMENT = 1_000_000
