@@ -34,11 +34,10 @@ class WordModel:
 
     def label(self, words: str) -> str:
         """The likeliest label of ``word_text``; ties go to the first label."""
-        score = self.prior.copy()
-        for word, n in Counter(words.split(" ")).items():
-            if (i := self.index.get(word)) is not None:
-                score += n * self.weights[:, i]
-        return self.labels[int(score.argmax())]
+        times = Counter(words.split(" "))
+        known = [w for w in times if w in self.index]
+        found = self.weights[:, [self.index[w] for w in known]] * np.array([times[w] for w in known], float)
+        return self.labels[int((self.prior + found.sum(axis=1)).argmax())]
 
     def predict(self, words: pd.Series) -> pd.Series:
         return words.map(self.label)
