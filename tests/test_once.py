@@ -17,6 +17,7 @@ def folder(spark, tmp_path):
     """Negative and positive comments in two languages; every third text occurs in several documents."""
     words = ["the video was good and clear", "der Kurs ist nicht gut und zu lang", "the sound of it is bad", "das ist für mich zu viel"]
     rows = [(i, f"{words[i % 4]} {'again' if i % 3 == 0 else 'x' * (i % 23)}", "en") for i in range(400)]
+    rows += rows[:50]        # repeated rows
     rows += [(400, None, None), (401, "  ", "en"), (402, "one two three", "en"), (403, " one two　three\nfour ", "en")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     return str(tmp_path)
