@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import annotate, fresh, table
+from .common import annotate, fresh, kept, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: What each generation of encoded pieces may take, and what a piece takes beside its bytes and ids, roughly.
@@ -215,14 +215,14 @@ class Bpe:
 
 
 CUT = regex.compile(r"(?<=\S) (?=\p{L})")
-_LOADED: dict[tuple[str, str], Bpe] = {}
 
 
 def loaded(path: str, pattern: str) -> Bpe:
-    """The vocabulary, read once per Python worker."""
-    if (path, pattern) not in _LOADED:
-        _LOADED[path, pattern] = Bpe(path, pattern)
-    return _LOADED[path, pattern]
+    """The vocabulary, read once per Python worker for as long as no other operator runs there."""
+    known = kept("bpe")
+    if (path, pattern) not in known:
+        known[path, pattern] = Bpe(path, pattern)
+    return known[path, pattern]
 
 
 def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> DataFrame:
@@ -236,7 +236,7 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> D
         return [n, ids_sha, decoded_sha, *more]
 
     kinds = ["long", "string", "string", "array<int>"][: 3 + with_ids]
-    return annotate(docs, compute, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+    return annotate(docs, compute, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)), operator="bpe")
 
 
 def decode(rows: DataFrame, path: str, pattern: str, ids: str = "_ids") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -89,14 +92,44 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_BYTES)
 
 
-def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of at most ``SLICE_ROWS``."""
+#: What operators keep in a Python worker between its tasks (vocabularies, caches), by operator.
+_KEPT: dict[str, dict] = {}
+
+
+def kept(operator: str) -> dict:
+    """The dict in which an operator keeps things in this worker, until another operator runs there."""
+    return _KEPT.setdefault(operator, {})
+
+
+def release_others(operator: str | None) -> None:
+    """Workers outlive their tasks and idle ones keep their memory: let go of what other operators keep."""
+    others = [d for name, d in _KEPT.items() if d and name != operator]
+    for d in others:
+        d.clear()
+    if others:
+        gc.collect()
+
+
+def give_back() -> None:
+    """Hand freed memory, which the allocator would hold, back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], operator: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``SLICE_ROWS``; the worker holds what ``operator`` keeps and no more."""
+    release_others(operator)
     for b in batches:
         for at in range(0, b.num_rows, SLICE_ROWS):
             yield b.slice(at, SLICE_ROWS)
+            if operator:
+                give_back()
+    give_back()
 
 
-def annotate(docs: DataFrame, compute: Callable[[list[bytes]], Iterator[list]], added: str, text: str = "text") -> DataFrame:
+def annotate(docs: DataFrame, compute: Callable[[list[bytes]], Iterator[list]], added: str, text: str = "text",
+             operator: str | None = None) -> DataFrame:
     """``docs`` with the columns of the DDL string ``added``, worked out row by row from the texts.
 
     ``compute`` maps the UTF-8 texts of an Arrow batch to the added columns in order.  All
@@ -109,7 +142,7 @@ def annotate(docs: DataFrame, compute: Callable[[list[bytes]], Iterator[list]],
     names = schema.names
 
     def run(batches):
-        for b in sliced(batches):
+        for b in sliced(batches, operator):
             made = compute(utf8(b.column(at)))
             yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(c, k) for c, k in zip(made, kinds))], names=names)
 
