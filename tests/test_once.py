@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedlens.functions import text as tx
-from feedlens.operators import clean, language
+from feedlens.operators import clean, dashboard, language
 from feedlens.plans import catalog, flows
 from feedlens.sources.tables import raw_comments
 
@@ -74,3 +74,20 @@ def test_pending_language_detects_once(spark, folder, capsys):
     df.explain()
     assert "regexp_extract_all" not in capsys.readouterr().out
     assert {r["mode"] for r in df.collect()} == {"default", "parity"}
+
+
+def _text_exchanges(df, capsys) -> int:
+    capsys.readouterr()
+    df.explain("formatted")
+    nodes = re.findall(r"\(\d+\) (?:Broadcast)?Exchange\n.*?\n\n", capsys.readouterr().out, re.S)
+    return sum(bool(re.search(r"\b(comment|norm|_norm)#", n)) for n in nodes)
+
+
+def test_texts_are_shuffled_once_to_meet_their_records(spark, folder, capsys):
+    s = flows.scored_full(spark, folder, with_language=True)
+    assert "word_count" not in s.columns
+    enr = dashboard.enrich(s, flows.analysis_of(s))
+    assert _text_exchanges(enr.select("ordinal", "norm", "issue", "actions"), capsys) == 1
+    facts, _ = flows.dashboard_facts(spark, folder, scored=s)
+    assert not {"comment", "norm"} & set(facts.columns)
+    assert _text_exchanges(dashboard.language_facts(flows.language_side(s), facts), capsys) == 1
