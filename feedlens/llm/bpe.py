@@ -3,13 +3,14 @@
 The pre-token pattern cuts a text into pieces.  The distinct new pieces of a run of documents
 become token-position rows (piece, position, token), one row per byte.  A recursive query
 joins neighbours to the merge table and contracts each piece's leftmost pair of least rank,
-until no piece has a pair left; an ordered aggregation then gives the ids, and a second one
-over the token table decodes them.  A piece that is itself a token is that token.
+until no piece has a pair left.  The rows of a piece's last step, in order, are its ids, and
+the token table decodes them.  A piece that is itself a token is that token.
 
 Documents never leave their task and nothing is shuffled.  Encoded pieces are kept per Python
 worker in two generations of at most ``CACHE``, so frequent pieces are contracted once
 and memory stays bounded.  Texts of over ``SEGMENT`` characters are taken in segments, cut
-where the pattern always starts a new piece.
+where the pattern always starts a new piece.  Where a text has no character beyond U+FFFF, the
+standard library's matcher cuts it, by the same pattern with its classes written out.
 
 The recursive query contracts one pair of a piece per step, so its work grows with the
 square of the piece; pieces of over ``LONG_PIECE`` bytes (long runs of one kind of character)
@@ -24,7 +25,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import duckdb
 import numpy as np
@@ -37,33 +40,34 @@ from .common import annotate, fresh, kept, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: What each generation of encoded pieces may take, and what a piece takes beside its bytes and ids, roughly.
-CACHE = 40_000_000
+CACHE = 30_000_000
 ENTRY_BYTES = 320
-RUN_CHARS = 4_000_000
+RUN_CHARS = 2_000_000
+#: Pieces that one recursive query contracts: its rows of all steps are held until it ends.
+BLOCK = 25_000
 SEGMENT = 1_000_000
 LONG_PIECE = 200
 
-#: Positions stay dense, so a token's neighbour is the next position; rank and position of the
-#: least pair share one number, of which the position takes the low 16 bits.
+#: Positions stay dense, and a row carries the token behind its own (-1 behind the last); rank and
+#: position of the least pair share one number, of which the position takes the low 16 bits.
 ENCODE = """
-WITH RECURSIVE contracted(piece, step, pos, tok) AS (
-  SELECT piece, 0, pos, tok FROM bytes_in
+WITH RECURSIVE contracted(piece, step, pos, tok, follow) AS (
+  SELECT piece, 0, pos, tok, follow FROM bytes_in
   UNION ALL
   (WITH least AS (
-     SELECT a.piece, min(m.merged::BIGINT * 65536 + a.pos) AS pick
-     FROM contracted a JOIN contracted b ON a.piece = b.piece AND a.pos + 1 = b.pos
-     JOIN merges m ON a.tok = m.l AND b.tok = m.r
-     GROUP BY a.piece)
-   SELECT c.piece, step + 1, CASE WHEN pos > pick % 65536 THEN pos - 1 ELSE pos END,
-          CASE WHEN pos = pick % 65536 THEN (pick // 65536)::INT ELSE tok END
-   FROM contracted c JOIN least USING (piece)
-   WHERE pos <> pick % 65536 + 1)
-),
-ended AS (SELECT piece, max(step) AS step FROM contracted GROUP BY piece)
-SELECT c.piece, string_agg(c.tok::VARCHAR, ',' ORDER BY c.pos) AS ids,
-       unhex(string_agg(t.bytes, '' ORDER BY c.pos)) AS decoded
-FROM contracted c JOIN ended USING (piece, step) JOIN tokens t ON t.id = c.tok
-GROUP BY c.piece ORDER BY c.piece
+     SELECT c.piece, min(m.merged::BIGINT * 65536 + c.pos) AS pick
+     FROM contracted c JOIN merges m ON c.tok = m.l AND c.follow = m.r
+     GROUP BY c.piece),
+   picked AS (
+     SELECT piece, pick // 65536 AS made, pick % 65536 AS spot, c.follow AS behind
+     FROM contracted c JOIN least USING (piece) WHERE c.pos = pick % 65536 + 1)
+   SELECT c.piece, step + 1, CASE WHEN pos > spot THEN pos - 1 ELSE pos END,
+          CASE WHEN pos = spot THEN made::INT ELSE tok END,
+          CASE WHEN pos = spot THEN behind WHEN pos = spot - 1 THEN made::INT ELSE follow END
+   FROM contracted c JOIN picked USING (piece)
+   WHERE pos <> spot + 1)
+)
+SELECT piece, step, pos, tok FROM contracted
 """
 
 DECODE = """
@@ -72,13 +76,51 @@ FROM ids_in JOIN tokens USING (id) GROUP BY row ORDER BY row
 """
 
 
+BEYOND = re.compile("[\U00010000-\U0010ffff]")
+
+
+@lru_cache
+def members(kind: str) -> str:
+    """The characters up to U+FFFF that ``regex`` counts to a class such as ``\\p{L}``, as ranges for a class of ``re``."""
+    found = regex.finditer(f"{kind}+", "".join(chr(c) if not 0xD800 <= c < 0xE000 else "\ue000" for c in range(0x10000)))
+    return "".join(f"\\u{m.start():04x}-\\u{m.end() - 1:04x}" for m in found)
+
+
+def plain_pattern(pattern: str) -> re.Pattern | None:
+    """``pattern`` for the matcher of the standard library, on texts without characters beyond U+FFFF;
+    none where it uses more than classes, literals, choices, greedy repeats and looks ahead."""
+    out, inside, at = [], False, 0
+    for m in regex.finditer(r"\\p\{\w+\}|\\[sS]|\(\?[!=:]|[\[\]]|[^\\\[\]&~()]|[()](?!\?)", pattern):
+        part = m[0]
+        if m.start() != at or (part == "[" and inside):
+            return None
+        at = m.end()
+        if part[0] == "\\":
+            part = members(part) if inside else f"[{members(part)}]"
+        elif part in "[]":
+            inside = part == "["
+        out.append(part)
+    return re.compile("".join(out)) if at == len(pattern) else None
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The pieces of a text, as ``regex`` finds them."""
+    whole, plain = regex.compile(pattern).findall, plain_pattern(pattern)
+    if not plain:
+        return whole
+    quick = plain.findall
+    return lambda text: quick(text) if text.isascii() or not BEYOND.search(text) else whole(text)
+
+
 class Bpe:
     """A vocabulary of ranks, with its merge and token tables in an in-memory DuckDB."""
 
     def __init__(self, path: str, pattern: str):
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.split = regex.compile(pattern).findall
+        self.split = splitter(pattern)
+        self.names = {rank: str(rank).encode() for rank in self.ranks.values()}
+        self.bytes = {rank: token for token, rank in self.ranks.items()}
         self.first = np.zeros(256, np.int32)
         for b in range(256):
             self.first[b] = self.ranks[bytes([b])]
@@ -95,19 +137,31 @@ class Bpe:
 
     def contract(self, pieces: list[bytes]) -> list[tuple[bytes, bytes]]:
         """(ids as text, decoded bytes) of each piece, by the recursive query."""
-        if not pieces:
-            return []
+        return [done for at in range(0, len(pieces), BLOCK) for done in self.contract_block(pieces[at:at + BLOCK])]
+
+    def contract_block(self, pieces: list[bytes]) -> list[tuple[bytes, bytes]]:
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
         piece = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
         pos = np.arange(len(piece)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         tok = self.first[np.frombuffer(b"".join(pieces), np.uint8)]
         whole = np.array([self.ranks.get(p, -1) for p in pieces], np.int32)[piece]
+        follow = np.append(tok[1:], np.int32(-1))
+        follow[np.cumsum(sizes) - 1] = -1
         keep = (whole < 0) | (pos == 0)
-        rows = {"piece": piece[keep], "pos": pos.astype(np.int32)[keep], "tok": np.where(whole < 0, tok, whole)[keep]}
+        rows = {"piece": piece[keep], "pos": pos.astype(np.int32)[keep], "tok": np.where(whole < 0, tok, whole)[keep],
+                "follow": np.where(whole < 0, follow, -1)[keep]}
         self.db.register("bytes_in", pa.table(rows))
-        got = self.db.execute(ENCODE).fetchall()
+        got = self.db.execute(ENCODE).fetchnumpy()
         self.db.unregister("bytes_in")
-        return [(ids.encode(), decoded) for _, ids, decoded in got]
+        piece, step = got["piece"], got["step"]
+        last = np.zeros(len(pieces), step.dtype)
+        np.maximum.at(last, piece, step)
+        at = np.flatnonzero(step == last[piece])
+        at = at[np.lexsort((got["pos"][at], piece[at]))]
+        ids = got["tok"][at].tolist()
+        ends = np.cumsum(np.bincount(piece[at], minlength=len(pieces))).tolist()
+        names, token = list(map(self.names.__getitem__, ids)), list(map(self.bytes.__getitem__, ids))
+        return [(b",".join(names[a:b]), b"".join(token[a:b])) for a, b in zip([0, *ends], ends)]
 
     def contract_long(self, piece: bytes) -> tuple[bytes, bytes]:
         """The same contraction of one long piece, from a heap of (rank, position)."""

@@ -66,3 +66,21 @@ def test_query_equals_tiktoken_on_the_given_tables(spark, tik):
     for r in got:
         w = _want(tik, texts[r.doc_id])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (w[0], w[2], w[3])
+
+
+def test_pieces_are_cut_as_regex_cuts_them_and_contracted_in_blocks(tik, monkeypatch):
+    quick, whole = bpe.plain_pattern(PATTERN), regex.compile(PATTERN)
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x10000)]):
+        text = f"a{c}1{c}{c} {c}'{c}"
+        assert quick.findall(text) == whole.findall(text)
+    assert bpe.plain_pattern(r"(?i:'s|'t)|\p{L}+") is None and bpe.plain_pattern(r"\P{L}") is None
+    texts = ["Quick \U0001F600\U0001D400b  1\U0001D7D8", "plain ascii, 12 x", "", "Ünï\u2003\u2003x"]
+    assert [bpe.splitter(PATTERN)(t) for t in texts] == [whole.findall(t) for t in texts]
+    monkeypatch.setattr(bpe, "BLOCK", 3)
+    own, rows = bpe.loaded(PATH, PATTERN), []
+    block = own.contract_block
+    monkeypatch.setattr(own, "contract_block", lambda pieces: rows.append(len(pieces)) or block(pieces))
+    pieces = sorted({w.encode() for t in TEXTS if t for w in whole.findall(t) if len(w.encode()) <= 200})
+    got = own.contract(pieces)
+    assert max(rows) == 3 and sum(rows) == len(pieces)
+    assert got == [(",".join(map(str, tik.encode_ordinary(p.decode()))).encode(), p) for p in pieces]
