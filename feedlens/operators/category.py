@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..fixed import (AMPLIFY_TOP, BLOCKING_PATTERN, CATEGORY_KEYWORDS, FALLBACK_CATEGORY_NO, LOW_SIGNAL_PHRASES, LOW_SIGNAL_SHARE,
                      SAMPLE_ACTIONS, SAMPLE_COMMENTS, TIER_MAJOR_SHARE, TIER_MIN_COUNT, TOP_PRIORITY_ACTIONS,
                      TOP_STRENGTH_AREAS, URGENCY_MEDIUM_SHARE)
-from ..functions.text import WS, WS_CHARS, collapse_ws, extract_words
+from ..functions.text import WS, WS_CHARS, any_case, collapse_ws, extract_words
 from ..session import materialize
 from .ranks import ranked
 from .taxonomy import join_taxonomy, priority_rank
@@ -109,7 +109,7 @@ def category_groups(analysis: DataFrame) -> DataFrame:
     base = analysis.withColumns({"category": summary_category(F.col("category")), **{c: F.coalesce(c, none) for c, none in meta.items()}})
     parts = base.groupBy(*GROUP, *meta).agg(
         F.count(F.lit(1)).alias("count"), F.min("ordinal").alias("first_ordinal"),
-        F.count_if(F.col("comment").rlike("(?iu)" + BLOCKING_PATTERN)).alias("blocking_count"),
+        F.count_if(F.col("comment").rlike(any_case(BLOCKING_PATTERN))).alias("blocking_count"),
         F.count_if(low_signal(F.col("comment"))).alias("low_signal_count"))
     parts = materialize(parts, "groups")
     g = parts.groupBy(*GROUP).agg(F.min("first_ordinal").alias("first_ordinal"), *(F.sum(c).alias(c) for c in ("count", "blocking_count", "low_signal_count")))
