@@ -15,7 +15,7 @@ def _rows_of_tasks(df):
 
 @pytest.fixture
 def one_group(spark, tmp_path):
-    docs = spark.range(9000).selectExpr("if(id % 7 = 0, null, id) AS doc_id", "if(id % 5 = 0, null, concat('text ', id % 50)) AS text", "'en' AS lang")
+    docs = spark.range(9000).selectExpr("if(id % 7 = 0, null, id) AS doc_id", "if(id % 5 = 0, null, concat('some text of a few words ', id % 50)) AS text", "'en' AS lang")
     docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
     return str(tmp_path)
 
